@@ -9,7 +9,8 @@ Unicode classes that Java and RE2 read the same way.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cribble.functions import fixed
@@ -72,6 +73,32 @@ def clean_text(text: Column | str, stopwords: list[str] | None = None, lemmas: C
         F.array_join(clean_tokens(t, stopwords, lemmas), " "))
 
 
+def with_clean_tokens(df: DataFrame, text: str, out: str, stopwords: list[str] | None = None,
+                      lemmas: Column | None = None) -> DataFrame:
+    """DataFrame form of ``clean_tokens``: the stop-word test runs in Spark ML's
+    ``StopWordsRemover`` (a JVM hash set) instead of a per-token scan of a
+    literal array; the length rule stays a built-in ``filter``."""
+    raw = f"__{out}_raw"
+    sw = f"__{out}_sw"
+    staged = df.withColumn(raw, tokens(strip_punct(glue_units(text))))
+    remover = StopWordsRemover(inputCol=raw, outputCol=sw, caseSensitive=True,
+                               stopWords=stopwords if stopwords is not None else STOPWORDS)
+    kept = F.filter(F.col(sw), lambda t: (F.length(t) > 2) | t.rlike(ISDIGIT_RE))
+    if lemmas is not None:
+        kept = F.transform(kept, lambda t: F.coalesce(F.try_element_at(lemmas, t), t))
+    return remover.transform(staged).withColumn(out, kept).drop(raw, sw)
+
+
+def with_clean_text(df: DataFrame, text: str, out: str, stopwords: list[str] | None = None,
+                    lemmas: Column | None = None) -> DataFrame:
+    """DataFrame form of ``clean_text``."""
+    toks = f"__{out}_toks"
+    staged = with_clean_tokens(df, text, toks, stopwords, lemmas)
+    t = F.col(text)
+    return staged.withColumn(out, F.when(t.isNull() | t.rlike(BLANK_RE), F.lit("")).otherwise(
+        F.array_join(F.col(toks), " "))).drop(toks)
+
+
 def contamination(text: Column | str) -> Column:
     """1 when a contamination stem occurs (case-insensitive, Unicode), else 0; null -> 0."""
     t = _c(text)

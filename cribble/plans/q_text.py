@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from cribble.functions import text as T
@@ -18,7 +19,7 @@ def _docs(spark, sf):
 @register("clean_text", ops=("N1", "N1c", "N1d", "S7"),
           sql=f"SELECT doc_id, {T.sql_clean_text('text')} AS text_clean FROM documents")
 def q_clean_text(spark, sf):
-    return _docs(spark, sf).select("doc_id", T.clean_text("text").alias("text_clean"))
+    return T.with_clean_text(_docs(spark, sf), "text", "text_clean").select("doc_id", "text_clean")
 
 
 @register("unit_glue", ops=("N1a",), sql=f"SELECT doc_id, {T.sql_glue_units('text')} AS glued FROM documents")
@@ -43,7 +44,8 @@ def q_tokenize(spark, sf):
 @register("stopword_filter", ops=("N1d", "N1e"), sql=f"""
 SELECT doc_id, CAST(len({T.sql_clean_tokens('text')}) AS INTEGER) AS n_kept FROM documents""")
 def q_stopword_filter(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.size(T.clean_tokens("text")).alias("n_kept"))
+    d = T.with_clean_tokens(_docs(spark, sf), "text", "toks")
+    return d.select("doc_id", F.size("toks").alias("n_kept"))
 
 
 @register("contamination_flag", ops=("N2",),
@@ -69,9 +71,9 @@ FROM (SELECT doc_id, CAST(len({T.sql_whitespace_words('text')}) AS INTEGER) AS r
              CAST(len({T.sql_whitespace_words(T.sql_clean_text('text'))}) AS INTEGER) AS clean_words
       FROM documents)""")
 def q_text_reduction(spark, sf):
-    d = _docs(spark, sf).select(
+    d = T.with_clean_text(_docs(spark, sf), "text", "clean").select(
         "doc_id", F.size(T.whitespace_words("text")).alias("raw_words"),
-        F.size(T.whitespace_words(T.clean_text("text"))).alias("clean_words"))
+        F.size(T.whitespace_words("clean")).alias("clean_words"))
     return d.withColumn("reduction_pct", T.reduction_pct(F.col("raw_words"), F.col("clean_words")))
 
 
@@ -83,17 +85,25 @@ SELECT doc_id, CAST(len(vt) AS INTEGER) AS n_unigrams, CAST(len(ng) - len(vt) AS
        array_to_string(ng, '|') AS terms
 FROM (SELECT doc_id, vt, {T.sql_ngrams_1_2('vt')} AS ng FROM ({_VT}))""")
 def q_ngrams(spark, sf):
-    d = _docs(spark, sf).withColumn("vt", T.vector_tokens(T.clean_text("text")))
+    d = T.with_clean_text(_docs(spark, sf), "text", "clean").withColumn("vt", T.vector_tokens("clean"))
     d = d.withColumn("ng", T.ngrams_1_2(F.col("vt")))
     return d.select("doc_id", F.size("vt").alias("n_unigrams"),
                     (F.size("ng") - F.size("vt")).alias("n_bigrams"), F.array_join("ng", "|").alias("terms"))
 
 
-def _ng_frame(spark, sf):
-    d = _docs(spark, sf).withColumn("vt", T.vector_tokens(T.clean_text("text")))
+def _ng_frame(spark, sf, cols=("doc_id", "text")):
+    d = catalog.table(spark, sf, "documents").select(*cols)
+    d = T.with_clean_text(d, "text", "clean").withColumn("vt", T.vector_tokens("clean"))
     return d.withColumn("ng", T.ngrams_1_2(F.col("vt")))
 
 
+def _counts(d, toks="ng", extra=()):
+    """(doc, term, n) counts, persisted: the vocabulary fit and the transform share them."""
+    c = (d.select("doc_id", *extra, F.explode_outer(toks).alias("term")).where(F.col("term").isNotNull())
+         .groupBy("doc_id", *extra, "term").agg(F.count(F.lit(1)).alias("n")))
+    return c.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 _NG_SQL = f"""
 d AS (SELECT doc_id, {T.sql_ngrams_1_2('vt')} AS ng FROM ({_VT})),
 c AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(ng) AS term FROM d) GROUP BY doc_id, term),
@@ -109,7 +119,7 @@ SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df,
 FROM s, nd""")
 def q_vocab(spark, sf):
     d = _ng_frame(spark, sf)
-    vocab = V.fit_vocab(d, "doc_id", F.col("ng"))
+    vocab = V.fit_vocab(_counts(d), d.count())
     return V.vocab_frame(spark, vocab).withColumn("idf", rnd("idf", 6))
 
 
@@ -120,8 +130,9 @@ w AS (SELECT c.doc_id, c.term, (1 + ln(c.n::DOUBLE)) * (ln((1 + nd.n) / (1 + s.d
 SELECT doc_id, term, {sql_rnd('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 6)} AS weight FROM w""")
 def q_tfidf(spark, sf):
     d = _ng_frame(spark, sf)
-    vocab = V.fit_vocab(d, "doc_id", F.col("ng"))
-    return V.tfidf(d, "doc_id", F.col("ng"), vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
+    counts = _counts(d)
+    vocab = V.fit_vocab(counts, d.count())
+    return V.tfidf(counts, "doc_id", vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
 
 
 @register("tfidf_unseen", ops=("N9",), sql=f"""
@@ -137,11 +148,12 @@ w AS (SELECT c.doc_id, c.term, (1 + ln(c.n::DOUBLE)) * (ln((1 + nd.n) / (1 + s.d
 SELECT doc_id, term, {sql_rnd('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 6)} AS weight FROM w""")
 def q_tfidf_unseen(spark, sf):
     """Vocabulary fitted on English documents, applied to the others (unseen terms vanish)."""
-    d = catalog.table(spark, sf, "documents").select("doc_id", "text", "lang")
-    d = d.withColumn("vt", T.vector_tokens(T.clean_text("text"))).withColumn("ng", T.ngrams_1_2(F.col("vt")))
-    vocab = V.fit_vocab(d.where(F.col("lang") == "en"), "doc_id", F.col("ng"))
-    other = d.where(F.col("lang") != "en")
-    return V.tfidf(other, "doc_id", F.col("ng"), vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
+    d = _ng_frame(spark, sf, ("doc_id", "text", "lang"))
+    counts = _counts(d, extra=("lang",))
+    n_en = d.where(F.col("lang") == "en").count()
+    vocab = V.fit_vocab(counts.where(F.col("lang") == "en"), n_en)
+    other = counts.where(F.col("lang") != "en")
+    return V.tfidf(other, "doc_id", vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
 
 
 @register("bow", ops=("N8",), sql=f"""
@@ -151,9 +163,10 @@ s AS (SELECT term FROM c GROUP BY term HAVING count(*) >= 2 ORDER BY sum(n) DESC
 v AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM s)
 SELECT c.doc_id, c.term, v.idx, c.n FROM c JOIN v USING (term)""")
 def q_bow(spark, sf):
-    d = _docs(spark, sf).withColumn("vt", T.vector_tokens(T.clean_text("text")))
-    vocab = V.fit_vocab(d, "doc_id", F.col("vt"))
-    return V.bow(d, "doc_id", F.col("vt"), vocab).select("doc_id", "term", "idx", "n")
+    d = T.with_clean_text(_docs(spark, sf), "text", "clean").withColumn("vt", T.vector_tokens("clean"))
+    counts = _counts(d, "vt")
+    vocab = V.fit_vocab(counts, d.count())
+    return V.bow(counts, vocab).select("doc_id", "term", "idx", "n")
 
 
 @register("token_counts", ops=("A13",), sql=f"""
@@ -174,7 +187,7 @@ def q_top_tokens(spark, sf):
 SELECT text, {T.sql_clean_text('text')} AS text_clean, count(*) AS n_docs FROM documents GROUP BY text""")
 def q_distinct_texts(spark, sf):
     d = _docs(spark, sf).groupBy("text").agg(F.count(F.lit(1)).alias("n_docs"))
-    return d.select("text", T.clean_text("text").alias("text_clean"), "n_docs")
+    return T.with_clean_text(d, "text", "text_clean").select("text", "text_clean", "n_docs")
 
 
 @register("text_feature_join", ops=("J1", "N5", "U5"), sql=f"""
@@ -185,9 +198,9 @@ SELECT d.doc_id, d.lang, coalesce(m.text_clean, '') AS text_clean, m.contaminati
 FROM documents d LEFT JOIN m ON d.text IS NOT DISTINCT FROM m.text""")
 def q_text_feature_join(spark, sf):
     docs = catalog.table(spark, sf, "documents").select("doc_id", "lang", "text")
-    mapping = (docs.select("text").distinct()
-               .select(F.col("text").alias("m_text"), T.clean_text("text").alias("text_clean"),
-                       T.contamination("text").alias("contamination"), T.condition("text").alias("condition")))
+    mapping = T.with_clean_text(docs.select("text").distinct(), "text", "text_clean").select(
+        F.col("text").alias("m_text"), "text_clean",
+        T.contamination("text").alias("contamination"), T.condition("text").alias("condition"))
     j = docs.join(mapping, docs.text.eqNullSafe(mapping.m_text), "left")
     return j.select("doc_id", "lang", F.coalesce("text_clean", F.lit("")).alias("text_clean"),
                     "contamination", "condition")
@@ -197,5 +210,5 @@ def q_text_feature_join(spark, sf):
 SELECT doc_id, {T.sql_lexical_category('toks')} AS lexical
 FROM (SELECT doc_id, {T.sql_whitespace_words(T.sql_clean_text('text'))} AS toks FROM documents)""")
 def q_lexical_rule(spark, sf):
-    d = _docs(spark, sf).withColumn("toks", T.whitespace_words(T.clean_text("text")))
+    d = T.with_clean_tokens(_docs(spark, sf), "text", "toks")
     return d.select("doc_id", T.lexical_category(F.col("toks")).alias("lexical"))
