@@ -275,3 +275,34 @@ class Fitted:
     label_codes: list = field(default_factory=list)
     density_median: float | None = None
     scales: dict = field(default_factory=dict)
+
+
+# ---------------------------------------------------------------- cell mask, imputation error
+
+def mask_threshold_hex(fraction: float) -> str:
+    """Hash prefix below which a cell is masked: 8 hex digits compare like numbers."""
+    return format(int(fraction * 16 ** 8), "08x")
+
+
+def mask_flag(key: str, col: str, fraction: float = 0.10) -> F.Column:
+    """Repeatable Bernoulli(fraction) cell mask from md5(key|column), independent of partitioning."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{col}")))
+    return F.substring(h, 1, 8) < F.lit(mask_threshold_hex(fraction))
+
+
+def mask_cells(df: DataFrame, key: str, cols: Sequence[str], fraction: float = 0.10) -> DataFrame:
+    """Set ~fraction of the cells of ``cols`` to NULL; ``m_<col>`` flags the masked cells."""
+    flags = {f"m_{c}": mask_flag(key, c, fraction) & F.col(c).isNotNull() for c in cols}
+    out = df.withColumns(flags)
+    return out.withColumns({c: F.when(F.col(f"m_{c}"), F.lit(None).cast("double")).otherwise(F.col(c))
+                            for c in cols})
+
+
+def pooled_rmse(truth: DataFrame, imputed: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """RMSE over the masked cells of all columns together (unscaled, as published)."""
+    t = truth.select(key, *[F.col(c).alias(f"t_{c}") for c in cols])
+    j = imputed.join(t, key)
+    sq = [F.when(F.col(f"m_{c}"), (F.col(c) - F.col(f"t_{c}")) * (F.col(c) - F.col(f"t_{c}"))) for c in cols]
+    pairs = F.explode(F.array(*sq)).alias("e")
+    long = j.select(pairs).where(F.col("e").isNotNull())
+    return long.agg(F.sqrt(F.avg("e")).alias("rmse"), F.count(F.lit(1)).alias("n_masked"))

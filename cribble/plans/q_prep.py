@@ -400,3 +400,98 @@ def q_split_median_fill(spark, sf):
     s = prep.stratified_split(_items(spark, sf).select("item_id", "cat", "w", "v"), "cat", "item_id")
     med = prep.fit_group_medians(s, ["w", "v"], "split")
     return prep.apply_group_fill(s, med, "split").select("item_id", "split", "w", "v")
+
+
+# ---------------------------------------------------------------- validation, masks, imputation error
+
+from cribble.operators import validate as VAL  # noqa: E402
+
+_REQ = ("SELECT item_id, w AS poids, v AS volume, c AS conductivite, o AS opacite, r AS rigidite, src AS source, "
+        "cat AS rapport_collecte FROM items")
+
+
+def _requests(spark, sf):
+    return _items(spark, sf).select(
+        "item_id", F.col("w").alias("poids"), F.col("v").alias("volume"), F.col("c").alias("conductivite"),
+        F.col("o").alias("opacite"), F.col("r").alias("rigidite"), F.col("src").alias("source"),
+        F.col("cat").alias("rapport_collecte"))
+
+
+def _reasons_sql() -> str:
+    from cribble.functions import fixed
+    checks = []
+    for col, lo, hi in fixed.REQUEST_RANGES:
+        w = f"WHEN {col} IS NULL OR isnan({col}) THEN '{col}:required'"
+        if lo is not None:
+            w += f" WHEN {col} < {lo} THEN '{col}:min'"
+        if hi is not None:
+            w += f" WHEN {col} > {hi} THEN '{col}:max'"
+        checks.append(f"CASE {w} END")
+    checks.append("CASE WHEN rapport_collecte IS NULL THEN 'rapport_collecte:required' "
+                  f"WHEN length(rapport_collecte) < {fixed.MIN_TEXT_LENGTH} THEN 'rapport_collecte:min_length' END")
+    return f"array_to_string(list_sort(list_filter([{', '.join(checks)}], lambda x: x IS NOT NULL)), ',')"
+
+
+@register("validate_requests", ops=("P10", "R1"), sql=with_items(f"""
+req AS ({_REQ})
+SELECT item_id, coalesce(source, 'Unknown') AS source, {_reasons_sql()} AS reasons,
+       {_reasons_sql()} = '' AS valid FROM req"""))
+def q_validate_requests(spark, sf):
+    return VAL.validate(_requests(spark, sf)).select("item_id", "source", "reasons", "valid")
+
+
+@register("quarantine_counts", ops=("P10",), sql=with_items(f"""
+req AS ({_REQ})
+SELECT {_reasons_sql()} = '' AS valid, count(*) AS n FROM req GROUP BY 1"""))
+def q_quarantine_counts(spark, sf):
+    return VAL.validate(_requests(spark, sf)).groupBy("valid").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TH = prep.mask_threshold_hex(0.10)
+
+
+def _mask_sql(c: str) -> str:
+    return f"(substr(md5(CAST(item_id AS VARCHAR) || '|{c}'), 1, 8) < '{_TH}' AND {c} IS NOT NULL)"
+
+
+@register("mask_cells", ops=("P12",), sql=with_items(f"""
+m AS (SELECT {_MED} FROM items),
+ref AS (SELECT i.item_id, {", ".join(f"coalesce(i.{c}, m.{c}) AS {c}" for c in NUM)} FROM items i, m)
+SELECT item_id, {", ".join(f"CASE WHEN {_mask_sql(c)} THEN NULL ELSE {c} END AS {c}, {_mask_sql(c)} AS m_{c}" for c in FEATS)}
+FROM ref"""))
+def q_mask_cells(spark, sf):
+    df = _items(spark, sf)
+    ref = prep.apply_fill(df, prep.fit_medians(df, NUM)).select("item_id", *FEATS)
+    return prep.mask_cells(ref, "item_id", FEATS).select("item_id", *FEATS, *[f"m_{c}" for c in FEATS])
+
+
+@register("imputer_rmse", ops=("A12", "E10"), sql=with_items(f"""
+m AS (SELECT {_MED} FROM items),
+ref AS (SELECT i.item_id, {", ".join(f"coalesce(i.{c}, m.{c}) AS {c}" for c in NUM)} FROM items i, m),
+masked AS (SELECT item_id, {", ".join(f"CASE WHEN {_mask_sql(c)} THEN NULL ELSE {c} END AS {c}, {_mask_sql(c)} AS m_{c}" for c in FEATS)} FROM ref),
+m2 AS (SELECT {", ".join(f"median({c}) AS {c}" for c in FEATS)} FROM masked),
+err AS ({" UNION ALL ".join(f"SELECT (m2.{c} - r.{c}) * (m2.{c} - r.{c}) AS e FROM masked k JOIN ref r USING (item_id), m2 WHERE k.m_{c}" for c in FEATS)})
+SELECT 'median' AS method, {sql_rnd('sqrt(avg(e))', 4)} AS rmse, count(*) AS n_masked FROM err"""))
+def q_imputer_rmse(spark, sf):
+    df = _items(spark, sf)
+    ref = prep.apply_fill(df, prep.fit_medians(df, NUM)).select("item_id", *FEATS)
+    masked = prep.mask_cells(ref, "item_id", FEATS)
+    imputed = prep.apply_fill(masked, prep.fit_medians(masked, FEATS))
+    r = prep.pooled_rmse(ref, imputed, "item_id", FEATS)
+    return r.select(F.lit("median").alias("method"), rnd("rmse", 4).alias("rmse"), "n_masked")
+
+
+@register("standardize_apply", ops=("E5", "B8"), sql=with_items(f"""
+pos AS (SELECT i.*, row_number() OVER (PARTITION BY cat ORDER BY md5(CAST(item_id AS VARCHAR))) AS pos,
+               count(*) OVER (PARTITION BY cat) AS n_c FROM items i WHERE cat IS NOT NULL),
+s AS (SELECT *, CASE WHEN pos * 10000 <= n_c * 7000 THEN 'train'
+                     WHEN pos * 10000 <= n_c * 8500 THEN 'val' ELSE 'test' END AS split FROM pos),
+st AS (SELECT {_ST} FROM s WHERE split = 'train')
+SELECT item_id, split, {", ".join(sql_rnd(f"({c} - m_{c}) / coalesce(nullif(s_{c}, 0), 1.0)", 6) + f" AS {c}" for c in FEATS)}
+FROM s, st WHERE split <> 'train'"""))
+def q_standardize_apply(spark, sf):
+    """Scaler fitted on the training split only, applied to validation and test rows."""
+    s = prep.stratified_split(_items(spark, sf).where(F.col("cat").isNotNull()), "cat", "item_id")
+    sc = prep.fit_scale(s.where(F.col("split") == "train"), FEATS)
+    out = prep.apply_scale(s.where(F.col("split") != "train"), sc)
+    return out.select("item_id", "split", *[rnd(c, 6).alias(c) for c in FEATS])
