@@ -160,13 +160,13 @@ def evaluate(pred: DataFrame, label: str = "label") -> dict:
     return {"accuracy": acc, "f1_weighted": f1}
 
 
-def cross_validate(pipeline: Pipeline, grid, train: DataFrame, fold_col: str, metric: str = "f1",
+def cross_validate(pipeline: Pipeline, grid, train: DataFrame, fold_col: str, num_folds: int, metric: str = "f1",
                    label: str = "label", parallelism: int = 2, regression: bool = False):
     """Grid search with user folds (W2 fold ids) and refit on the whole training set (M1)."""
     ev = (RegressionEvaluator(labelCol=label, metricName=metric) if regression
           else MulticlassClassificationEvaluator(labelCol=label, metricName=metric))
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=42)
+                        numFolds=num_folds, parallelism=parallelism, seed=42)
     return cv.fit(train)
 
 

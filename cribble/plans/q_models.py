@@ -97,7 +97,7 @@ def q_cv_leaderboard(spark, sf):
     rows = []
     for c in ML.Grids().logreg_c:
         lr = ML.logreg(c, n, featuresCol="features", labelCol="y")
-        cvm = ML.cross_validate(Pipeline(stages=[lr]), ParamGridBuilder().build(), train, "fold", label="y")
+        cvm = ML.cross_validate(Pipeline(stages=[lr]), ParamGridBuilder().build(), train, "fold", 5, label="y")
         met = ML.evaluate(cvm.bestModel.transform(test), "y")
         rows.append(("logreg", f"C={c}", float(cvm.avgMetrics[0]), met["accuracy"], met["f1_weighted"]))
     out = spark.createDataFrame(rows, "model string, params string, cv_f1 double, test_accuracy double, "
