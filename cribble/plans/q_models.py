@@ -341,13 +341,13 @@ def q_word2vec(spark, sf):
 
 @register("subword_embed", ops=("N11",))
 def q_subword_embed(spark, sf):
-    """Subword vectors: Word2Vec over '<word>' character n-grams; a word's vector is the
-    mean of its n-gram vectors, so unseen words still get one (FastText re-aim)."""
+    """Subword vectors (FastText re-aim): Word2Vec over the '<word>' character n-gram
+    sequence of every distinct word; a word's vector is the mean of its n-gram
+    vectors, so words never seen in training still get one."""
     d = _doc_tokens(spark, sf)
-    sub = d.select("doc_id", F.flatten(F.transform("toks", lambda w: ML.char_ngrams(w))).alias("grams"))
-    model = ML.word2vec("grams", "g2v").fit(sub)
     words = d.select(F.explode_outer("toks").alias("word")).where(F.col("word").isNotNull()).distinct()
-    wg = words.withColumn("grams", ML.char_ngrams(F.col("word"))).withColumn("wid", F.col("word"))
+    wg = words.withColumn("grams", ML.char_ngrams(F.col("word"))).withColumn("wid", F.col("word")).persist()
+    model = ML.word2vec("grams", "g2v").fit(wg)
     pooled = ML.mean_pool(wg, "wid", "grams", model.getVectors(), 100)
     return pooled.select(F.col("wid").alias("word"), F.size("pooled").alias("dim"))
 
