@@ -128,13 +128,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         small = [b for b in blist if targets[(b[0], brackets[b][0])]["inside"] <= fetch_limit]
         large = [b for b in blist if b not in small]
         if small:
-            cond = None
-            tag = None
-            for i, (k, lo, hi) in enumerate(small):
-                c = (F.col("_k") == k) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
-                cond = c if cond is None else (cond | c)
-                tag = F.when(c, i) if tag is None else tag.when(c, i)
-            rows = (long.where(cond).groupBy(tag.alias("t"), F.col("_x")).count()
+            # brackets of one column may overlap: a value is counted once per bracket holding it
+            conds = [(F.col("_k") == k) & (F.col("_x") >= lo) & (F.col("_x") <= hi) for k, lo, hi in small]
+            ids = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conds)]), lambda x: x.isNotNull())
+            rows = (long.select(F.explode(ids).alias("t"), "_x").groupBy("t", "_x").count()
                     .collect())
             per: dict[int, list] = {}
             for row in rows:
@@ -150,20 +147,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                             break
                         cum += c
         if large:
-            exprs = []
-            cond = None
+            items = []
             for i, (k, lo, hi) in enumerate(large):
                 width = (hi - lo) / bins if hi > lo else 1.0
                 c = (F.col("_k") == k) & (F.col("_x") >= lo) & (F.col("_x") <= hi)
-                cond = c if cond is None else (cond | c)
-                exprs.append((c, i, lo, width))
-            tag = None
-            binc = None
-            for c, i, lo, width in exprs:
                 b_expr = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
-                tag = F.when(c, i) if tag is None else tag.when(c, i)
-                binc = F.when(c, b_expr) if binc is None else binc.when(c, b_expr)
-            rows = (long.where(cond).groupBy(tag.alias("t"), binc.alias("bin"))
+                items.append(F.when(c, F.struct(F.lit(i).alias("t"), b_expr.alias("bin"))))
+            hits = F.filter(F.array(*items), lambda x: x.isNotNull())
+            rows = (long.select(F.explode(hits).alias("h"), "_x").groupBy("h.t", "h.bin")
                     .agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx"))
                     .collect())
             per = {}
