@@ -67,20 +67,23 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair.
 
     Constant columns give NULL (pandas gives NaN; Spark's ``corr`` would raise
-    under ANSI mode).  All pairs are computed in one aggregation.
+    under ANSI mode).  Only the upper triangle is aggregated (one pass); the
+    lower triangle is its mirror and the diagonal is 1 where the column varies.
     """
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
-    aggs = []
-    names = []
-    for i, (a, b) in enumerate(pairs):
-        names.append(f"p{i}")
-        aggs.append(rnd(_pair_corr(F.col(a).cast("double"), F.col(b).cast("double")), 6).alias(f"p{i}"))
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    aggs = [rnd(_pair_corr(F.col(a).cast("double"), F.col(b).cast("double")), 6).alias(f"p{i}")
+            for i, (a, b) in enumerate(upper)]
+    aggs += [F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)]))
-    return wide.select(stacked.alias("s")).select("s.*")
+    cells = []
+    for i, (a, b) in enumerate(upper):
+        cells.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{i}").alias("corr")))
+        cells.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"p{i}").alias("corr")))
+    for i, c in enumerate(cols):
+        diag = F.when(F.col(f"s{i}") > 0, F.lit(1.0))
+        cells.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), diag.alias("corr")))
+    return wide.select(F.explode(F.array(*cells)).alias("s")).select("s.*")
 
 
 def missing_mechanism(df: DataFrame, cols: Sequence[str], label_col: str | None = None,

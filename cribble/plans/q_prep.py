@@ -108,7 +108,8 @@ def _corr_sql(a: str, b: str) -> str:
 _CORR_COLS = FEATS + ["price"]
 _CORR = "\nUNION ALL ".join(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, {sql_rnd(_corr_sql(a, b), 6)} AS corr FROM items"
-    for a in _CORR_COLS for b in _CORR_COLS)
+    for a in _CORR_COLS for b in _CORR_COLS if a != b) + "\nUNION ALL " + "\nUNION ALL ".join(
+    f"SELECT '{c}', '{c}', CASE WHEN stddev_pop({c}) > 0 THEN 1.0 END FROM items" for c in _CORR_COLS)
 
 
 @register("corr_matrix", ops=("A8",), sql=with_items(f"s AS (SELECT 1)\n{_CORR}"))
