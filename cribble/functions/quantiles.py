@@ -89,6 +89,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     "lo": min(lo, hi), "hi": max(lo, hi), "below": None,
                     "mn": row["mn"], "mx": row["mx"], "value": None})
 
+    # first attempt: one pass counts the rows below every bracket and fetches the
+    # bracket's distinct values together, when every bracket spans few ranks
+    n_max = max((r["n"] for r in stats), default=0)
+    if targets and 4 * delta * n_max + 2 <= fetch_limit:
+        _fetch_with_below(long, targets)
+
     for _round in range(64):
         pending = {t: s for t, s in targets.items() if s["value"] is None}
         if not pending:
@@ -194,6 +200,53 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return out
 
 
+def _fetch_with_below(long: DataFrame, targets: dict) -> None:
+    """One pass: per column, merged brackets cut the value line into gap and
+    bracket segments (a codegen'd CASE); gaps are only counted, bracket values
+    are kept as distinct (value, count) rows.  Ranks are then exact on the driver."""
+    per_key: dict[str, list] = {}
+    for (key, _rank), st in targets.items():
+        per_key.setdefault(key, []).append((st["lo"], st["hi"]))
+    merged: dict[str, list] = {}
+    for key, ivs in per_key.items():
+        out = []
+        for lo, hi in sorted(ivs):
+            if out and lo <= out[-1][1]:
+                out[-1] = (out[-1][0], max(out[-1][1], hi))
+            else:
+                out.append((lo, hi))
+        merged[key] = out
+    seg = None
+    for key, ivs in merged.items():
+        inner = None
+        for j, (lo, hi) in enumerate(ivs):
+            inner = (F.when(F.col("_x") < lo, F.lit(2 * j)) if inner is None
+                     else inner.when(F.col("_x") < lo, F.lit(2 * j)))
+            inner = inner.when(F.col("_x") <= hi, F.lit(2 * j + 1))
+        inner = inner.otherwise(F.lit(2 * len(ivs)))
+        seg = F.when(F.col("_k") == key, inner) if seg is None else seg.when(F.col("_k") == key, inner)
+    staged = long.where(F.col("_k").isin(list(merged))).select("_k", seg.alias("seg"), "_x")
+    value = F.when(F.col("seg") % 2 == 1, F.col("_x"))
+    rows = staged.groupBy("_k", "seg", value.alias("v")).count().collect()
+    walk: dict[str, list] = {}
+    for row in rows:
+        walk.setdefault(row["_k"], []).append((row["seg"], row["v"], row["count"]))
+    for key in merged:
+        cum = 0
+        ranked = []  # (first rank, last rank, segment, value)
+        for sg, v, c in sorted(walk.get(key, []), key=lambda t: (t[0], t[1] if t[1] is not None else 0.0)):
+            ranked.append((cum, cum + c - 1, sg, v))
+            cum += c
+        for (k2, rank), st in targets.items():
+            if k2 != key:
+                continue
+            for first, last, sg, v in ranked:
+                if first <= rank <= last:
+                    if sg % 2 == 1:
+                        st["value"] = v
+                    break
+
+
 def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     q = exact_quantiles(df, cols, [0.5])
     return {c: q[((), c, 0.5)] for c in cols}

@@ -130,10 +130,10 @@ def fit_codes(df: DataFrame, col: str, null_as: str | None = None) -> list:
     """
     c = F.coalesce(F.col(col), F.lit(null_as)) if null_as is not None else F.col(col)
     distinct = df.select(c.alias("v")).where(F.col("v").isNotNull()).distinct()
-    n = distinct.count()
-    if n > MAX_LABELS:
-        raise ValueError(f"{col} has {n} distinct values; more than {MAX_LABELS} cannot be a code table")
-    return sorted(r["v"] for r in distinct.collect())
+    rows = distinct.limit(MAX_LABELS + 1).collect()  # bounded fetch; one job
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"{col} has more than {MAX_LABELS} distinct values; too many for a code table")
+    return sorted(r["v"] for r in rows)
 
 
 def apply_codes(df: DataFrame, col: str, codes: list, out: str, null_as: str | None = None,
