@@ -109,3 +109,24 @@ def test_mask_fraction(items):
     m = prep.mask_cells(items, "row_id", ["Opacite"], 0.10)
     frac = m.agg(F.avg(F.col("m_Opacite").cast("double"))).first()[0]
     assert 0.03 < frac < 0.2
+
+
+def test_mice_recovers_linear_structure(spark):
+    rng = np.random.default_rng(5)
+    n = 600
+    a = rng.normal(0, 1, n)
+    b = 2.0 * a + rng.normal(0, 0.1, n)
+    c = -a + rng.normal(0, 0.1, n)
+    rows = []
+    truth = {}
+    for i in range(n):
+        bi = None if i % 7 == 0 else float(b[i])
+        truth[i] = b[i]
+        rows.append((i, float(a[i]), bi, float(c[i])))
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    from cribble.operators.impute import mice_impute
+    out, info = mice_impute(df, ["a", "b", "c"])
+    got = {r["id"]: r["b"] for r in out.collect()}
+    assert all(v is not None for v in got.values())
+    err = np.sqrt(np.mean([(got[i] - truth[i]) ** 2 for i in range(0, n, 7)]))
+    assert err < 0.3 and info["rounds"] >= 1
