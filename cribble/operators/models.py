@@ -83,10 +83,18 @@ def vector_from_array(df: DataFrame, col: str, out: str = "features") -> DataFra
 
 # ------------------------------------------------------------------ estimators
 
-def logreg(c: float, n_rows: int, **kw) -> LogisticRegression:
+def logreg(c: float, n_rows: int, max_iter: int = 500, **kw) -> LogisticRegression:
     """C-parameterised logistic regression: regParam = 1 / (C * n), no internal standardisation (M2)."""
     return LogisticRegression(regParam=1.0 / (c * max(n_rows, 1)), elasticNetParam=0.0, standardization=False,
-                              maxIter=500, family="auto", **kw)
+                              maxIter=max_iter, family="auto", **kw)
+
+
+def scale_stage(scales: dict, suffix: str = "") -> SQLTransformer:
+    """Fitted population-std scaling as a savable pipeline stage (E5 inside the model)."""
+    exprs = ", ".join(f"({c} - {s.mean!r}) / {s.std!r} AS {c}{suffix}" for c, s in scales.items())
+    keep = ", ".join(f"`{c}`" for c in scales) if not suffix else ""
+    body = f"SELECT * EXCEPT ({keep}), {exprs} FROM __THIS__" if keep else f"SELECT *, {exprs} FROM __THIS__"
+    return SQLTransformer(statement=body)
 
 
 def rf_classifier(trees: int = 100, depth: int = 10, min_split: int = 2, seed: int = 42, **kw):

@@ -10,8 +10,8 @@ import tempfile
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
@@ -389,8 +389,8 @@ def q_nlp_matrix(spark, sf):
     tr = feats.transform(train).persist()
     te = {k: feats.transform(s.where(F.col("split") == k)).persist() for k in ("val", "test")}
     ests = {
-        "linear_svc": ML.linear_svc_ovr(1.0, n, featuresCol="tfidf", labelCol="y"),
-        "logreg": ML.logreg(10.0, n, featuresCol="tfidf", labelCol="y"),
+        "linear_svc": ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="tfidf", labelCol="y"),
+        "logreg": ML.logreg(10.0, n, max_iter=100, featuresCol="tfidf", labelCol="y"),
         "naive_bayes": ML.naive_bayes(featuresCol="tfidf", labelCol="y"),
         "rf": ML.rf_classifier(100, 10, featuresCol="tfidf", labelCol="y"),
     }
@@ -402,31 +402,48 @@ def q_nlp_matrix(spark, sf):
                                        "val_f1 double, test_accuracy double, test_f1 double")
 
 
-def _fusion_frames(spark, sf, num_weight: float = 1.0):
+FUSION_NUM = ["n_words", "log_chars"]
+
+
+def _fused_features(spark, sf):
+    """Fit the feature stages once (numeric scaling + text TF-IDF) and cache the
+    transformed training and test rows; every classifier below reuses them."""
     s = _labelled_docs(spark, sf)
     train, test = s.where(F.col("split") != "test"), s.where(F.col("split") == "test")
     vocab = _text_vocab(train)
-    num = ["n_words", "log_chars"]
-    train, test = _num_scaled(train, test, num)
-    if num_weight != 1.0:
-        train = train.withColumns({c: F.col(c) * F.lit(num_weight) for c in num})
-        test = test.withColumns({c: F.col(c) * F.lit(num_weight) for c in num})
-    stages = ML.text_stages("text", vocab, "tfidf") + [
-        VectorAssembler(inputCols=num + ["tfidf"], outputCol="features", handleInvalid="keep")]
-    return train, test, stages
+    scales = prep.fit_scale(train, FUSION_NUM)
+    stages = [ML.scale_stage(scales)] + ML.text_stages("text", vocab, "tfidf")
+    feats = Pipeline(stages=stages).fit(train)
+    keep = ["doc_id", "quality", "y", *FUSION_NUM, "tfidf"]
+    tr = feats.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    te = feats.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    return feats, tr, te, test
+
+
+def _assembler(weight: float = 1.0) -> list:
+    """Numeric block (optionally weighted, M12) joined to the TF-IDF block."""
+    stages = []
+    num = FUSION_NUM
+    if weight != 1.0:
+        stmt = ", ".join(f"{c} * {weight!r} AS w_{c}" for c in FUSION_NUM)
+        stages.append(SQLTransformer(statement=f"SELECT *, {stmt} FROM __THIS__"))
+        num = [f"w_{c}" for c in FUSION_NUM]
+    stages.append(VectorAssembler(inputCols=num + ["tfidf"], outputCol="features", handleInvalid="keep"))
+    return stages
 
 
 @register("multimodal", ops=("M11", "S9", "M13", "M14"))
 def q_multimodal(spark, sf):
-    """Numeric + TF-IDF fused into one vector, one-vs-rest linear SVM; saved, reloaded, scored."""
-    train, test, stages = _fusion_frames(spark, sf)
-    n = train.count()
-    pipe = Pipeline(stages=stages + [ML.linear_svc_ovr(1.0, n, featuresCol="features", labelCol="y")])
-    model = pipe.fit(train)
+    """Numeric + TF-IDF fused into one vector, one-vs-rest linear SVM; the whole pipeline
+    (scaling, text stages, assembler, classifier) is saved, reloaded and scores raw rows."""
+    feats, tr, te, raw_test = _fused_features(spark, sf)
+    n = tr.count()
+    head = Pipeline(stages=_assembler() + [ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features",
+                                                              labelCol="y")]).fit(tr)
+    model = PipelineModel(stages=feats.stages + head.stages)
     path = tempfile.mkdtemp(prefix="model-", dir=_model_dir(spark))
     ML.save(model, path)
-    reloaded = ML.load(path)
-    pred = reloaded.transform(test)
+    pred = ML.load(path).transform(raw_test)
     met = ML.evaluate(pred, "y")
     return pred.select("doc_id", "y", "prediction", F.lit(met["accuracy"]).alias("test_accuracy"),
                        F.lit(met["f1_weighted"]).alias("test_f1"))
@@ -439,12 +456,13 @@ def _model_dir(spark) -> str:
 
 @register("weighted_fusion", ops=("M12",))
 def q_weighted_fusion(spark, sf):
+    _, tr, te, _ = _fused_features(spark, sf)
+    n = tr.count()
     rows = []
     for w in (1.0, 2.0, 0.5):
-        train, test, stages = _fusion_frames(spark, sf, w)
-        n = train.count()
-        model = Pipeline(stages=stages + [ML.linear_svc_ovr(1.0, n, featuresCol="features", labelCol="y")]).fit(train)
-        met = ML.evaluate(model.transform(test), "y")
+        model = Pipeline(stages=_assembler(w) + [ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features",
+                                                                   labelCol="y")]).fit(tr)
+        met = ML.evaluate(model.transform(te), "y")
         rows.append((f"numeric x {w:g}", met["accuracy"], met["f1_weighted"]))
     return spark.createDataFrame(rows, "approach string, test_accuracy double, test_f1 double")
 
@@ -452,14 +470,14 @@ def q_weighted_fusion(spark, sf):
 @register("stacking", ops=("M12b",))
 def q_stacking(spark, sf):
     """Three base models, 3-fold out-of-fold scores, logistic meta-model on them."""
-    train, test, stages = _fusion_frames(spark, sf)
-    feats = Pipeline(stages=stages).fit(train)
-    tr = prep.fold_assign(feats.transform(train), "quality", "doc_id", 3).persist()
-    te = feats.transform(test).persist()
+    _, tr0, te0, _ = _fused_features(spark, sf)
+    asm = VectorAssembler(inputCols=FUSION_NUM + ["tfidf"], outputCol="features", handleInvalid="keep")
+    tr = prep.fold_assign(asm.transform(tr0), "quality", "doc_id", 3).persist()
+    te = asm.transform(te0).persist()
     n = tr.count()
     bases = {
-        "svc": lambda: ML.linear_svc_ovr(1.0, n, featuresCol="features", labelCol="y"),
-        "lr": lambda: ML.logreg(1.0, n, featuresCol="features", labelCol="y"),
+        "svc": lambda: ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features", labelCol="y"),
+        "lr": lambda: ML.logreg(1.0, n, max_iter=100, featuresCol="features", labelCol="y"),
         "nb": lambda: ML.naive_bayes(featuresCol="tfidf", labelCol="y"),
     }
     oof = None
@@ -474,9 +492,9 @@ def q_stacking(spark, sf):
     tpart = te.select("doc_id", "y")
     for name, m in full.items():
         tpart = tpart.join(m.transform(te).select("doc_id", F.col("prediction").alias(f"p_{name}")), "doc_id")
-    asm = VectorAssembler(inputCols=[f"p_{b}" for b in bases], outputCol="meta")
-    meta = ML.logreg(1.0, n, featuresCol="meta", labelCol="y").fit(asm.transform(oof))
-    pred = meta.transform(asm.transform(tpart))
+    meta_asm = VectorAssembler(inputCols=[f"p_{b}" for b in bases], outputCol="meta")
+    meta = ML.logreg(1.0, n, max_iter=100, featuresCol="meta", labelCol="y").fit(meta_asm.transform(oof))
+    pred = meta.transform(meta_asm.transform(tpart))
     met = ML.evaluate(pred, "y")
     return pred.select("doc_id", "y", "prediction", F.lit(met["f1_weighted"]).alias("test_f1"))
 
