@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,13 +74,21 @@ def ks_two_sample(df: DataFrame, side: str, ref_value, features: Sequence[str],
         for r in (dv.where(F.col("feature").isin(multi)).groupBy("feature")
                   .agg(F.percentile_approx("value", probs, 10000).alias("q")).collect()):
             bounds[r["feature"]] = sorted(set(r["q"]))
-    parts = []
+    # bucket ids by binary search (Spark ML Bucketizer) on each feature's slice of
+    # the distinct values; features with one bucket get bucket 0
+    sliced = []
     for f in keep:
-        parts += [F.lit(f), F.array(*[F.lit(float(b)) for b in bounds[f]]) if bounds[f]
-                  else F.array().cast("array<double>")]
-    bmap = F.create_map(*parts)
-    dv = dv.withColumn("bucket", F.size(F.filter(F.element_at(bmap, F.col("feature")),
-                                                 lambda b: b < F.col("value"))))
+        part = dv.where(F.col("feature") == f)
+        if bounds[f]:
+            splits = [float("-inf")] + [float(b) for b in bounds[f]] + [float("inf")]
+            part = Bucketizer(splits=splits, inputCol="value", outputCol="_b").transform(part)
+            part = part.withColumn("bucket", F.col("_b").cast("int")).drop("_b")
+        else:
+            part = part.withColumn("bucket", F.lit(0))
+        sliced.append(part)
+    dv = sliced[0]
+    for part in sliced[1:]:
+        dv = dv.unionByName(part)
     w = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     local = dv.select("feature", "bucket", "value",
                       F.sum("n_ref").over(w).alias("run_ref"), F.sum("n_cur").over(w).alias("run_cur"))
