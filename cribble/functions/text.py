@@ -9,7 +9,7 @@ Unicode classes that Java and RE2 read the same way.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +137,14 @@ def ngrams_1_2(toks: Column) -> Column:
     return F.concat(toks, bigrams(toks))
 
 
+def with_ngrams_1_2(df: DataFrame, toks: str, out: str) -> DataFrame:
+    """DataFrame form of ``ngrams_1_2``: bigrams from Spark ML's ``NGram`` (JVM), then
+    unigrams followed by bigrams, as the column form produces them."""
+    tmp = f"__{out}_bi"
+    bi = NGram(n=2, inputCol=toks, outputCol=tmp).transform(df)
+    return bi.withColumn(out, F.concat(F.col(toks), F.col(tmp))).drop(tmp)
+
+
 def whitespace_words(text: Column | str) -> Column:
     """Python ``str.split()``: whitespace-separated words, no empties."""
     return tokens(F.coalesce(_c(text), F.lit("")))

@@ -7,7 +7,6 @@ subword n-grams, hybrid decision) carry a DuckDB twin.
 from __future__ import annotations
 
 import tempfile
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -366,7 +365,7 @@ def _labelled_docs(spark, sf):
 
 def _text_vocab(train):
     d = T.with_clean_text(train, "text", "clean").withColumn("vt", T.vector_tokens("clean"))
-    d = d.withColumn("ng", T.ngrams_1_2(F.col("vt")))
+    d = T.with_ngrams_1_2(d, "vt", "ng")
     counts = (d.select("doc_id", F.explode_outer("ng").alias("term")).where(F.col("term").isNotNull())
               .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")))
     return V.fit_vocab(counts, train.count())
@@ -529,3 +528,9 @@ def q_perm_importance(spark, sf):
         rows.append((f, float(imp[i]), base - acc))
     return spark.createDataFrame(rows, "feature string, rf_importance double, permutation_drop double").orderBy(
         F.desc("permutation_drop"), F.asc("feature"))
+
+
+@register("top_features", ops=("L3", "M15"))
+def q_top_features(spark, sf):
+    """The five features with the largest permutation importance (ties by name)."""
+    return q_perm_importance(spark, sf).orderBy(F.desc("permutation_drop"), F.asc("feature")).limit(5)

@@ -121,7 +121,7 @@ def q_splits_roundtrip(spark, sf):
     return out
 
 
-@register("experiment_log", ops=("S5", "S9", "S10", "S11", "S12", "S3", "H2"))
+@register("experiment_log", ops=("S3", "S5", "S6", "S10", "S11", "S12", "H2"))
 def q_experiment_log(spark, sf):
     """Leaderboard rows logged as runs, the best registered (version = max + 1),
     metrics written as JSON, and the registry read back (a missing registry reads as None)."""
@@ -137,6 +137,8 @@ def q_experiment_log(spark, sf):
         io.register_model(spark, f"{base}/registry", "best_classifier", f"{base}/models/{best['model']}",
                           {"f1_weighted": best["f1_weighted"]})
     io.write_metrics(spark.read.parquet(f"{base}/runs").select("run_name", "metrics"), f"{base}/metrics")
+    io.write_table(_leaderboard(spark, sf), f"{base}/results")          # results table (S6)
+    io.write_table(_leaderboard(spark, sf), f"{base}/results_csv", "csv")
     reg = spark.read.parquet(f"{base}/registry")
     return reg.select("name", "version", F.element_at(F.split("path", "/"), -1).alias("model"),
                       F.col("metrics")["f1_weighted"].alias("f1_weighted"))

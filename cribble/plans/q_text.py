@@ -86,7 +86,7 @@ SELECT doc_id, CAST(len(vt) AS INTEGER) AS n_unigrams, CAST(len(ng) - len(vt) AS
 FROM (SELECT doc_id, vt, {T.sql_ngrams_1_2('vt')} AS ng FROM ({_VT}))""")
 def q_ngrams(spark, sf):
     d = T.with_clean_text(_docs(spark, sf), "text", "clean").withColumn("vt", T.vector_tokens("clean"))
-    d = d.withColumn("ng", T.ngrams_1_2(F.col("vt")))
+    d = T.with_ngrams_1_2(d, "vt", "ng")
     return d.select("doc_id", F.size("vt").alias("n_unigrams"),
                     (F.size("ng") - F.size("vt")).alias("n_bigrams"), F.array_join("ng", "|").alias("terms"))
 
@@ -94,7 +94,7 @@ def q_ngrams(spark, sf):
 def _ng_frame(spark, sf, cols=("doc_id", "text")):
     d = catalog.table(spark, sf, "documents").select(*cols)
     d = T.with_clean_text(d, "text", "clean").withColumn("vt", T.vector_tokens("clean"))
-    return d.withColumn("ng", T.ngrams_1_2(F.col("vt")))
+    return T.with_ngrams_1_2(d, "vt", "ng")
 
 
 def _counts(d, toks="ng", extra=()):

@@ -75,3 +75,10 @@ def test_bigrams(spark):
     df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
     out = [r[0] for r in df.select(T.ngrams_1_2(F.col("t"))).collect()]
     assert out == [["a", "b", "c", "a b", "b c"], ["a"], []]
+
+
+def test_ngram_forms_agree(spark):
+    df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
+    a = [r[0] for r in df.select(T.ngrams_1_2(F.col("t"))).collect()]
+    b = [r["ng"] for r in T.with_ngrams_1_2(df, "t", "ng").collect()]
+    assert a == b
