@@ -63,14 +63,11 @@ def q_stream_score(spark, sf):
 def q_stream_validate(spark, sf):
     """Order requests stream in, are joined to static line aggregates (stream-static join),
     validated and split into valid / quarantine sinks."""
-    lines = (catalog.table(spark, sf, "lineitem").groupBy("l_orderkey")
-             .agg(F.round(F.sum("l_quantity"), 2).alias("poids"), F.round(F.sum("l_extendedprice"), 2).alias("volume"),
-                  F.round(F.avg("l_discount"), 6).alias("conductivite"), F.round(F.avg("l_tax"), 6).alias("opacite"),
-                  F.count(F.lit(1)).cast("double").alias("rigidite")))
     orders = jobs.file_stream(spark, sf, "orders.parquet", catalog.SCHEMAS["orders"])
-    req = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
-        F.col("o_orderkey").alias("item_id"), "poids", "volume", "conductivite", "opacite", "rigidite",
-        F.col("o_orderstatus").alias("source"), F.col("o_orderpriority").alias("rapport_collecte"))
+    req = catalog.item_rows(orders, catalog.line_aggregates(spark, sf)).select(
+        "item_id", F.col("w").alias("poids"), F.col("v").alias("volume"), F.col("c").alias("conductivite"),
+        F.col("o").alias("opacite"), F.col("r").alias("rigidite"), F.col("src").alias("source"),
+        F.col("cat").alias("rapport_collecte"))
     out = io.scratch_path(spark, "stream-validate")
     jobs.run_batches(req, jobs.batch_writer(out, lambda b: VAL.validate(b).select(
         "item_id", "source", "reasons", "valid")), "stream-validate")

@@ -77,15 +77,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mixed item table: one row per order with per-order line aggregates.
-
-    The left join leaves natural nulls (orders without lines); three key
-    rules add missing values to a feature, the label and the source so
-    that every null-handling operator has work to do.  Sums are rounded to
-    fixed digits so the result does not depend on summation order.
-    """
-    lines = (
+def line_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-order line aggregates (rounded to fixed digits: summation-order independent)."""
+    return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
@@ -96,7 +90,10 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).cast("double").alias("r"),
         )
     )
-    orders = table(spark, sf_dir, "orders")
+
+
+def item_rows(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """orders (batch or stream) left-joined to line aggregates, with the null rules."""
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
     key = F.col("o_orderkey")
     return joined.select(
@@ -109,6 +106,17 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixed item table: one row per order with per-order line aggregates.
+
+    The left join leaves natural nulls (orders without lines); three key
+    rules add missing values to a feature, the label and the source so
+    that every null-handling operator has work to do.  Sums are rounded to
+    fixed digits so the result does not depend on summation order.
+    """
+    return item_rows(table(spark, sf_dir, "orders"), line_aggregates(spark, sf_dir))
+
+
 # DuckDB twin of ``items`` for oracle SQL (same rules, same rounding).
 ITEMS_SQL = """
 items AS (
