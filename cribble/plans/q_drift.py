@@ -95,7 +95,7 @@ SELECT {sql_rnd('dist', 4)} AS js_distance, {sql_rnd('dist * dist', 6)} AS js_di
 
 @register("js_text_drift", ops=("D2", "U4", "A13", "L4"), sql=_js_sql("lang = 'en'", "lang = 'fr'"))
 def q_js_text_drift(spark, sf):
-    d = catalog.table(spark, sf, "documents")
+    d = catalog.spread(catalog.table(spark, sf, "documents"))
     return D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") == "fr"), "text")
 
 
@@ -104,7 +104,7 @@ _HALF = "substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8'"
 
 @register("js_text_drift_halves", ops=("D2",), sql=_js_sql(_HALF, f"NOT ({_HALF})"))
 def q_js_text_drift_halves(spark, sf):
-    d = catalog.table(spark, sf, "documents")
+    d = catalog.spread(catalog.table(spark, sf, "documents"))
     half = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < F.lit("8")
     return D.js_text_drift(d.where(half), d.where(~half), "text")
 
@@ -116,7 +116,7 @@ SELECT 'numeric' AS section, feature, ks_statistic AS statistic, p_value, drift_
 UNION ALL SELECT 'text', 'text', js_distance, CAST(NULL AS DOUBLE), drift_detected FROM j""")
 def q_drift_report(spark, sf):
     ks = D.ks_two_sample(_lineitem_sides(spark, sf), "side", "ref", LI_FEATS)
-    d = catalog.table(spark, sf, "documents")
+    d = catalog.spread(catalog.table(spark, sf, "documents"))
     js = D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") == "fr"), "text")
     return ks.select(F.lit("numeric").alias("section"), "feature", F.col("ks_statistic").alias("statistic"),
                      "p_value", "drift_detected").unionByName(

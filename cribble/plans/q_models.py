@@ -199,7 +199,7 @@ def q_linear_shap(spark, sf):
 
 
 def _nb_frames(spark, sf):
-    docs = catalog.table(spark, sf, "documents").select("doc_id", "text")
+    docs = catalog.spread(catalog.table(spark, sf, "documents")).select("doc_id", "text")
     labels = catalog.table(spark, sf, "labels").select("doc_id", "quality")
     d = T.with_clean_text(docs, "text", "clean").withColumn("vt", T.vector_tokens("clean"))
     counts = (d.select("doc_id", F.explode_outer("vt").alias("term")).where(F.col("term").isNotNull())
@@ -275,7 +275,7 @@ FROM (SELECT word, flatten([list_filter(list_transform(range(1, greatest(length(
                                                         lambda i: substr(b, i, n)), lambda s: length(s) = n)
                              FOR n IN range(3, 7)]) AS gr FROM g)""")
 def q_char_ngrams(spark, sf):
-    d = T.with_clean_tokens(catalog.table(spark, sf, "documents").select("text"), "text", "toks")
+    d = T.with_clean_tokens(catalog.spread(catalog.table(spark, sf, "documents")).select("text"), "text", "toks")
     words = d.select(F.explode_outer("toks").alias("word")).where(F.col("word").isNotNull()).distinct()
     g = words.withColumn("gr", ML.char_ngrams(F.col("word")))
     return g.select("word", F.size("gr").alias("n_grams"), F.array_join("gr", "|").alias("grams"))
@@ -292,7 +292,7 @@ FROM t""")
 def q_hybrid_decision(spark, sf):
     """Lexical rule on the cleaned text vs a second scorer on the raw words: lexical wins
     on disagreement, else the model, else the lexical rule (N14)."""
-    d = T.with_clean_tokens(catalog.table(spark, sf, "documents").select("doc_id", "text"), "text", "toks")
+    d = T.with_clean_tokens(catalog.spread(catalog.table(spark, sf, "documents")).select("doc_id", "text"), "text", "toks")
     d = d.select("doc_id", T.lexical_category(F.col("toks")).alias("lexical"),
                  T.lexical_category(T.whitespace_words(F.lower("text"))).alias("model"))
     return d.select("doc_id", *hybrid(F.col("lexical"), F.col("model")))
@@ -325,7 +325,7 @@ def q_pca2(spark, sf):
 # ---------------------------------------------------------------- embeddings
 
 def _doc_tokens(spark, sf):
-    d = T.with_clean_tokens(catalog.table(spark, sf, "documents").select("doc_id", "text"), "text", "toks")
+    d = T.with_clean_tokens(catalog.spread(catalog.table(spark, sf, "documents")).select("doc_id", "text"), "text", "toks")
     return d.select("doc_id", "toks").persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -354,7 +354,7 @@ def q_subword_embed(spark, sf):
 # ---------------------------------------------------------------- text models, fusion, stacking
 
 def _labelled_docs(spark, sf):
-    docs = catalog.table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    docs = catalog.spread(catalog.table(spark, sf, "documents")).select("doc_id", "text", "n_chars")
     labels = catalog.table(spark, sf, "labels").select("doc_id", "quality")
     d = docs.join(labels, "doc_id").withColumn("y", F.col("quality").cast("double"))
     d = d.withColumn("n_words", F.size(T.whitespace_words("text")).cast("double")) \

@@ -13,7 +13,7 @@ from cribble.sources import catalog
 
 
 def _docs(spark, sf):
-    return catalog.table(spark, sf, "documents").select("doc_id", "text")
+    return catalog.spread(catalog.table(spark, sf, "documents").select("doc_id", "text"))
 
 
 @register("clean_text", ops=("N1", "N1c", "N1d", "S7"),
@@ -92,7 +92,7 @@ def q_ngrams(spark, sf):
 
 
 def _ng_frame(spark, sf, cols=("doc_id", "text")):
-    d = catalog.table(spark, sf, "documents").select(*cols)
+    d = catalog.spread(catalog.table(spark, sf, "documents").select(*cols))
     d = T.with_clean_text(d, "text", "clean").withColumn("vt", T.vector_tokens("clean"))
     return T.with_ngrams_1_2(d, "vt", "ng")
 
@@ -197,7 +197,7 @@ WITH m AS (SELECT DISTINCT text, {T.sql_clean_text('text')} AS text_clean,
 SELECT d.doc_id, d.lang, coalesce(m.text_clean, '') AS text_clean, m.contamination, m.condition
 FROM documents d LEFT JOIN m ON d.text IS NOT DISTINCT FROM m.text""")
 def q_text_feature_join(spark, sf):
-    docs = catalog.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = catalog.spread(catalog.table(spark, sf, "documents").select("doc_id", "lang", "text"))
     mapping = T.with_clean_text(docs.select("text").distinct(), "text", "text_clean").select(
         F.col("text").alias("m_text"), "text_clean",
         T.contamination("text").alias("contamination"), T.condition("text").alias("condition"))

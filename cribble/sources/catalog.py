@@ -77,6 +77,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work (regex cleaning of whole texts) at least one partition per core.
+
+    A file with few row groups scans into few tasks; when that is fewer than
+    the cluster's default parallelism the rows are round-robin repartitioned
+    (one cheap shuffle).  On a large input the scan already has more splits
+    than cores and this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def line_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order line aggregates (rounded to fixed digits: summation-order independent)."""
     return (
