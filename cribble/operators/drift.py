@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,7 +55,8 @@ def ks_two_sample(df: DataFrame, side: str, ref_value, features: Sequence[str],
 
     Features with fewer than ``min_n`` non-null values on either side are omitted.
     """
-    dv = _distinct_values(df, side, ref_value, features)
+    # the distinct-value table feeds three jobs (totals, bucket bounds, CDF): keep it
+    dv = _distinct_values(df, side, ref_value, features).persist(StorageLevel.MEMORY_AND_DISK)
     totals = {r["feature"]: r for r in dv.groupBy("feature").agg(
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"),
         F.count(F.lit(1)).alias("n_distinct")).collect()}

@@ -17,7 +17,7 @@ CUTOFF = "1998-01-01"
 def _lineitem_sides(spark, sf):
     li = catalog.table(spark, sf, "lineitem")
     side = F.when(F.col("l_shipdate") < F.lit(CUTOFF).cast("timestamp_ntz"), "ref").otherwise("cur")
-    return li.select(side.alias("side"), *LI_FEATS)
+    return catalog.spread(li.select(side.alias("side"), *LI_FEATS))
 
 
 def _events_sides(spark, sf):

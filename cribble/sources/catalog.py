@@ -92,7 +92,8 @@ def spread(df: DataFrame) -> DataFrame:
 def line_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order line aggregates (rounded to fixed digits: summation-order independent)."""
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem")
+               .select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
         .groupBy("l_orderkey")
         .agg(
             F.round(F.sum("l_quantity"), 2).alias("w"),
