@@ -130,8 +130,9 @@ SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_
        count(*) AS n, """ + sql_rnd("sum(value)", 4) + """ AS total_value
 FROM events GROUP BY 1, 2""")
 def q_windowed_event_counts(spark, sf):
-    ev = catalog.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    g = ev.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(
+    # day buckets on the wall-clock (timestamp_ntz) value: no session time zone involved
+    ev = catalog.table(spark, sf, "events")
+    g = ev.groupBy(F.date_trunc("day", "ts").alias("start"), "event_type").agg(
         F.count(F.lit(1)).alias("n"), rnd(F.sum("value"), 4).alias("total_value"))
-    return g.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n",
+    return g.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n",
                     "total_value")
