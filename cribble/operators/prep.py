@@ -198,7 +198,8 @@ def ratio(num: str, den: str, eps: float = 1e-6, zero_to_null: bool = True) -> F
 # ---------------------------------------------------------------- split / folds
 
 def _class_counts(df: DataFrame, label: str) -> dict:
-    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = (df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+            .limit(MAX_LABELS + 1).collect())  # bounded fetch
     if len(rows) > MAX_LABELS:
         raise ValueError("too many classes to stratify")
     return {r[label]: r["n"] for r in rows}
