@@ -30,7 +30,8 @@ from cribble.session import ensure_checkpoint_dir
 def emb_splits(spark, sf):
     e = catalog.table(spark, sf, "embeddings")
     e = ML.vector_from_array(e, "embedding", "features").withColumn("y", F.col("label").cast("double"))
-    return prep.stratified_split(e, "label", "vec_id").persist(StorageLevel.MEMORY_AND_DISK)
+    s = prep.stratified_split(e, "label", "vec_id").persist(StorageLevel.MEMORY_AND_DISK)
+    return catalog.right_size(s, s.count())
 
 
 def _fit_predict(spark, sf, est, name):
@@ -110,8 +111,9 @@ def _item_splits(spark, sf):
     from cribble.plans.prepare import prepare
     prepared, fitted = prepare(catalog.items(spark, sf))
     feats = ["w", "v", "c", "o", "r", "density", "src_enc"]
-    a = VectorAssembler(inputCols=feats, outputCol="features").transform(prepared)
-    return a.persist(StorageLevel.MEMORY_AND_DISK)
+    a = VectorAssembler(inputCols=feats, outputCol="features").transform(prepared).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    return catalog.right_size(a, a.count())
 
 
 def _regress(spark, sf, make, name):
@@ -359,8 +361,8 @@ def _labelled_docs(spark, sf):
     d = docs.join(labels, "doc_id").withColumn("y", F.col("quality").cast("double"))
     d = d.withColumn("n_words", F.size(T.whitespace_words("text")).cast("double")) \
          .withColumn("log_chars", F.log1p(F.col("n_chars").cast("double")))
-    s = prep.stratified_split(d, "quality", "doc_id")
-    return s.persist(StorageLevel.MEMORY_AND_DISK)
+    s = prep.stratified_split(d, "quality", "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
+    return catalog.right_size(s, s.count())
 
 
 def _text_vocab(train):
@@ -416,6 +418,7 @@ def _fused_features(spark, sf):
     keep = ["doc_id", "quality", "y", *FUSION_NUM, "tfidf"]
     tr = feats.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     te = feats.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    tr, te = catalog.right_size(tr, tr.count()), catalog.right_size(te, te.count())
     return feats, tr, te, test
 
 

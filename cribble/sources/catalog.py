@@ -89,6 +89,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = 500_000) -> DataFrame:
+    """Partition count for iterative work (every optimiser step touches every partition):
+    max(cores, rows / rows_per_partition).  Only ever reduces, and without a shuffle."""
+    import math
+    target = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n_rows / rows_per_partition))
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+
+
 def line_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order line aggregates (rounded to fixed digits: summation-order independent)."""
     return (
