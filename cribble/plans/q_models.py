@@ -92,8 +92,9 @@ def q_cv_leaderboard(spark, sf):
     """5-fold grid search over C (folds from the stratified fold ids), refit, test metrics."""
     s = emb_splits(spark, sf)
     train = prep.fold_assign(s.where(F.col("split") != "test"), "label", "vec_id", 5).persist()
-    test = s.where(F.col("split") == "test")
     n = train.count()
+    train = catalog.right_size(train, n)
+    test = s.where(F.col("split") == "test")
     rows = []
     for c in ML.Grids().logreg_c:
         lr = ML.logreg(c, n, featuresCol="features", labelCol="y")
@@ -477,6 +478,7 @@ def q_stacking(spark, sf):
     tr = prep.fold_assign(asm.transform(tr0), "quality", "doc_id", 3).persist()
     te = asm.transform(te0).persist()
     n = tr.count()
+    tr = catalog.right_size(tr, n)
     bases = {
         "svc": lambda: ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features", labelCol="y"),
         "lr": lambda: ML.logreg(1.0, n, max_iter=100, featuresCol="features", labelCol="y"),
