@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cribble.llm import packing
+from cribble.llm import decontaminate, langid, packing
 from cribble.llm.common import read_table
 
 QUERIES: dict = {}
@@ -28,3 +28,56 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset", "bucket")
+
+
+def remainder(column: str, n: int):
+    return F.crc32(F.col(column).cast("string")) % n
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    model = langid.fit(docs.where(~held_out), "lang")
+    return (langid.predict(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
+OP10_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, len(s) AS n, array_to_string(s, ' ') AS win FROM (
+    SELECT item_id, unnest([w[i + 1:i + 13] for i in range(0, greatest(len(w) - 12, 1))]) AS s
+    FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM wins),
+spots AS (
+  SELECT doc_id, n, unnest(range(0, len(w) - n + 1)) AS p, w FROM t, sizes WHERE len(w) >= n),
+hits AS (
+  SELECT s.doc_id, s.p, s.n, v.item_id
+  FROM (SELECT doc_id, p, n, array_to_string(w[p + 1:p + n], ' ') AS win FROM spots) s
+  JOIN wins v ON v.win = s.win AND v.n = s.n),
+cov AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+    SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM hits)) GROUP BY 1),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY 1)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(t.w) AS contaminated
+FROM t LEFT JOIN cov USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op10_decontamination", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 read_table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return judged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), "contaminated")
