@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cribble.llm import decontaminate, langid, packing
+from cribble.llm import decontaminate, embeddings, langid, packing, quality, urls
 from cribble.llm.common import read_table
 
 QUERIES: dict = {}
@@ -81,3 +81,76 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return judged.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                          F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    model = quality.fit(docs.where(~held_out), read_table(spark, sf_dir, "labels"), "doc_id", "quality")
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+# -- fixed values: the rules of the contract.
+URL_RULES = [urls.Rule("allow", "org/"), urls.Rule("block", "example.org/es/"),
+             urls.Rule("block", "example.org/en/1"), urls.Rule("allow", "com/fr/"), urls.Rule("block", "com/de/")]
+
+_RULE_SQL = """
+CASE WHEN (h = 'example.org' OR h LIKE '%.example.org') AND starts_with(p, '/en/1') THEN 'example.org/en/1'
+     WHEN (h = 'example.org' OR h LIKE '%.example.org') AND starts_with(p, '/es/') THEN 'example.org/es/'
+     WHEN (h = 'com' OR h LIKE '%.com') AND starts_with(p, '/fr/') THEN 'com/fr/'
+     WHEN (h = 'com' OR h LIKE '%.com') AND starts_with(p, '/de/') THEN 'com/de/'
+     WHEN (h = 'org' OR h LIKE '%.org') AND starts_with(p, '/') THEN 'org/' END
+"""
+
+# Edges come from absolute links in the html, which is what the tables can hold.
+OP3_SQL = r"""
+WITH RECURSIVE u AS (
+  SELECT page_id, url, html,
+    translate(regexp_extract(coalesce(url, ''), '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz') AS h,
+    regexp_extract(coalesce(url, ''), '^[\s\S]*?://[^/?#]*([^?#]*)', 1) AS p FROM pages),
+own AS (SELECT *, RULE AS rule FROM u),
+verdicts AS (SELECT *, CASE WHEN rule IS NULL THEN NULL WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+             ELSE 'block' END AS verdict_own FROM own),
+links AS (
+  SELECT regexp_replace(url, '#.*$', '') AS a, regexp_replace(t, '#.*$', '') AS b FROM (
+    SELECT url, regexp_extract(html, '(?i)<link[^>]*rel="canonical"[^>]*href="([^"]+)"', 1) AS t FROM pages
+    UNION ALL
+    SELECT url, regexp_extract(html, '(?i)<meta[^>]*http-equiv="refresh"[^>]*url=([^"]+)"', 1) FROM pages)
+  WHERE t <> ''),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+aliases AS (
+  SELECT r.a, bool_or(v.verdict_own = 'allow') AS allow, bool_or(v.verdict_own = 'block') AS block
+  FROM reach r JOIN verdicts v ON regexp_replace(v.url, '#.*$', '') = r.b GROUP BY 1)
+SELECT page_id, h AS host, p AS path, rule,
+  coalesce(verdict_own, CASE WHEN allow THEN 'allow' WHEN block THEN 'block' END, 'allow') AS verdict,
+  CASE WHEN verdict_own IS NOT NULL THEN 'rule' WHEN allow OR block THEN 'alias' ELSE 'default' END AS reason
+FROM verdicts LEFT JOIN aliases ON regexp_replace(url, '#.*$', '') = aliases.a
+""".replace("RULE", _RULE_SQL, 1)
+
+
+@query("op3_url_filter", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "reason")
+
+
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+  least(e.vec_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id)) AS component_id,
+  e.vec_id = least(e.vec_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id)) AS kept
+FROM embeddings e
+"""
+
+
+@query("op9_embedding_dedup", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
