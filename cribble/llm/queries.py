@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cribble.llm import decontaminate, embeddings, langid, packing, quality, urls
+from cribble.llm import chat, decontaminate, embeddings, jaccard, langid, packing, quality, urls
 from cribble.llm.common import read_table
 
 QUERIES: dict = {}
@@ -154,3 +154,53 @@ FROM embeddings e
 @query("op9_embedding_dedup", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, replace(replace(replace(replace(replace(text, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'),
+            '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS esc FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(esc) + length(role) + CASE WHEN role = 'assistant' THEN 8 ELSE 23 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op4_chat_format", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digests(chat.render(*chat.prefix_tree(turns.unionByName(extra))))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, sh FROM (
+    SELECT doc_id, unnest([array_to_string(w[i + 1:i + 3], ' ') for i in range(0, greatest(len(w) - 2, 1))]) AS sh
+    FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id
+    GROUP BY 1, 2) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+  least(t.doc_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = t.doc_id), t.doc_id)) AS component_id
+FROM t LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op6_jaccard_join", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
