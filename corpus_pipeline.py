@@ -1,27 +1,66 @@
-"""Corpus pipeline: documents in, packed training sequences out."""
+"""Corpus pipeline: documents in, packed training sequences out.
+
+Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and
+but for the last returns the columns of ``documents``.  Null and empty texts, repeated
+rows, empty tables and extra columns are treated as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cribble.llm import packing
+from cribble.llm import decontaminate, jaccard, lines, packing, quality
 from cribble.llm.common import read_table, stage
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier (2): documents scored under 0.7 go."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = quality.fit(docs.where(~held_out), read_table(spark, sf_dir, "labels"), "doc_id", "quality")
+    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup (1): later near copies of a line leave the text; every document stays."""
+    out = lines.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """n-gram Jaccard join (6), five words and 0.8: of each group the smallest doc_id stays, once.
+    Documents without a doc_id are in no group and stay."""
+    keep = (jaccard.similarity_classes(docs, n=5, num=8, den=10).where("doc_id = component_id")
+            .select("doc_id").distinct())
+    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (10): documents with five in a hundred words or more inside benchmark
+    windows go."""
+    return (decontaminate.judge(docs, read_table(spark, sf_dir, "benchmark"))
+            .where(~F.col("contaminated")).select(*docs.columns))
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing (operator 7): the pieces of every remaining document with their token ids."""
+    """Packing (7): the pieces of every remaining document with their token ids."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [("quality classifier", keep_quality), ("line dedup", dedup_lines),
+          ("n-gram jaccard join", drop_near_copies), ("benchmark decontamination", drop_contaminated),
+          ("packing", pack_documents)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages in order; each result is written once and reread by the next."""
     docs = read_table(spark, sf_dir, "documents")
-    for i, (name, fn) in enumerate(STAGES):
+    for i, (_, fn) in enumerate(STAGES):
         docs = fn(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stage(docs, "pipeline")

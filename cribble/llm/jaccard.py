@@ -142,6 +142,17 @@ def semi(df: DataFrame, ids: DataFrame, key: str, most: int = 500_000) -> DataFr
     return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
 
 
+def shared_tiles(tiles: DataFrame, name: str) -> DataFrame:
+    """(key, rep) of the tiles with two or more members, each member once; of tiles with the same
+    members one stands for all.  Tiles with one member leave before rows are made distinct."""
+    shared = tiles.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi")
+    members = stage(tiles.join(shared.select("key"), "key").distinct(), name)
+    groups = members.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"),
+                                        F.sum(F.xxhash64("rep") % (1 << 40)).alias("who"))
+    kept = groups.groupBy("m", "low", "who").agg(F.min("key").alias("key")).select("key")
+    return stage(members.join(kept, "key"), f"{name}-kept")
+
+
 def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int = 1024) -> DataFrame:
     """Links (a, b) that connect the same components as all links between members of a tile.
 
@@ -227,12 +238,8 @@ def similarity_classes(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     named = sets.where("n > 0 and doc_id is not null")
     classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     reps = classes.select(F.col("rep").alias("doc_id"))
-    tiles = (semi(named, reps, "doc_id").select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key")).distinct())
-    shared = tiles.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"), F.sum(
-        F.xxhash64("rep") % (1 << 40)).alias("who")).where("m > 1")
-    # tiles with the same members are one tile
-    kept = shared.groupBy("m", "who", "low").agg(F.min("key").alias("key")).select("key")
-    held = stage(tiles.join(stage(kept, "tile-keys"), "key"), "tiles")
+    tiles = semi(named, reps, "doc_id").select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
+    held = shared_tiles(tiles, "tiles")
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cribble.llm import chat, decontaminate, embeddings, jaccard, langid, packing, quality, urls
+from cribble.llm import chat, decontaminate, embeddings, jaccard, langid, lines, packing, quality, suffix, urls
 from cribble.llm.common import read_table
 
 QUERIES: dict = {}
@@ -204,3 +204,18 @@ FROM t LEFT JOIN n USING (doc_id)
 @query("op6_jaccard_join", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, the numbers of the removed ones and the characters that stay."""
+    return lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed",
+        F.coalesce(F.length("text"), F.lit(0)).alias("kept_chars"))
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix.remove_repeats(read_table(spark, sf_dir, "documents"), width=100)
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
