@@ -184,7 +184,8 @@ def anchors(raw: np.ndarray, offs: np.ndarray, width: int, k: int) -> tuple[np.n
     start = valid & np.concatenate(([True], (where[1:] != where[:-1]) | (row[1:] != row[:-1]) | ~valid[:-1]))
     stop = valid & np.concatenate(((where[1:] != where[:-1]) | (row[1:] != row[:-1]) | ~valid[1:], [True]))
     lo, hi = np.flatnonzero(start), np.flatnonzero(stop)
-    return row[lo], gram[where[lo]], lo, hi
+    # minima crowd at the low end of the hash range: mixed again, anchors spread over all parts
+    return row[lo], mix(gram[where[lo]] + MIX2), lo, hi
 
 
 def _blocks(values: np.ndarray, parts: int) -> np.ndarray:
@@ -299,18 +300,16 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
                         pa.array(rest, pa.binary())],
                         names=["part", "anchor", "context", "shard", "doc", "doc_id", "start", "copies"])
 
-    found = stage(shards.join(marked, "shard").mapInArrow(
-        contexts, "part long, anchor long, context binary, shard long, doc long, doc_id long, start long, copies binary"),
-        "contexts")
-    inside = found.where(F.octet_length("copies") > 0).select("shard", F.col("copies").alias("spans"))
+    found = shards.join(marked, "shard").mapInArrow(
+        contexts, "part long, anchor long, context binary, shard long, doc long, doc_id long, start long, copies binary")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_key(batches, "part"):
             yield from _settle(rows, width, piece_bytes)
 
-    crossing = found.select("part", "anchor", "context", "shard", "doc", "doc_id", "start").repartition(
-        parts, "part").sortWithinPartitions("part", "anchor").mapInArrow(settle, "shard long, spans binary")
-    return shards, stage(crossing.unionByName(inside), "spans")
+    spans = found.repartition(parts, "part").sortWithinPartitions("part", "anchor").mapInArrow(
+        settle, "shard long, spans binary")
+    return shards, stage(spans, "spans")
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:
@@ -334,6 +333,26 @@ def _settle(rows: dict[str, list], width: int, piece_bytes: int) -> Iterator[pa.
     """Spans of all windows of the contexts that start earlier somewhere else."""
     doc_id, start = np.array(rows["doc_id"], np.int64), np.array(rows["start"], np.int64)
     shard, doc = np.array(rows["shard"], np.int64), np.array(rows["doc"], np.int64)
+    # equal contexts of one anchor are one: the earliest stands for them, the others go whole
+    early: dict[tuple[int, bytes], int] = {}
+    whole: dict[int, list[tuple[int, int, int]]] = {}
+    for i in np.lexsort((start, doc, shard, doc_id)).tolist():
+        context = rows["context"][i]
+        if early.setdefault((rows["anchor"][i], context), i) != i:
+            whole.setdefault(rows["shard"][i], []).append((rows["doc"][i], rows["start"][i], rows["start"][i] + len(context)))
+    given = [(s, c) for s, c in zip(rows["shard"], rows["copies"]) if c]
+    given += [(s, np.array(v, np.int64).tobytes()) for s, v in whole.items()]
+    for lo in range(0, len(given), 1024):
+        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in given[lo:lo + 1024]], pa.int64()),
+                                          pa.array([g[1] for g in given[lo:lo + 1024]], pa.binary())],
+                                         names=["shard", "spans"])
+    # windows of an anchor can meet only where it has several contexts
+    many: dict[int, int] = {}
+    for anchor, _ in early:
+        many[anchor] = many.get(anchor, 0) + 1
+    left = np.array([i for (anchor, _), i in early.items() if many[anchor] > 1], np.int64)
+    doc_id, start, shard, doc = doc_id[left], start[left], shard[left], doc[left]
+    rows = {"context": [rows["context"][i] for i in left.tolist()]}
     sizes = np.array([len(c) for c in rows["context"]], np.int64)
     ends = np.cumsum(sizes)
     pieces, lo = [], 0
