@@ -180,6 +180,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                             break
                         cum += n
 
+    open_ranks = [t for t, s in targets.items() if s["value"] is None]
+    if open_ranks:
+        raise RuntimeError(f"quantile ranks not resolved after 64 rounds: {open_ranks[:5]}")
     out = {}
     group_values = {}
     for (key, p), (k, k2, frac) in plan.items():

@@ -93,10 +93,10 @@ SELECT {sql_rnd('dist', 4)} AS js_distance, {sql_rnd('dist * dist', 6)} AS js_di
        vocab_size::BIGINT AS vocab_size FROM s"""
 
 
-@register("js_text_drift", ops=("D2", "U4", "A13", "L4"), sql=_js_sql("lang = 'en'", "lang = 'fr'"))
+@register("js_text_drift", ops=("D2", "U4", "A13", "L4"), sql=_js_sql("lang = 'en'", "lang <> 'en'"))
 def q_js_text_drift(spark, sf):
     d = catalog.spread(catalog.table(spark, sf, "documents"))
-    return D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") == "fr"), "text")
+    return D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") != "en"), "text")
 
 
 _HALF = "substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8'"
@@ -111,13 +111,13 @@ def q_js_text_drift_halves(spark, sf):
 
 @register("drift_report", ops=("D4", "S12"), sql=f"""
 WITH k AS ({_ks_sql(_LI_SRC, LI_FEATS)}),
-j AS ({_js_sql("lang = 'en'", "lang = 'fr'")})
+j AS ({_js_sql("lang = 'en'", "lang <> 'en'")})
 SELECT 'numeric' AS section, feature, ks_statistic AS statistic, p_value, drift_detected FROM k
 UNION ALL SELECT 'text', 'text', js_distance, CAST(NULL AS DOUBLE), drift_detected FROM j""")
 def q_drift_report(spark, sf):
     ks = D.ks_two_sample(_lineitem_sides(spark, sf), "side", "ref", LI_FEATS)
     d = catalog.spread(catalog.table(spark, sf, "documents"))
-    js = D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") == "fr"), "text")
+    js = D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") != "en"), "text")
     return ks.select(F.lit("numeric").alias("section"), "feature", F.col("ks_statistic").alias("statistic"),
                      "p_value", "drift_detected").unionByName(
         js.select(F.lit("text").alias("section"), F.lit("text").alias("feature"),

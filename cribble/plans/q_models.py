@@ -6,8 +6,6 @@ subword n-grams, hybrid decision) carry a DuckDB twin.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -22,7 +20,7 @@ from cribble.operators import prep
 from cribble.operators import vectorize as V
 from cribble.plans.registry import register
 from cribble.sources import catalog
-from cribble.session import ensure_checkpoint_dir
+from cribble.sources.io import scratch_path
 
 # ---------------------------------------------------------------- data
 
@@ -444,7 +442,7 @@ def q_multimodal(spark, sf):
     head = Pipeline(stages=_assembler() + [ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features",
                                                               labelCol="y")]).fit(tr)
     model = PipelineModel(stages=feats.stages + head.stages)
-    path = tempfile.mkdtemp(prefix="model-", dir=_model_dir(spark))
+    path = scratch_path(spark, "model")
     ML.save(model, path)
     pred = ML.load(path).transform(raw_test)
     met = ML.evaluate(pred, "y")
@@ -452,11 +450,6 @@ def q_multimodal(spark, sf):
                        F.lit(met["f1_weighted"]).alias("test_f1"))
 
 
-def _model_dir(spark) -> str:
-    base = ensure_checkpoint_dir(spark)
-    return base.replace("file:", "") if base.startswith("file:") else tempfile.gettempdir()
-
-
 @register("weighted_fusion", ops=("M12",))
 def q_weighted_fusion(spark, sf):
     _, tr, te, _ = _fused_features(spark, sf)

@@ -35,11 +35,5 @@ def register(name: str, sql: str | None = None, ops: tuple[str, ...] = ()):
 
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
-    from cribble.plans import q_prep  # noqa: F401
-    for mod in ("q_text", "q_metrics", "q_drift", "q_models", "q_stream"):
-        try:
-            __import__(f"cribble.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"cribble.plans.{mod}":
-                raise
+    from cribble.plans import q_drift, q_metrics, q_models, q_prep, q_stream, q_text  # noqa: F401
     return REGISTRY

@@ -130,3 +130,19 @@ def test_mice_recovers_linear_structure(spark):
     assert all(v is not None for v in got.values())
     err = np.sqrt(np.mean([(got[i] - truth[i]) ** 2 for i in range(0, n, 7)]))
     assert err < 0.3 and info["rounds"] >= 1
+
+
+def test_iterative_imputer_far_from_zero(spark):
+    """The same data at offset 0 and 1e8 gets the same imputations."""
+    import numpy as np
+    from cribble.operators.impute import mice_impute
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=700)
+    y = x + 0.1 * rng.normal(size=700)
+    err = []
+    for offset in (0.0, 1e8):
+        rows = [(i, float(a + offset), None if i % 7 == 0 else float(b + offset)) for i, (a, b) in enumerate(zip(x, y))]
+        got, _ = mice_impute(spark.createDataFrame(rows, "i int, x double, y double"), ["x", "y"])
+        d = [r.y - offset - y[r.i] for r in got.collect() if r.i % 7 == 0]
+        err.append(float(np.sqrt(np.mean(np.square(d)))))
+    assert err[0] < 0.15 and abs(err[1] - err[0]) < 0.01
