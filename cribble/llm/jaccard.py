@@ -11,11 +11,10 @@ the sorted arrays.  No link is lost: the tiles are a necessary condition, not a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,21 +141,102 @@ def semi(df: DataFrame, ids: DataFrame, key: str, most: int = 500_000) -> DataFr
     return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
 
 
-def shared_tiles(tiles: DataFrame, name: str) -> DataFrame:
+def _meet_in_batch(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """(key, rep, salt) from (rep, keys): one member of every key of a batch goes on under salt 0; where a
+    key has several members in the batch, its tile is known to be shared and each of them goes to a salt."""
+    for batch in batches:
+        offs = batch.column("keys").offsets.to_numpy()
+        flat = batch.column("keys").values.to_numpy()
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(offs, offs[start] + most, side="right")) - 1)
+            key = flat[offs[start]:offs[end]]
+            rep = np.repeat(batch.column("rep").to_numpy()[start:end], np.diff(offs[start:end + 1]))
+            order = np.lexsort((rep, key))
+            key, rep = key[order], rep[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])))[:len(key)]
+            key, rep = key[new], rep[new]
+            same = np.concatenate(([False], key[1:] == key[:-1], [False]))[:len(key) + 1]
+            sure = same[:-1] | same[1:]
+            first = ~same[:-1]
+            out = (np.concatenate((key[first], key[sure])), np.concatenate((rep[first], rep[sure])),
+                   np.concatenate((np.zeros(int(first.sum()), np.int64), 1 + (rep[sure] & 1023))))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["key", "rep", "salt"])
+            start = end
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, rep) of keys with two or more members, from rows sorted by key; of the last key of a
+    batch one row is held back, with whether another member has been seen."""
+    last_key, last_rep, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+    for batch in batches:
+        key, rep, salt = (batch.column(c).to_numpy() for c in ("key", "rep", "salt"))
+        known = salt > 0
+        out_key, out_rep = key[known], rep[known]
+        key, rep = np.concatenate((last_key, key[~known])), np.concatenate((last_rep, rep[~known]))
+        if len(key):
+            order = np.lexsort((rep, key))
+            key, rep = key[order], rep[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])))
+            key, rep = key[new], rep[new]
+            same = np.concatenate(([False], key[1:] == key[:-1], [False]))
+            met = same[:-1] | same[1:]
+            if seen:
+                met |= key == last_key[0]
+            # rows come sorted by key, so only the largest key can go on in the next batch
+            out_key, out_rep = (np.concatenate((out_key, key[:-1][met[:-1]])),
+                                np.concatenate((out_rep, rep[:-1][met[:-1]])))
+            last_key, last_rep, seen = key[-1:], rep[-1:], bool(met[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(out_key), pa.array(out_rep)], names=["key", "rep"])
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array(last_key), pa.array(last_rep)], names=["key", "rep"])
+
+
+def shared_tiles(signed: DataFrame, name: str) -> DataFrame:
     """(key, rep) of the tiles with two or more members, each member once; of tiles with the same
-    members one stands for all.  Tiles with one member leave before rows are made distinct."""
-    shared = tiles.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi")
-    members = stage(tiles.join(shared.select("key"), "key").distinct(), name)
+    members one stands for all.  ``signed`` (rep, keys) lists the tiles of every set.
+
+    Rows are shuffled once: a key has at most one row for each batch in the task where its batches
+    meet, however many members it has; the others, known to be shared, are dealt out by salt."""
+    met = (signed.mapInArrow(_meet_in_batch, "key long, rep long, salt long").repartition("key", "salt")
+           .sortWithinPartitions("key").mapInArrow(_meet, "key long, rep long"))
+    members = stage(met.distinct(), name)
     groups = members.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"),
                                         F.sum(F.xxhash64("rep") % (1 << 40)).alias("who"))
     kept = groups.groupBy("m", "low", "who").agg(F.min("key").alias("key")).select("key")
     return stage(members.join(kept, "key"), f"{name}-kept")
 
 
-def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int = 1024) -> DataFrame:
+def sorted_hashes(col: pa.Array) -> list[np.ndarray]:
+    """The sets of ``member_columns``, read from their binary column."""
+    raw, offs = text_buffers(col)
+    return [raw[i:j].view(U) for i, j in zip(offs[:-1].tolist(), offs[1:].tolist())]
+
+
+def runs_by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that come sorted by (key, i, j), cut where no tile is split."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        names = ("key", "i", "j")
+        cols = [batch.column(c).to_numpy() for c in names]
+        edges = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
+        if held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in names):
+            edges = np.concatenate(([0], edges))
+        if len(edges):
+            yield pa.concat_batches([*held, batch.slice(0, int(edges[-1]))])
+            held = []
+            batch = batch.slice(int(edges[-1]))
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int = 1024,
+               decode: Callable[[pa.Array], list[np.ndarray]] = sorted_hashes) -> DataFrame:
     """Links (a, b) that connect the same components as all links between members of a tile.
 
-    ``held`` (key, rep) lists the members of tiles, ``sets`` (rep, n, bits, set) their sets.
+    ``held`` (key, rep) lists the members of tiles, ``sets`` (rep, n, bits, set) their sets;
+    ``decode`` turns a column of ``set`` into sorted arrays of hashes.
     In each tile the member found in the most crowded tiles is compared with all others,
     which settles groups of near copies in proportion to their size.  Tiles that then
     still hold several components are compared in blocks: bitmaps bound the overlap,
@@ -172,21 +252,23 @@ def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int
 
     def verify(pairs: DataFrame) -> DataFrame:
         """Bitmap bound first, then the exact intersection of the sorted arrays."""
-        both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("bits").alias("p"), F.col("set").alias("x")), "a")
-                .join(sets.select(F.col("rep").alias("b"), F.col("bits").alias("q"), F.col("set").alias("y")), "b"))
+        both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("p"),
+                                         F.col("set").alias("x")), "a")
+                .join(sets.select(F.col("rep").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("q"),
+                                   F.col("set").alias("y")), "b"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for g in batches:
+            for g in slices(slices(batches, "x", 4 << 20), "y", 4 << 20):
+                if not g.num_rows:
+                    continue
+                nx, ny = g.column("nx").to_numpy(), g.column("ny").to_numpy()
+                p, q = (text_buffers(g.column(c))[0].view(U).reshape(-1, WORDS) for c in "pq")
+                most = overlap_bound(p, q, nx, ny)
+                g = g.filter(pa.array(den * most >= num * (nx + ny - most)))
                 keep = []
-                for p, q, x, y in zip(*(g.column(c) for c in ("p", "q", "x", "y"))):
-                    x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                    total = len(x) + len(y)
-                    most = int(overlap_bound(np.frombuffer(p.as_buffer(), U), np.frombuffer(q.as_buffer(), U),
-                                             len(x), len(y)))
-                    common = 0
-                    if den * most >= num * (total - most):
-                        common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(common > 0 and den * common >= num * (total - common))
+                for x, y in zip(decode(g.column("x")), decode(g.column("y"))):
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(common > 0 and den * common >= num * (len(x) + len(y) - common))
                 yield g.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return both.mapInArrow(run, "a long, b long")
@@ -204,22 +286,30 @@ def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")))
 
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        bits = np.frombuffer(b"".join(g["bits"]), U).reshape(-1, WORDS)
-        size, comp, rep = g["n"].to_numpy(), g["comp"].to_numpy(), g["rep"].to_numpy()
-        left = np.flatnonzero(g["mine"].to_numpy() == g["i"].iloc[0])
-        right = np.flatnonzero(g["mine"].to_numpy() == g["j"].iloc[0])
-        within = g["i"].iloc[0] == g["j"].iloc[0]
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (not within))]
-            most = overlap_bound(bits[x], bits[y], size[x], size[y])
-            y = y[den * most >= num * (size[x] + size[y] - most)]
-            out_a.append(np.minimum(rep[x], rep[y]))
-            out_b.append(np.maximum(rep[x], rep[y]))
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
-
-    more = rest.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in runs_by_tile(batches):
+            key, i, j, mine, comp, rep, size = (g.column(c).to_numpy()
+                                                for c in ("key", "i", "j", "mine", "comp", "rep", "n"))
+            bits = text_buffers(g.column("bits"))[0].view(U).reshape(-1, WORDS)
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(key)]):
+                within = i[lo] == j[lo]
+                left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
+                right = lo + np.flatnonzero(mine[lo:hi] == j[lo])
+                for x in left.tolist():
+                    y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (not within))]
+                    if not len(y):
+                        continue
+                    most = overlap_bound(bits[x], bits[y], size[x], size[y])
+                    y = y[den * most >= num * (size[x] + size[y] - most)]
+                    out_a.append(np.minimum(rep[x], rep[y]))
+                    out_b.append(np.maximum(rep[x], rep[y]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
+                                             names=["a", "b"])
+
+    more = (rest.select("key", "i", "j", "mine", "comp", "rep", "n", "bits").repartition("key", "i", "j")
+            .sortWithinPartitions("key", "i", "j").mapInArrow(compare, "a long, b long").distinct())
     return linked.unionByName(stage(verify(stage(more, "tile-candidates")), "tile-links"))
 
 
@@ -238,8 +328,7 @@ def similarity_classes(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     named = sets.where("n > 0 and doc_id is not null")
     classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     reps = classes.select(F.col("rep").alias("doc_id"))
-    tiles = semi(named, reps, "doc_id").select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
-    held = shared_tiles(tiles, "tiles")
+    held = shared_tiles(semi(named, reps, "doc_id").select(F.col("doc_id").alias("rep"), "keys"), "tiles")
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):

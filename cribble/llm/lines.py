@@ -44,9 +44,10 @@ def band_keys(hashes: np.ndarray, count: np.ndarray, bands: int, rows: int, seed
     small = (hashes >> U(32)).astype(np.uint32)
     first = np.cumsum(count) - count
     keys = np.zeros((len(count), bands), U)
+    turned = np.empty_like(small)
     for b in range(bands):
         for r in range(rows):
-            low = np.minimum.reduceat(small * odd[b * rows + r], first)
+            low = np.minimum.reduceat(np.multiply(small, odd[b * rows + r], out=turned), first)
             keys[:, b] = keys[:, b] * MUL + low
     return mix(keys + np.arange(bands, dtype=U) * MIX1)
 
@@ -65,30 +66,35 @@ def line_components(docs: DataFrame, shingle: int = 8, num: int = 8, den: int =
                     seed: int = 7) -> DataFrame:
     """(lid, component) of every line that links to a different line."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "line", 1 << 20):
+        for batch in slices(batches, "line", 1 << 18):
+            first = np.unique(batch.column("lid").to_numpy(), return_index=True)[1]  # copies sign once
+            batch = batch.take(pa.array(np.sort(first)))
             hashes, count = char_shingles(*text_buffers(batch.column("line")), shingle)
             keys = band_keys(hashes, count, bands, rows, seed)
             flat = pa.array(keys.reshape(-1).view(np.int64))
             offsets = pa.array(np.arange(len(count) + 1, dtype=np.int32) * bands)
             yield pa.RecordBatch.from_arrays([batch.column("lid"), pa.ListArray.from_arrays(offsets, flat)],
-                                             names=["lid", "keys"])
+                                             names=["rep", "keys"])
+
+    def decode(column: pa.Array) -> list[np.ndarray]:
+        hashes, count = char_shingles(*text_buffers(column), shingle)
+        ends = np.cumsum(count)
+        return [np.unique(hashes[e - c:e]) for e, c in zip(ends.tolist(), count.tolist())]
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "line", 1 << 20):
-            hashes, count = char_shingles(*text_buffers(batch.column("line")), shingle)
-            ends = np.cumsum(count)
-            sets = [np.unique(hashes[e - c:e]) for e, c in zip(ends.tolist(), count.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("lid"), *member_columns(sets)],
+        for batch in slices(batches, "line", 1 << 18):
+            n, bits, _ = member_columns(decode(batch.column("line")))
+            # the line itself stands for its set: a byte a character instead of eight a shingle
+            yield pa.RecordBatch.from_arrays([batch.column("lid"), n, bits, batch.column("line").cast(pa.binary())],
                                              names=["rep", "n", "bits", "set"])
 
     lines = line_rows(docs)
-    signed = stage(lines.select("lid", "line").mapInArrow(sign, "lid long, keys array<long>"), "line-signatures")
-    tiles = signed.select(F.col("lid").alias("rep"), F.explode("keys").alias("key"))
-    held = shared_tiles(tiles, "line-tiles")  # copies of a line are no second member
+    signed = lines.select("lid", "line").mapInArrow(sign, "rep long, keys array<long>")
+    held = shared_tiles(signed, "line-tiles")  # copies of a line are no second member
     wanted = stage(held.select(F.col("rep").alias("lid")).distinct(), "line-members")
     sets = stage(semi(lines.select("lid", "line"), wanted, "lid").dropDuplicates(["lid"])
                  .mapInArrow(payload, "rep long, n long, bits binary, set binary"), "line-sets")
-    links = link_tiles(held, sets, num, den)
+    links = link_tiles(held, sets, num, den, decode=decode)
     return connected_components(links, "a", "b").select(F.col("node").alias("lid"), "component")
 
 
@@ -108,7 +114,7 @@ def dedup_lines(docs: DataFrame, shingle: int = 8, similarity: tuple[int, int] =
     0.9999 from 0.87 on); bands, partners and groups have no cap.
     """
     component = line_components(docs, shingle, *similarity, bands, rows)
-    seen = line_rows(docs).select("doc_id", "text_key", "no", "lid")
+    seen = stage(line_rows(docs).select("doc_id", "text_key", "no", "lid"), "line-places")
     here = F.struct("doc_id", "text_key", "no")
     firsts = stage(seen.groupBy("lid").agg(F.min(here).alias("first"), F.count("*").alias("times"))
                    .join(component, "lid", "left")
