@@ -195,27 +195,41 @@ def _blocks(values: np.ndarray, parts: int) -> np.ndarray:
 
 # ------------------------------------------------------------ the operator
 
+def pack(raw: np.ndarray) -> bytes:
+    """The bytes of a shard for shuffles and files, at the size of zstd instead of the shuffle's own codec."""
+    return pa.Codec("zstd", compression_level=3).compress(pa.py_buffer(raw.tobytes()), asbytes=True)
+
+
+def unpack(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets of the documents) of the shard in row ``i``."""
+    offs = np.concatenate(([0], np.cumsum(batch.column("sizes")[i].values.to_numpy(), dtype=np.int64)))
+    body = pa.Codec("zstd").decompress(batch.column("body")[i].as_buffer(), decompressed_size=int(offs[-1]))
+    return np.frombuffer(body, np.uint8), offs
+
+
 def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes: int = 4 << 20,
                    piece_bytes: int = 1 << 20, anchors_per_part: int = 150_000) -> tuple[DataFrame, DataFrame]:
-    """(shards, spans): shards (shard, doc_id, at, text) of the documents and the removed spans
-    (shard, spans), a packed array of (document in the shard, start, stop) per row."""
+    """(shards, spans): shards (shard, ids, sizes, body) of the documents, their bytes one after
+    another and compressed, and the removed spans (shard, spans), a packed array of (document in
+    the shard, start, stop) per row."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", shard_bytes):
+            raw, offs = text_buffers(batch.column("text"))
             yield pa.RecordBatch.from_arrays([
                 pa.array([shard], pa.int64()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                pa.array([batch.column("text").to_pylist()], pa.list_(pa.binary()))], names=["shard", "ids", "texts"])
+                pa.array([np.diff(offs)], pa.list_(pa.int64())), pa.array([pack(raw)], pa.binary())],
+                names=["shard", "ids", "sizes", "body"])
             shard += 1
 
     body = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("text")
     shards = stage(docs.select("doc_id", body).mapInArrow(
-        gather, "shard long, ids array<long>, texts array<binary>"), "shards")
-    size = shards.select(F.sum(F.aggregate("texts", F.lit(0).cast("long"), lambda a, t: a + F.octet_length(t)))).first()[0]
+        gather, "shard long, ids array<long>, sizes array<long>, body binary"), "shards")
+    size = shards.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0]
     parts = max(1, math.ceil((size or 0) * 2 / (width - k + 2) / anchors_per_part))
 
-    def runs(texts: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    def runs(raw: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Anchors of one shard, in pieces that overlap by a window less one byte."""
-        raw, offs = text_buffers(texts)
         reach = 2 << 20
         for lo in range(0, max(1, len(raw)), reach):
             hi = min(len(raw), lo + reach + width - 1)
@@ -224,14 +238,14 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
             keep = a < reach  # later starts belong to the next piece
             yield row[keep], h[keep], a[keep] + lo, np.minimum(b[keep], reach - 1) + lo
 
-    def shard_anchors(texts: pa.Array) -> tuple[np.ndarray, ...]:
-        got = list(runs(texts))
+    def shard_anchors(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+        got = list(runs(raw, offs))
         return tuple(np.concatenate([g[i] for g in got]) for i in range(4))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, texts in zip(batch.column("shard").to_pylist(), batch.column("texts")):
-                _, h, _, _ = shard_anchors(texts.values)
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                _, h, _, _ = shard_anchors(*unpack(batch, i))
                 values, times = np.unique(h, return_counts=True)
                 part = _blocks(values, parts)
                 cuts = np.searchsorted(part, np.arange(parts + 1))
@@ -275,9 +289,8 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
                 want = np.sort(np.concatenate([np.frombuffer(v.as_buffer(), U) for v in batch.column("repeated")[i].values]))
                 ids = np.array([-(1 << 63) if x is None else x for x in batch.column("ids")[i].as_py()], np.int64)
-                texts = batch.column("texts")[i].values
-                raw, offs = text_buffers(texts)
-                row, h, a, b = shard_anchors(texts)
+                raw, offs = unpack(batch, i)
+                row, h, a, b = shard_anchors(raw, offs)
                 at = np.minimum(np.searchsorted(want, h), len(want) - 1)
                 hit = want[at] == h
                 row, h, a, b = row[hit], h[hit], a[hit], b[hit]
@@ -430,8 +443,8 @@ def remove_repeats(docs: DataFrame, width: int = 100, **sizes: int) -> DataFrame
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts, spans in zip(batch.column("ids"), batch.column("texts"), batch.column("spans")):
-                raw, offs = text_buffers(texts.values)
+            for i, (ids, spans) in enumerate(zip(batch.column("ids"), batch.column("spans"))):
+                raw, offs = unpack(batch, i)
                 edge = np.zeros(len(raw) + 1, np.int64)
                 for s in spans.values if spans.is_valid else ():
                     x = np.frombuffer(s.as_buffer(), np.int64).reshape(-1, 3)
@@ -449,6 +462,6 @@ def remove_repeats(docs: DataFrame, width: int = 100, **sizes: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([ids.values, pa.array(kept, pa.binary()), pa.array(size),
                                                   pa.array(runs, kind)], names=["doc_id", "kept", "n_bytes", "spans"])
 
-    return (shards.join(grouped, "shard", "left").select("ids", "texts", "spans").mapInArrow(
+    return (shards.join(grouped, "shard", "left").select("ids", "sizes", "body", "spans").mapInArrow(
         cut, "doc_id long, kept binary, n_bytes long, spans array<struct<start:bigint,stop:bigint>>"))
 
