@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cribble.llm.common import MIX2, U, mix, powers, ranges, slices, stage, text_buffers
+from cribble.llm.common import MIX2, U, mix, powers, ranges, slices, span_hashes, stage, text_buffers
 
 
 # ------------------------------------------------------------ suffix arrays (numpy)
@@ -154,18 +154,20 @@ def window_groups(contexts: list[bytes], width: int) -> tuple[np.ndarray, np.nda
 
 # ------------------------------------------------------------ anchors
 
-def anchors(raw: np.ndarray, offs: np.ndarray, width: int, k: int) -> tuple[np.ndarray, ...]:
+def anchors(raw: np.ndarray, offs: np.ndarray, width: int, k: int,
+            pq: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
     """(row, anchor hash, first and last window start) of every run of windows with one anchor.
 
-    The anchor of a window is its k-gram of smallest hash, the leftmost of equal ones."""
+    The anchor of a window is its k-gram of smallest hash, the leftmost of equal ones; ``pq`` are
+    the powers for at least the length of ``raw``."""
     n = len(raw)
     m = n - k + 1
     empty = (np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))
     if n < width:
         return empty
-    p, q = powers(n)
+    p, q = pq
     total = np.zeros(n + 1, U)
-    np.cumsum((raw.astype(U) + U(1)) * p[:-1], out=total[1:])
+    np.cumsum((raw.astype(U) + U(1)) * p[:n], out=total[1:])
     gram = mix((total[k:] - total[:m]) * q[:m])
     bits = max(1, int(m).bit_length())
     packed = (gram >> U(bits) << U(bits)) | np.arange(m, dtype=U)
@@ -179,7 +181,7 @@ def anchors(raw: np.ndarray, offs: np.ndarray, width: int, k: int) -> tuple[np.n
     windows = n - width + 1
     low = np.minimum(right[:windows], left[w - 1:w - 1 + windows])
     where = (low & U((1 << bits) - 1)).astype(np.int64)
-    row = np.searchsorted(offs, np.arange(windows), side="right") - 1
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[:windows]
     valid = np.arange(windows) + width <= offs[row + 1]
     start = valid & np.concatenate(([True], (where[1:] != where[:-1]) | (row[1:] != row[:-1]) | ~valid[:-1]))
     stop = valid & np.concatenate(((where[1:] != where[:-1]) | (row[1:] != row[:-1]) | ~valid[1:], [True]))
@@ -188,6 +190,40 @@ def anchors(raw: np.ndarray, offs: np.ndarray, width: int, k: int) -> tuple[np.n
     return row[lo], mix(gram[where[lo]] + MIX2), lo, hi
 
 
+def prints(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 512) -> np.ndarray:
+    """64-bit hash of every span of bytes, a few spans (given in order of their starts) at a time."""
+    out = np.zeros(len(starts), U)
+    for i in range(0, len(starts), step):
+        a, b = starts[i:i + step], ends[i:i + step]
+        out[i:i + step] = span_hashes(raw[a[0]:b.max()], a - a[0], b - a[0])
+    return out
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the row before in any column."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return out
+
+
+def binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary column of the given sizes over bytes that lie one after another."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def span_batches(shard: np.ndarray, spans: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(shard, packed spans) per shard of spans (document, start, stop)."""
+    by = np.argsort(shard, kind="stable")
+    shard, spans = shard[by], spans[by].astype(np.int64)
+    edge = np.append(np.flatnonzero(changes(shard)), len(shard))
+    for i in range(0, len(edge) - 1, 256):
+        part = edge[i:i + 257]
+        yield pa.RecordBatch.from_arrays([pa.array(shard[part[:-1]]), pa.array(
+            [spans[a:b].tobytes() for a, b in zip(part[:-1], part[1:])], pa.binary())], names=["shard", "spans"])
+
+
 def _blocks(values: np.ndarray, parts: int) -> np.ndarray:
     """Part of every hash by its leading bits."""
     return ((values >> U(32)) * U(parts) >> U(32)).astype(np.int64)
@@ -230,11 +266,12 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
 
     def runs(raw: np.ndarray, offs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Anchors of one shard, in pieces that overlap by a window less one byte."""
-        reach = 2 << 20
+        reach = 1 << 16  # arrays of a piece stay in the processor's cache
+        pq = powers(reach + width)
         for lo in range(0, max(1, len(raw)), reach):
             hi = min(len(raw), lo + reach + width - 1)
             local = np.clip(offs, lo, hi) - lo
-            row, h, a, b = anchors(raw[lo:hi], local, width, k)
+            row, h, a, b = anchors(raw[lo:hi], local, width, k, pq)
             keep = a < reach  # later starts belong to the next piece
             yield row[keep], h[keep], a[keep] + lo, np.minimum(b[keep], reach - 1) + lo
 
@@ -258,7 +295,8 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
 
     def find_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The anchors of each shard that occur more than once anywhere (rows come sorted by part)."""
-        for rows in _by_key(batches, "part"):
+        for table in _by_key(batches, "part"):
+            rows = table.to_pydict()
             values = [np.frombuffer(v, U) for v in rows["values"]]
             many = np.concatenate([np.frombuffer(v, np.uint8) for v in rows["many"]]).astype(bool)
             flat = np.concatenate(values)
@@ -294,23 +332,25 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
                 at = np.minimum(np.searchsorted(want, h), len(want) - 1)
                 hit = want[at] == h
                 row, h, a, b = row[hit], h[hit], a[hit], b[hit]
-                blob = raw.tobytes()
-                seen: dict[tuple[int, bytes], list[int]] = {}
-                # the order of documents decides which place of a context is its first
-                by = np.lexsort((a - offs[row], row, ids[row]))
-                for j in by.tolist():
-                    seen.setdefault((int(h[j]), blob[a[j]:b[j] + width]), []).append(j)
-                rows = list(seen.items())
-                for lo in range(0, len(rows), 4096):
-                    part = rows[lo:lo + 4096]
-                    js = np.array([v[0] for _, v in part], np.int64)
-                    rest = [np.array([(row[j], a[j] - offs[row[j]], b[j] + width - offs[row[j]]) for j in v[1:]],
-                                     np.int64).tobytes() for _, v in part]
+                size = b + width - a
+                # equal contexts of one anchor are told by a 64-bit hash of their bytes; the order of
+                # documents decides which place of a context is its first
+                code = prints(raw, a, b + width)
+                by = np.lexsort((a - offs[row], row, ids[row], size, code, h))
+                row, h, a, size, code = row[by], h[by], a[by], size[by], code[by]
+                lead = np.flatnonzero(changes(h, code, size))
+                many = np.diff(np.append(lead, len(h))) - 1
+                place = a - offs[row]
+                copies = np.delete(np.stack((row, place, place + size), axis=1), lead, axis=0).astype(np.int64)
+                ends = np.cumsum(many)
+                for lo in range(0, len(lead), 4096):
+                    js, n = lead[lo:lo + 4096], many[lo:lo + 4096]
+                    top = ends[lo:lo + 4096][-1]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(_blocks(h[js], parts)), pa.array(h[js].view(np.int64)),
-                        pa.array([c for (_, c), _ in part], pa.binary()), pa.array([shard] * len(part), pa.int64()),
-                        pa.array(row[js]), pa.array(ids[row[js]]), pa.array(a[js] - offs[row[js]]),
-                        pa.array(rest, pa.binary())],
+                        binaries(raw[ranges(a[js], size[js])], size[js]), pa.array(np.full(len(js), shard, np.int64)),
+                        pa.array(row[js]), pa.array(ids[row[js]]), pa.array(place[js]),
+                        binaries(np.ascontiguousarray(copies[top - n.sum():top]), n * 24)],
                         names=["part", "anchor", "context", "shard", "doc", "doc_id", "start", "copies"])
 
     found = shards.join(marked, "shard").mapInArrow(
@@ -325,7 +365,7 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
     return shards, stage(spans, "spans")
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, list]]:
+def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Rows of one key after another, from batches sorted by it."""
     kept: list[pa.RecordBatch] = []
     current = None
@@ -334,38 +374,35 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[dict[str, l
         cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)])) if len(keys) else [0]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             if kept and keys[lo] != current:
-                yield pa.Table.from_batches(kept).to_pydict()
+                yield pa.Table.from_batches(kept)
                 kept = []
             current = keys[lo]
             kept.append(batch.slice(lo, hi - lo))
     if kept:
-        yield pa.Table.from_batches(kept).to_pydict()
+        yield pa.Table.from_batches(kept)
 
 
-def _settle(rows: dict[str, list], width: int, piece_bytes: int) -> Iterator[pa.RecordBatch]:
+def _settle(rows: pa.Table, width: int, piece_bytes: int) -> Iterator[pa.RecordBatch]:
     """Spans of all windows of the contexts that start earlier somewhere else."""
-    doc_id, start = np.array(rows["doc_id"], np.int64), np.array(rows["start"], np.int64)
-    shard, doc = np.array(rows["shard"], np.int64), np.array(rows["doc"], np.int64)
+    doc_id, start, shard, doc, anchor = (rows.column(c).to_numpy() for c in ("doc_id", "start", "shard", "doc", "anchor"))
+    raw, offs = text_buffers(rows.column("context"))
+    size = np.diff(offs)
+    code = prints(raw, offs[:-1], offs[1:])
     # equal contexts of one anchor are one: the earliest stands for them, the others go whole
-    early: dict[tuple[int, bytes], int] = {}
-    whole: dict[int, list[tuple[int, int, int]]] = {}
-    for i in np.lexsort((start, doc, shard, doc_id)).tolist():
-        context = rows["context"][i]
-        if early.setdefault((rows["anchor"][i], context), i) != i:
-            whole.setdefault(rows["shard"][i], []).append((rows["doc"][i], rows["start"][i], rows["start"][i] + len(context)))
-    given = [(s, c) for s, c in zip(rows["shard"], rows["copies"]) if c]
-    given += [(s, np.array(v, np.int64).tobytes()) for s, v in whole.items()]
-    for lo in range(0, len(given), 1024):
-        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in given[lo:lo + 1024]], pa.int64()),
-                                          pa.array([g[1] for g in given[lo:lo + 1024]], pa.binary())],
-                                         names=["shard", "spans"])
+    by = np.lexsort((start, doc, shard, doc_id, size, code, anchor))
+    lead = changes(anchor[by], code[by], size[by])
+    early, late = by[lead], by[~lead]
+    data, cuts = text_buffers(rows.column("copies"))
+    yield from span_batches(
+        np.concatenate((np.repeat(shard, np.diff(cuts) // 24), shard[late])),
+        np.concatenate((np.frombuffer(data.tobytes(), np.int64).reshape(-1, 3),
+                        np.stack((doc[late], start[late], start[late] + size[late]), axis=1))))
     # windows of an anchor can meet only where it has several contexts
-    many: dict[int, int] = {}
-    for anchor, _ in early:
-        many[anchor] = many.get(anchor, 0) + 1
-    left = np.array([i for (anchor, _), i in early.items() if many[anchor] > 1], np.int64)
+    first_of = np.flatnonzero(changes(anchor[early]))
+    times = np.diff(np.append(first_of, len(early)))
+    left = early[np.repeat(times, times) > 1]
     doc_id, start, shard, doc = doc_id[left], start[left], shard[left], doc[left]
-    rows = {"context": [rows["context"][i] for i in left.tolist()]}
+    rows = {"context": [raw[a:b].tobytes() for a, b in zip(offs[left].tolist(), offs[left + 1].tolist())]}
     sizes = np.array([len(c) for c in rows["context"]], np.int64)
     ends = np.cumsum(sizes)
     pieces, lo = [], 0
@@ -407,7 +444,7 @@ def _settle(rows: dict[str, list], width: int, piece_bytes: int) -> Iterator[pa.
             at = np.searchsorted(winners, table[i][0])
             mine = where[at]
             first[i] = (piece[mine] == i) & (head[mine] == table[i][1])
-    out_shard, out = [], []
+    out_shard, out = [np.zeros(0, np.int64)], [np.zeros((0, 3), np.int64)]
     for i, (ctx, off, _, lead) in enumerate(marks):
         gone = ~lead
         if i in first:
@@ -420,13 +457,9 @@ def _settle(rows: dict[str, list], width: int, piece_bytes: int) -> Iterator[pa.
         b = np.concatenate((a[1:], [len(ctx)])) - 1
         x = ctx[a]
         spans = np.stack((doc[x], start[x] + off[a], start[x] + off[b] + width), axis=1) if len(a) else np.zeros((0, 3), np.int64)
-        own = shard[x]
-        for sh in np.unique(own):
-            out_shard.append(int(sh))
-            out.append(spans[own == sh].astype(np.int64).tobytes())
-    for lo in range(0, len(out), 256):
-        yield pa.RecordBatch.from_arrays([pa.array(out_shard[lo:lo + 256], pa.int64()),
-                                          pa.array(out[lo:lo + 256], pa.binary())], names=["shard", "spans"])
+        out_shard.append(shard[x])
+        out.append(spans)
+    yield from span_batches(np.concatenate(out_shard), np.concatenate(out))
 
 
 def remove_repeats(docs: DataFrame, width: int = 100, **sizes: int) -> DataFrame:
