@@ -232,13 +232,16 @@ def runs_by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int = 1024,
-               decode: Callable[[pa.Array], list[np.ndarray]] = sorted_hashes) -> DataFrame:
+               decode: Callable[[pa.Array], list[np.ndarray]] = sorted_hashes, draws: int = 0) -> DataFrame:
     """Links (a, b) that connect the same components as all links between members of a tile.
 
     ``held`` (key, rep) lists the members of tiles, ``sets`` (rep, n, bits, set) their sets;
     ``decode`` turns a column of ``set`` into sorted arrays of hashes.
     In each tile the member found in the most crowded tiles is compared with all others,
-    which settles groups of near copies in proportion to their size.  Tiles that then
+    which settles groups of near copies in proportion to their size.  With ``draws``, tiles of
+    more than eight times as many members go on by rounds: about that many members, drawn by
+    hash, are compared with all members of other components, as long as a round at least
+    halves the pairs of members in different components.  Tiles that then
     still hold several components are compared in blocks: bitmaps bound the overlap,
     and the pairs that may link are settled by their arrays.
     """
@@ -274,12 +277,32 @@ def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int
         return both.mapInArrow(run, "a long, b long")
 
     linked = stage(verify(star), "star-links")
-    first = connected_components(linked, "a", "b")
-    placed = held.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-             .where("lo != hi and m > 2")  # of two members one was the leader
-             .select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
+
+    def place(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members with their components; the tiles of several components with the pairs still open."""
+        component = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
+        at = held.join(component, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+        tiles = (at.groupBy("key", "comp").agg(F.count("*").cast("double").alias("c")).groupBy("key")
+                 .agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("settled"))
+                 .where("settled < m * m and m > 2"))  # of two members one was the leader
+        return at, stage(tiles.select("key", "m", (F.col("m") * F.col("m") - F.col("settled")).alias("open")), "open-tiles")
+
+    placed, mixed = place(linked)
+    before, turn = None, 0
+    while draws:
+        big = mixed.where(F.col("m") > 8 * draws)
+        left = big.agg(F.sum("open")).first()[0]
+        if not left or (before is not None and left > before / 2):
+            break
+        before, turn = left, turn + 1
+        draw = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1 << 30)) * F.col("m") < draws << 30
+        chosen = placed.join(big.select("key", "m"), "key").where(draw).select(
+            "key", F.col("rep").alias("lead"), F.col("comp").alias("of"))
+        pairs = (placed.join(chosen, "key").where("comp != of")
+                 .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
+        linked = linked.unionByName(stage(verify(pairs), "star-links"))
+        placed, mixed = place(linked)
+    mixed = mixed.select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     # tile (i, j), i <= j, compares block i with block j; a row goes to the tiles of its block
     rest = (placed.join(mixed, "key").join(sets.select("rep", "n", "bits"), "rep")
             .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))

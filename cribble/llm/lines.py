@@ -94,7 +94,7 @@ def line_components(docs: DataFrame, shingle: int = 8, num: int = 8, den: int =
     wanted = stage(held.select(F.col("rep").alias("lid")).distinct(), "line-members")
     sets = stage(semi(lines.select("lid", "line"), wanted, "lid").dropDuplicates(["lid"])
                  .mapInArrow(payload, "rep long, n long, bits binary, set binary"), "line-sets")
-    links = link_tiles(held, sets, num, den, decode=decode)
+    links = link_tiles(held, sets, num, den, decode=decode, draws=16)
     return connected_components(links, "a", "b").select(F.col("node").alias("lid"), "component")
 
 

@@ -37,3 +37,32 @@ def test_members_of_shared_keys(seed):
             for row in out.to_pylist():
                 got[row["key"]].add(row["rep"])
     assert got == {k: v for k, v in want.items() if len(v) > 1}
+
+
+def test_rounds_of_drawn_members_keep_the_components(spark):
+    """A tile of many near copies in a chain: the same components with and without rounds."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from cribble.llm.common import connected_components
+    from cribble.llm.jaccard import link_tiles, member_columns
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 400, dtype=np.uint64)
+    sets = [np.sort(base[i // 2:i // 2 + 40]) for i in range(200)] + [
+        np.sort(rng.integers(0, 1 << 62, 40, dtype=np.uint64)) for _ in range(20)]
+    n, bits, body = member_columns(sets)
+    members = spark.createDataFrame(list(zip(range(220), n.to_pylist(), bits.to_pylist(), body.to_pylist())),
+                                    "rep long, n long, bits binary, set binary")
+    held = spark.range(220).select(F.lit(5).cast("long").alias("key"), F.col("id").alias("rep"))
+    links = {(i, j) for i in range(220) for j in range(i + 1, 220)
+             if 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))}
+    comp = list(range(220))
+    for i, j in sorted(links):
+        a, b = comp[i], comp[j]
+        comp = [min(a, b) if c in (a, b) else c for c in comp]
+    want = {i: c for i, c in enumerate(comp) if comp.count(c) > 1}
+    for draws in (0, 2, 16):
+        got = {r.node: r.component for r in connected_components(
+            link_tiles(held, members, 8, 10, draws=draws), "a", "b").collect()}
+        assert got == want
