@@ -11,6 +11,9 @@ A byte string of ``width`` bytes that occurs earlier is removed wherever it occu
    prefixes by Kasai's rule, which group its equal windows.
 3. Pieces are merged by binary search of one piece's sorted windows in those of the pieces
    before.  The earliest start of every window is kept, all others become spans.
+4. An anchor with very many contexts (a passage in many documents, each with its own text
+   beside it) is dealt out by a hash of the context.  Each share keeps the earliest start of
+   each of its windows; these meet by the hash of the window, where the earliest of all stays.
 """
 
 from __future__ import annotations
@@ -214,14 +217,27 @@ def binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def span_batches(shard: np.ndarray, spans: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(shard, packed spans) per shard of spans (document, start, stop)."""
+    """(shard, packed spans, null) per shard of spans (document, start, stop)."""
     by = np.argsort(shard, kind="stable")
     shard, spans = shard[by], spans[by].astype(np.int64)
     edge = np.append(np.flatnonzero(changes(shard)), len(shard))
     for i in range(0, len(edge) - 1, 256):
         part = edge[i:i + 257]
         yield pa.RecordBatch.from_arrays([pa.array(shard[part[:-1]]), pa.array(
-            [spans[a:b].tobytes() for a, b in zip(part[:-1], part[1:])], pa.binary())], names=["shard", "spans"])
+            [spans[a:b].tobytes() for a, b in zip(part[:-1], part[1:])], pa.binary()), pa.nulls(len(part) - 1, pa.binary())],
+            names=["shard", "spans", "places"])
+
+
+def place_batches(bucket: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(bucket, null, packed places) per bucket of places, the columns of a 5-row array."""
+    by = np.argsort(bucket, kind="stable")
+    bucket, places = bucket[by], places[:, by]
+    edge = np.append(np.flatnonzero(changes(bucket)), len(bucket))
+    for i in range(0, len(edge) - 1, 256):
+        part = edge[i:i + 257]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[part[:-1]]), pa.nulls(len(part) - 1, pa.binary()), pa.array(
+            [places[:, a:b].tobytes() for a, b in zip(part[:-1], part[1:])], pa.binary())],
+            names=["shard", "spans", "places"])
 
 
 def _blocks(values: np.ndarray, parts: int) -> np.ndarray:
@@ -243,11 +259,12 @@ def unpack(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(body, np.uint8), offs
 
 
-def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes: int = 4 << 20,
-                   piece_bytes: int = 1 << 20, anchors_per_part: int = 150_000) -> tuple[DataFrame, DataFrame]:
-    """(shards, spans): shards (shard, ids, sizes, body) of the documents, their bytes one after
-    another and compressed, and the removed spans (shard, spans), a packed array of (document in
-    the shard, start, stop) per row."""
+def anchor_contexts(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes: int = 4 << 20,
+                    anchors_per_part: int = 150_000,
+                    contexts_per_share: int = 1 << 14) -> tuple[DataFrame, DataFrame, int, int]:
+    """(shards, contexts, parts, load): the distinct contexts of repeated anchors in each shard, with the
+    part and the key where they meet.  An anchor that stands more than ``contexts_per_share`` times has
+    several keys, dealt out by a hash of the context; ``load`` is how often such anchors stand at most."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", shard_bytes):
@@ -286,19 +303,20 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
                 values, times = np.unique(h, return_counts=True)
                 part = _blocks(values, parts)
                 cuts = np.searchsorted(part, np.arange(parts + 1))
-                rows = [(p, values[a:b].tobytes(), (times[a:b] > 1).astype(np.uint8).tobytes())
+                rows = [(p, values[a:b].tobytes(), np.frexp(times[a:b])[1].astype(np.uint8).tobytes())
                         for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([r[0] for r in rows], pa.int64()), pa.array([shard] * len(rows), pa.int64()),
                     pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
-                    names=["part", "shard", "values", "many"])
+                    names=["part", "shard", "values", "bits"])
 
     def find_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The anchors of each shard that occur more than once anywhere (rows come sorted by part)."""
+        """The anchors of each shard that occur more than once anywhere (rows come sorted by part), and
+        with the number of their shares those that occur often."""
         for table in _by_key(batches, "part"):
             rows = table.to_pydict()
             values = [np.frombuffer(v, U) for v in rows["values"]]
-            many = np.concatenate([np.frombuffer(v, np.uint8) for v in rows["many"]]).astype(bool)
+            bits = np.concatenate([np.frombuffer(v, np.uint8) for v in rows["bits"]]).astype(np.int64)
             flat = np.concatenate(values)
             order = np.argsort(flat, kind="stable")
             s = flat[order]
@@ -307,18 +325,31 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
             twice[:-1] |= s[1:] == s[:-1]
             again = np.zeros(len(s), bool)
             again[order] = twice
-            again |= many
+            again |= bits > 1
+            # a count of b bits is less than 2**b: at most twice the true number
+            head = np.flatnonzero(changes(s))
+            most = np.add.reduceat((1 << bits[order]) - 1, head) if len(s) else np.zeros(0, np.int64)
+            heavy = most > contexts_per_share
+            often, shares = s[head][heavy], -(-most[heavy] // contexts_per_share)
             ends = np.cumsum([len(v) for v in values])
-            out = [(shard, v[again[e - len(v):e]].tobytes())
-                   for shard, v, e in zip(rows["shard"], values, ends.tolist())]
-            out = [o for o in out if o[1]]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
-                                              pa.array([o[1] for o in out], pa.binary())], names=["shard", "values"])
+            out = []
+            for shard, v, e in zip(rows["shard"], values, ends.tolist()):
+                v = v[again[e - len(v):e]]
+                at = np.flatnonzero(np.isin(often, v))
+                if len(v):
+                    out.append((shard, v.tobytes(), np.stack((often[at], shares[at].astype(U))).tobytes()))
+            load = np.zeros(len(out), np.int64)
+            load[:1] = most[heavy].sum()
+            yield pa.RecordBatch.from_arrays([
+                pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()),
+                pa.array([o[2] for o in out], pa.binary()), pa.array(load)], names=["shard", "values", "often", "load"])
 
-    counted = shards.mapInArrow(count, "part long, shard long, values binary, many binary")
+    counted = shards.mapInArrow(count, "part long, shard long, values binary, bits binary")
     repeated = stage(counted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-        find_repeated, "shard long, values binary"), "repeated-anchors")
-    marked = repeated.groupBy("shard").agg(F.collect_list("values").alias("repeated"))
+        find_repeated, "shard long, values binary, often binary, load long"), "repeated-anchors")
+    load = repeated.agg(F.sum("load")).first()[0] or 0
+    marked = repeated.groupBy("shard").agg(F.collect_list("values").alias("repeated"),
+                                           F.collect_list("often").alias("often"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct contexts of a shard's repeated anchors with their first place; copies inside the
@@ -327,6 +358,9 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
             for i, shard in enumerate(batch.column("shard").to_pylist()):
                 want = np.sort(np.concatenate([np.frombuffer(v.as_buffer(), U) for v in batch.column("repeated")[i].values]))
                 ids = np.array([-(1 << 63) if x is None else x for x in batch.column("ids")[i].as_py()], np.int64)
+                often = np.concatenate([np.frombuffer(v.as_buffer(), U).reshape(2, -1)
+                                        for v in batch.column("often")[i].values], axis=1)
+                often = often[:, np.argsort(often[0])]
                 raw, offs = unpack(batch, i)
                 row, h, a, b = shard_anchors(raw, offs)
                 at = np.minimum(np.searchsorted(want, h), len(want) - 1)
@@ -343,6 +377,12 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
                 place = a - offs[row]
                 copies = np.delete(np.stack((row, place, place + size), axis=1), lead, axis=0).astype(np.int64)
                 ends = np.cumsum(many)
+                heavy = np.zeros(len(h), bool)
+                if often.size:
+                    # equal contexts have equal hashes and meet in one share
+                    at = np.minimum(np.searchsorted(often[0], h), often.shape[1] - 1)
+                    heavy = often[0][at] == h
+                    h = np.where(heavy, mix(h + (code % often[1][at] + U(1)) * MIX2), h)
                 for lo in range(0, len(lead), 4096):
                     js, n = lead[lo:lo + 4096], many[lo:lo + 4096]
                     top = ends[lo:lo + 4096][-1]
@@ -350,19 +390,45 @@ def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, shard_bytes:
                         pa.array(_blocks(h[js], parts)), pa.array(h[js].view(np.int64)),
                         binaries(raw[ranges(a[js], size[js])], size[js]), pa.array(np.full(len(js), shard, np.int64)),
                         pa.array(row[js]), pa.array(ids[row[js]]), pa.array(place[js]),
-                        binaries(np.ascontiguousarray(copies[top - n.sum():top]), n * 24)],
-                        names=["part", "anchor", "context", "shard", "doc", "doc_id", "start", "copies"])
+                        binaries(np.ascontiguousarray(copies[top - n.sum():top]), n * 24), pa.array(heavy[js])],
+                        names=["part", "anchor", "context", "shard", "doc", "doc_id", "start", "copies", "heavy"])
 
     found = shards.join(marked, "shard").mapInArrow(
-        contexts, "part long, anchor long, context binary, shard long, doc long, doc_id long, start long, copies binary")
+        contexts, "part long, anchor long, context binary, shard long, doc long, doc_id long, start long, copies binary, "
+                  "heavy boolean")
+    return shards, found, parts, load
+
+
+def repeated_spans(docs: DataFrame, width: int = 100, k: int = 32, piece_bytes: int = 1 << 20,
+                   places_per_bucket: int = 1_000_000, **sizes: int) -> tuple[DataFrame, DataFrame]:
+    """(shards, spans): shards (shard, ids, sizes, body) of the documents, their bytes one after
+    another and compressed, and the removed spans (shard, spans), a packed array of (document in
+    the shard, start, stop) per row."""
+    shards, found, parts, load = anchor_contexts(docs, width, k, **sizes)
+    buckets = max(1, math.ceil(load * (width - k + 1) / places_per_bucket))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_key(batches, "part"):
-            yield from _settle(rows, width, piece_bytes)
-
-    spans = found.repartition(parts, "part").sortWithinPartitions("part", "anchor").mapInArrow(
-        settle, "shard long, spans binary")
-    return shards, stage(spans, "spans")
+            yield from _settle(rows, width, piece_bytes, buckets)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spans of the windows whose earliest start in their share is not the earliest of all."""
+        for rows in _by_key(batches, "shard"):
+            code, doc_id, shard, doc, start = np.concatenate(
+                [np.frombuffer(v.as_buffer(), np.int64).reshape(5, -1) for v in rows.column("places")], axis=1)
+            by = np.lexsort((start, doc, shard, doc_id, code))
+            late = by[~changes(code[by])]
+            yield from span_batches(shard[late], np.stack((doc[late], start[late], start[late] + width), axis=1))
+
+    kinds = "shard long, spans binary, places binary"
+    settled = stage(found.repartition(parts, "part").sortWithinPartitions("part", "anchor").mapInArrow(
+        settle, kinds), "spans")
+    spans = settled.where("places is null").select("shard", "spans")
+    if load:
+        met = settled.where("places is not null").repartition(buckets, "shard").sortWithinPartitions("shard").mapInArrow(
+            meet, kinds)
+        spans = spans.unionByName(stage(met.select("shard", "spans"), "met-spans"))
+    return shards, spans
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -382,9 +448,12 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
-def _settle(rows: pa.Table, width: int, piece_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Spans of all windows of the contexts that start earlier somewhere else."""
-    doc_id, start, shard, doc, anchor = (rows.column(c).to_numpy() for c in ("doc_id", "start", "shard", "doc", "anchor"))
+def _settle(rows: pa.Table, width: int, piece_bytes: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Spans of all windows of the contexts that start earlier somewhere else in the part, and the
+    earliest places here (window hash, doc_id, shard, document, start) of the windows whose anchor
+    is dealt out."""
+    doc_id, start, shard, doc, anchor, heavy = (
+        rows.column(c).to_numpy() for c in ("doc_id", "start", "shard", "doc", "anchor", "heavy"))
     raw, offs = text_buffers(rows.column("context"))
     size = np.diff(offs)
     code = prints(raw, offs[:-1], offs[1:])
@@ -400,8 +469,8 @@ def _settle(rows: pa.Table, width: int, piece_bytes: int) -> Iterator[pa.RecordB
     # windows of an anchor can meet only where it has several contexts
     first_of = np.flatnonzero(changes(anchor[early]))
     times = np.diff(np.append(first_of, len(early)))
-    left = early[np.repeat(times, times) > 1]
-    doc_id, start, shard, doc = doc_id[left], start[left], shard[left], doc[left]
+    left = early[(np.repeat(times, times) > 1) | heavy[early]]
+    doc_id, start, shard, doc, heavy = doc_id[left], start[left], shard[left], doc[left], heavy[left]
     rows = {"context": [raw[a:b].tobytes() for a, b in zip(offs[left].tolist(), offs[left + 1].tolist())]}
     sizes = np.array([len(c) for c in rows["context"]], np.int64)
     ends = np.cumsum(sizes)
@@ -445,10 +514,15 @@ def _settle(rows: pa.Table, width: int, piece_bytes: int) -> Iterator[pa.RecordB
             mine = where[at]
             first[i] = (piece[mine] == i) & (head[mine] == table[i][1])
     out_shard, out = [np.zeros(0, np.int64)], [np.zeros((0, 3), np.int64)]
-    for i, (ctx, off, _, lead) in enumerate(marks):
+    for i, (ctx, off, code, lead) in enumerate(marks):
         gone = ~lead
         if i in first:
             gone[np.flatnonzero(lead)[~first[i]]] = True
+        stays = np.flatnonzero(~gone & heavy[ctx])
+        if len(stays):
+            x = ctx[stays]
+            yield from place_batches(_blocks(code[stays], buckets), np.stack(
+                (code[stays].view(np.int64), doc_id[x], shard[x], doc[x], start[x] + off[stays])))
         ctx, off = ctx[gone], off[gone]
         by = np.lexsort((off, ctx))
         ctx, off = ctx[by], off[by]

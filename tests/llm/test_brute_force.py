@@ -97,6 +97,30 @@ def test_repeats(spark, sizes):
     assert got == want
 
 
+def test_passage_in_many_documents(spark):
+    """A passage with its own text beside it in each document: its contexts are dealt out to shares of
+    bounded size, and windows that meet only across shares still lose all but the earliest start."""
+    rng = np.random.default_rng(11)
+
+    def draw(n):
+        return "".join(chr(97 + x) for x in rng.integers(0, 20, n))
+
+    passage, flanks = draw(260), [draw(90) for _ in range(6)]
+    docs = []
+    for i in range(400):
+        beside = flanks[i % 6] if i % 3 else draw(90)
+        docs.append((1000 - i, draw(60) + beside + passage + draw(80)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    sizes = {"shard_bytes": 20_000, "anchors_per_part": 2000, "contexts_per_share": 64}
+    _, found, _, load = suffix.anchor_contexts(df, **sizes)
+    most = max(r["count"] for r in found.groupBy("anchor").count().collect())
+    assert load > 400 and most <= 128
+    want = brute_repeats(sorted((k, t.encode()) for k, t in docs), 100)
+    got = {r.doc_id: bytes(r.kept) for r in suffix.remove_repeats(
+        df, piece_bytes=2000, places_per_bucket=5000, **sizes).collect()}
+    assert got == want
+
+
 def test_jaccard_finds_every_link(spark):
     rng = np.random.default_rng(5)
     docs, key = [], 0
