@@ -50,7 +50,7 @@ def _distinct_values(df: DataFrame, side: str, ref_value, features: Sequence[str
 
 
 def ks_two_sample(df: DataFrame, side: str, ref_value, features: Sequence[str], min_n: int = 10,
-                  rows_per_bucket: int = 100_000, max_buckets: int = 4096) -> DataFrame:
+                  rows_per_bucket: int = 100_000) -> DataFrame:
     """Per feature: n_ref, n_cur, ks_statistic, p_value, drift_detected.
 
     Features with fewer than ``min_n`` non-null values on either side are omitted.
@@ -68,13 +68,13 @@ def ks_two_sample(df: DataFrame, side: str, ref_value, features: Sequence[str],
     dv = dv.where(F.col("feature").isin(keep))
 
     # value buckets from approximate quantiles of the distinct values
-    n_b = {f: max(1, min(max_buckets, math.ceil(totals[f]["n_distinct"] / rows_per_bucket))) for f in keep}
+    n_b = {f: max(1, math.ceil(totals[f]["n_distinct"] / rows_per_bucket)) for f in keep}
     bounds: dict[str, list[float]] = {f: [] for f in keep}
     multi = [f for f in keep if n_b[f] > 1]
     if multi:
         probs = sorted({i / n_b[f] for f in multi for i in range(1, n_b[f])})
         for r in (dv.where(F.col("feature").isin(multi)).groupBy("feature")
-                  .agg(F.percentile_approx("value", probs, 10000).alias("q")).collect()):
+                  .agg(F.percentile_approx("value", probs, max(10_000, 10 * max(n_b.values()))).alias("q")).collect()):
             bounds[r["feature"]] = sorted(set(r["q"]))
     # bucket ids by binary search (Spark ML Bucketizer) on each feature's slice of
     # the distinct values; features with one bucket get bucket 0
@@ -99,7 +99,7 @@ def ks_two_sample(df: DataFrame, side: str, ref_value, features: Sequence[str],
     offsets = btot.select("feature", "bucket",
                           F.coalesce(F.sum("b_ref").over(wo), F.lit(0)).alias("off_ref"),
                           F.coalesce(F.sum("b_cur").over(wo), F.lit(0)).alias("off_cur"))
-    # offsets: features x buckets rows, bounded by max_buckets per feature
+    # offsets: features x buckets rows, one for every rows_per_bucket distinct values
     cdf = local.join(F.broadcast(offsets), ["feature", "bucket"])
     n_ref = F.element_at(F.create_map(*[x for f in keep for x in (F.lit(f), F.lit(int(totals[f]["n_ref"])))]),
                          F.col("feature"))

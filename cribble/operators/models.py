@@ -52,8 +52,9 @@ class Grids:
 
 # ------------------------------------------------------------------ feature stages
 
-def text_stages(text_col: str, vocab: Vocab, out: str = "text_features") -> list:
-    """Cleaning -> n-grams -> exact vocabulary counts -> smoothed idf -> L2."""
+def text_stages(text_col: str, vocab: Vocab, out: str = "text_features", weighted: bool = True) -> list:
+    """Cleaning -> n-grams -> exact vocabulary counts -> smoothed idf -> L2 (N1, N6-N9); without
+    ``weighted`` the counts themselves."""
     raw, sw, vt, ng, tf, ti = (f"__{out}_{s}" for s in ("raw", "sw", "vt", "ng", "tf", "ti"))
     s1 = SQLTransformer(statement=(
         f"SELECT *, filter(split(regexp_replace(regexp_replace(lower(coalesce({text_col}, '')), r'{T.UNIT_RE}', '$1$2'), "
@@ -66,6 +67,9 @@ def text_stages(text_col: str, vocab: Vocab, out: str = "text_features") -> list
         f"SELECT *, concat({vt}, zip_with(slice({vt}, 1, greatest(size({vt}) - 1, 0)), "
         f"slice({vt}, 2, greatest(size({vt}) - 1, 0)), (a, b) -> concat_ws(' ', a, b))) AS {ng} FROM __THIS__"))
     s5 = CountVectorizerModel.from_vocabulary(list(vocab.terms), inputCol=ng, outputCol=tf)
+    if not weighted:
+        s5 = CountVectorizerModel.from_vocabulary(list(vocab.terms), inputCol=ng, outputCol=out)
+        return [s1, s2, s3, s4, s5, SQLTransformer(statement=f"SELECT * EXCEPT ({raw}, {sw}, {vt}, {ng}) FROM __THIS__")]
     s6 = ElementwiseProduct(scalingVec=Vectors.dense([vocab.idf(t) for t in vocab.terms]), inputCol=tf, outputCol=ti)
     s7 = Normalizer(p=2.0, inputCol=ti, outputCol=out)
     drop = SQLTransformer(statement=f"SELECT * EXCEPT ({raw}, {sw}, {vt}, {ng}, {tf}, {ti}) FROM __THIS__")
@@ -103,20 +107,16 @@ def rf_classifier(trees: int = 100, depth: int = 10, min_split: int = 2, seed: i
                                   seed=seed, **kw)
 
 
-def gbt_ovr(iters: int = 100, step: float = 0.1, depth: int = 5, seed: int = 42, parallelism: int = 8,
+def gbt_ovr(iters: int = 200, step: float = 0.1, depth: int = 5, seed: int = 42, parallelism: int = 8,
             **kw) -> OneVsRest:
     """Multiclass gradient boosting as one-vs-rest of binary GBTs, fitted concurrently (M4)."""
     return OneVsRest(classifier=GBTClassifier(maxIter=iters, stepSize=step, maxDepth=depth, seed=seed),
                      parallelism=parallelism, **kw)
 
 
-def linear_svc_ovr(c: float = 1.0, n_rows: int = 1, max_iter: int = 100, parallelism: int = 8,
+def linear_svc_ovr(c: float = 1.0, n_rows: int = 1, max_iter: int = 2000, parallelism: int = 8,
                    **kw) -> OneVsRest:
-    """Linear SVM, one-vs-rest for multiclass (M6); regParam = 1 / (C * n).
-
-    Every optimiser iteration is a distributed pass here, so the iteration cap
-    is 100 (with the default tolerance) rather than an in-memory solver's 2000.
-    """
+    """Linear SVM, one-vs-rest for multiclass (M6); regParam = 1 / (C * n); the tolerance ends the fit."""
     return OneVsRest(classifier=LinearSVC(regParam=1.0 / (c * max(n_rows, 1)), maxIter=max_iter),
                      parallelism=parallelism, **kw)
 
@@ -196,7 +196,7 @@ def kmeans_sweep(df: DataFrame, features: str, k_min: int = 2, k_max: int = 10,
 
     def fit(args):
         k, r = args
-        m = KMeans(k=k, seed=seed + r, featuresCol=features, initMode="k-means||", maxIter=100).fit(data)
+        m = KMeans(k=k, seed=seed + r, featuresCol=features, initMode="k-means||", maxIter=300).fit(data)
         return k, r, m, m.summary.trainingCost
 
     # independent fits are submitted concurrently; Spark schedules their jobs side by side
@@ -222,7 +222,13 @@ def pca_2d(df: DataFrame, features: str, k: int = 2):
     return model, proj, float(sum(model.explainedVariance)) * 100.0
 
 
-def word2vec(tokens_col: str, out: str = "w2v", seed: int = 42, partitions: int = 8) -> Word2Vec:
+def token_partitions(df: DataFrame, tokens_col: str, tokens_per_partition: int = 200_000) -> int:
+    """Partitions of a Word2Vec fit, from the tokens alone: no setting of the session changes the vectors."""
+    n = df.agg(F.sum(F.greatest(F.size(tokens_col), F.lit(0)).cast("long"))).first()[0] or 0
+    return max(1, -(-n // tokens_per_partition))
+
+
+def word2vec(tokens_col: str, partitions: int, out: str = "w2v", seed: int = 42) -> Word2Vec:
     """100-d, window 5, min count 2, 15 epochs."""
     return Word2Vec(vectorSize=100, windowSize=5, minCount=2, maxIter=15, seed=seed, inputCol=tokens_col,
                     outputCol=out, numPartitions=partitions)

@@ -63,14 +63,13 @@ def q_rf(spark, sf):
 
 @register("gbt_ovr", ops=("M4",))
 def q_gbt(spark, sf):
-    # 20 boosting rounds: each round is a distributed pass, so the check run stays short
-    return _fit_predict(spark, sf, ML.gbt_ovr(20, 0.1, 5, featuresCol="features", labelCol="y"), "gbt_ovr")
+    return _fit_predict(spark, sf, ML.gbt_ovr(200, 0.1, 5, featuresCol="features", labelCol="y"), "gbt_ovr")
 
 
 @register("linear_svc", ops=("M6",))
 def q_linear_svc(spark, sf):
     n = _n_train(spark, sf)
-    return _fit_predict(spark, sf, ML.linear_svc_ovr(10.0, n, max_iter=50, featuresCol="features", labelCol="y"),
+    return _fit_predict(spark, sf, ML.linear_svc_ovr(10.0, n, featuresCol="features", labelCol="y"),
                         "linear_svc")
 
 
@@ -81,27 +80,37 @@ def q_svc_rff(spark, sf):
     s = s.select("vec_id", "y", "split", "rff").persist(StorageLevel.MEMORY_AND_DISK)
     train, test = s.where(F.col("split") != "test"), s.where(F.col("split") == "test")
     n = train.count()
-    model = ML.linear_svc_ovr(10.0, n, max_iter=50, featuresCol="rff", labelCol="y").fit(train)
+    model = ML.linear_svc_ovr(10.0, n, featuresCol="rff", labelCol="y").fit(train)
     return model.transform(test).select("vec_id", "y", "prediction", F.lit("svc_rff").alias("model"))
 
 
+def search_points(n: int, grids: ML.Grids | None = None) -> list:
+    """(model, parameters, estimator) of every point of the published classification grids."""
+    g, cols = grids or ML.Grids(), {"featuresCol": "features", "labelCol": "y"}
+    return ([("logreg", f"C={c}", ML.logreg(c, n, **cols)) for c in g.logreg_c]
+            + [("rf", f"trees={t},depth={d},min_split={m}", ML.rf_classifier(t, d, m, **cols))
+               for t in g.rf_trees for d in g.rf_depth for m in g.rf_min_split]
+            + [("gbt_ovr", f"rounds={i},step={s},depth={d}", ML.gbt_ovr(i, s, d, **cols))
+               for i in g.gbt_iter for s in g.gbt_step for d in g.gbt_depth]
+            + [("linear_svc", f"C={c}", ML.linear_svc_ovr(c, n, **cols)) for c in g.svc_c])
+
+
 @register("cv_leaderboard", ops=("M1", "W2", "L1"))
 def q_cv_leaderboard(spark, sf):
-    """5-fold grid search over C (folds from the stratified fold ids), refit, test metrics."""
+    """5-fold search over the published grids (folds from the stratified fold ids), refit, test metrics."""
     s = emb_splits(spark, sf)
     train = prep.fold_assign(s.where(F.col("split") != "test"), "label", "vec_id", 5).persist()
     n = train.count()
     train = catalog.right_size(train, n)
     test = s.where(F.col("split") == "test")
     rows = []
-    for c in ML.Grids().logreg_c:
-        lr = ML.logreg(c, n, featuresCol="features", labelCol="y")
-        cvm = ML.cross_validate(Pipeline(stages=[lr]), ParamGridBuilder().build(), train, "fold", 5, label="y")
+    for name, params, est in search_points(n):
+        cvm = ML.cross_validate(Pipeline(stages=[est]), ParamGridBuilder().build(), train, "fold", 5, label="y")
         met = ML.evaluate(cvm.bestModel.transform(test), "y")
-        rows.append(("logreg", f"C={c}", float(cvm.avgMetrics[0]), met["accuracy"], met["f1_weighted"]))
+        rows.append((name, params, float(cvm.avgMetrics[0]), met["accuracy"], met["f1_weighted"]))
     out = spark.createDataFrame(rows, "model string, params string, cv_f1 double, test_accuracy double, "
                                       "test_f1 double")
-    return out.orderBy(F.desc("cv_f1"), F.asc("params"))
+    return out.orderBy(F.desc("cv_f1"), F.asc("model"), F.asc("params"))
 
 
 # ---------------------------------------------------------------- regression (M8, M9)
@@ -333,7 +342,7 @@ def _doc_tokens(spark, sf):
 @register("word2vec", ops=("N10", "N12", "J5"))
 def q_word2vec(spark, sf):
     d = _doc_tokens(spark, sf)
-    model = ML.word2vec("toks").fit(d)
+    model = ML.word2vec("toks", ML.token_partitions(d, "toks")).fit(d)
     pooled = ML.mean_pool(d, "doc_id", "toks", model.getVectors(), 100)
     return pooled.select("doc_id", F.size("pooled").alias("dim"),
                          rnd(F.aggregate("pooled", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
@@ -347,7 +356,7 @@ def q_subword_embed(spark, sf):
     d = _doc_tokens(spark, sf)
     words = d.select(F.explode_outer("toks").alias("word")).where(F.col("word").isNotNull()).distinct()
     wg = words.withColumn("grams", ML.char_ngrams(F.col("word"))).withColumn("wid", F.col("word")).persist()
-    model = ML.word2vec("grams", "g2v").fit(wg)
+    model = ML.word2vec("grams", ML.token_partitions(wg, "grams"), "g2v").fit(wg)
     pooled = ML.mean_pool(wg, "wid", "grams", model.getVectors(), 100)
     return pooled.select(F.col("wid").alias("word"), F.size("pooled").alias("dim"))
 
@@ -364,9 +373,9 @@ def _labelled_docs(spark, sf):
     return catalog.right_size(s, s.count())
 
 
-def _text_vocab(train):
+def _text_vocab(train, pairs: bool = True):
     d = T.with_clean_text(train, "text", "clean").withColumn("vt", T.vector_tokens("clean"))
-    d = T.with_ngrams_1_2(d, "vt", "ng")
+    d = T.with_ngrams_1_2(d, "vt", "ng") if pairs else d.withColumn("ng", F.col("vt"))
     counts = (d.select("doc_id", F.explode_outer("ng").alias("term")).where(F.col("term").isNotNull())
               .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")))
     return V.fit_vocab(counts, train.count())
@@ -377,27 +386,45 @@ def _num_scaled(train, test, cols):
     return prep.apply_scale(train, sc), prep.apply_scale(test, sc)
 
 
+def matrix_estimators(vectorizer: str, n: int) -> dict:
+    """Classifiers of the text matrix; naive Bayes only on the vectors without negative values."""
+    cols = {"featuresCol": vectorizer, "labelCol": "y"}
+    ests = {"linear_svc": ML.linear_svc_ovr(1.0, n, **cols), "logreg": ML.logreg(10.0, n, **cols),
+            "rf": ML.rf_classifier(100, 10, **cols)}
+    if vectorizer in ("bow", "tfidf"):
+        ests["naive_bayes"] = ML.naive_bayes(**cols)
+    return ests
+
+
+def matrix_features(s):
+    """``s`` with one vector column per vectorizer, each fitted on the training rows."""
+    train = s.where(F.col("split") == "train")
+    stages = (ML.text_stages("text", _text_vocab(train, pairs=False), "bow", weighted=False)
+              + ML.text_stages("text", _text_vocab(train), "tfidf"))
+    out = Pipeline(stages=stages).fit(train).transform(s)
+    d = T.with_clean_tokens(s, "text", "toks").select("doc_id", "split", "toks")
+    d = d.withColumn("grams", F.flatten(F.transform("toks", lambda w: ML.char_ngrams(w)))).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_on = d.where(F.col("split") == "train")
+    for name, col in (("word2vec", "toks"), ("subword", "grams")):
+        model = ML.word2vec(col, ML.token_partitions(fit_on, col)).fit(fit_on)
+        pooled = ML.mean_pool(d, "doc_id", col, model.getVectors(), 100)
+        out = out.join(ML.vector_from_array(pooled, "pooled", name).drop("pooled"), "doc_id")
+    return out
+
+
 @register("nlp_matrix", ops=("M10", "A11"))
 def q_nlp_matrix(spark, sf):
     """Text vectorizers x classifiers on the labelled documents; val/test metrics."""
-    s = _labelled_docs(spark, sf)
-    train = s.where(F.col("split") == "train")
-    vocab = _text_vocab(train)
-    n = train.count()
+    s = matrix_features(_labelled_docs(spark, sf)).select(
+        "doc_id", "y", "split", "bow", "tfidf", "word2vec", "subword").persist(StorageLevel.MEMORY_AND_DISK)
+    part = {k: s.where(F.col("split") == k) for k in ("train", "val", "test")}
+    n = part["train"].count()
     rows = []
-    feats = Pipeline(stages=ML.text_stages("text", vocab, "tfidf")).fit(train)
-    tr = feats.transform(train).persist()
-    te = {k: feats.transform(s.where(F.col("split") == k)).persist() for k in ("val", "test")}
-    ests = {
-        "linear_svc": ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="tfidf", labelCol="y"),
-        "logreg": ML.logreg(10.0, n, max_iter=100, featuresCol="tfidf", labelCol="y"),
-        "naive_bayes": ML.naive_bayes(featuresCol="tfidf", labelCol="y"),
-        "rf": ML.rf_classifier(100, 10, featuresCol="tfidf", labelCol="y"),
-    }
-    for name, est in ests.items():
-        m = est.fit(tr)
-        mv, mt = ML.evaluate(m.transform(te["val"]), "y"), ML.evaluate(m.transform(te["test"]), "y")
-        rows.append(("tfidf", name, mv["accuracy"], mv["f1_weighted"], mt["accuracy"], mt["f1_weighted"]))
+    for vectorizer in ("bow", "tfidf", "word2vec", "subword"):
+        for name, est in matrix_estimators(vectorizer, n).items():
+            m = est.fit(part["train"])
+            mv, mt = (ML.evaluate(m.transform(part[k]), "y") for k in ("val", "test"))
+            rows.append((vectorizer, name, mv["accuracy"], mv["f1_weighted"], mt["accuracy"], mt["f1_weighted"]))
     return spark.createDataFrame(rows, "vectorizer string, classifier string, val_accuracy double, "
                                        "val_f1 double, test_accuracy double, test_f1 double")
 
@@ -439,7 +466,7 @@ def q_multimodal(spark, sf):
     (scaling, text stages, assembler, classifier) is saved, reloaded and scores raw rows."""
     feats, tr, te, raw_test = _fused_features(spark, sf)
     n = tr.count()
-    head = Pipeline(stages=_assembler() + [ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features",
+    head = Pipeline(stages=_assembler() + [ML.linear_svc_ovr(1.0, n, featuresCol="features",
                                                               labelCol="y")]).fit(tr)
     model = PipelineModel(stages=feats.stages + head.stages)
     path = scratch_path(spark, "model")
@@ -456,7 +483,7 @@ def q_weighted_fusion(spark, sf):
     n = tr.count()
     rows = []
     for w in (1.0, 2.0, 0.5):
-        model = Pipeline(stages=_assembler(w) + [ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features",
+        model = Pipeline(stages=_assembler(w) + [ML.linear_svc_ovr(1.0, n, featuresCol="features",
                                                                    labelCol="y")]).fit(tr)
         met = ML.evaluate(model.transform(te), "y")
         rows.append((f"numeric x {w:g}", met["accuracy"], met["f1_weighted"]))
@@ -473,8 +500,8 @@ def q_stacking(spark, sf):
     n = tr.count()
     tr = catalog.right_size(tr, n)
     bases = {
-        "svc": lambda: ML.linear_svc_ovr(1.0, n, max_iter=50, featuresCol="features", labelCol="y"),
-        "lr": lambda: ML.logreg(1.0, n, max_iter=100, featuresCol="features", labelCol="y"),
+        "svc": lambda: ML.linear_svc_ovr(1.0, n, featuresCol="features", labelCol="y"),
+        "lr": lambda: ML.logreg(1.0, n, featuresCol="features", labelCol="y"),
         "nb": lambda: ML.naive_bayes(featuresCol="tfidf", labelCol="y"),
     }
     oof = None
@@ -490,7 +517,7 @@ def q_stacking(spark, sf):
     for name, m in full.items():
         tpart = tpart.join(m.transform(te).select("doc_id", F.col("prediction").alias(f"p_{name}")), "doc_id")
     meta_asm = VectorAssembler(inputCols=[f"p_{b}" for b in bases], outputCol="meta")
-    meta = ML.logreg(1.0, n, max_iter=100, featuresCol="meta", labelCol="y").fit(meta_asm.transform(oof))
+    meta = ML.logreg(1.0, n, max_iter=200, featuresCol="meta", labelCol="y").fit(meta_asm.transform(oof))
     pred = meta.transform(meta_asm.transform(tpart))
     met = ML.evaluate(pred, "y")
     return pred.select("doc_id", "y", "prediction", F.lit(met["f1_weighted"]).alias("test_f1"))
