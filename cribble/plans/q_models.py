@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -350,15 +350,21 @@ def q_word2vec(spark, sf):
 
 @register("subword_embed", ops=("N11",))
 def q_subword_embed(spark, sf):
-    """Subword vectors (FastText re-aim): Word2Vec over the '<word>' character n-gram
-    sequence of every distinct word; a word's vector is the mean of its n-gram
-    vectors, so words never seen in training still get one."""
-    d = _doc_tokens(spark, sf)
+    """Subword vectors (FastText re-aim): Word2Vec over the '<word>' character n-grams of
+    whole documents in order; a word's vector is the mean of its n-gram vectors, so words
+    never seen in training still get one."""
+    return subword_vectors(_doc_tokens(spark, sf))
+
+
+def subword_vectors(d):
+    """(word, dim, vector) of every distinct word of the token lists."""
+    grams = d.select(F.flatten(F.transform("toks", lambda w: ML.char_ngrams(w))).alias("grams")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    model = ML.word2vec("grams", ML.token_partitions(grams, "grams"), "g2v").fit(grams)
     words = d.select(F.explode_outer("toks").alias("word")).where(F.col("word").isNotNull()).distinct()
-    wg = words.withColumn("grams", ML.char_ngrams(F.col("word"))).withColumn("wid", F.col("word")).persist()
-    model = ML.word2vec("grams", ML.token_partitions(wg, "grams"), "g2v").fit(wg)
+    wg = words.select(F.col("word").alias("wid"), ML.char_ngrams(F.col("word")).alias("grams"))
     pooled = ML.mean_pool(wg, "wid", "grams", model.getVectors(), 100)
-    return pooled.select(F.col("wid").alias("word"), F.size("pooled").alias("dim"))
+    return pooled.select(F.col("wid").alias("word"), F.size("pooled").alias("dim"), F.col("pooled").alias("vector"))
 
 
 # ---------------------------------------------------------------- text models, fusion, stacking
@@ -490,6 +496,16 @@ def q_weighted_fusion(spark, sf):
     return spark.createDataFrame(rows, "approach string, test_accuracy double, test_f1 double")
 
 
+def base_scores(model, rows, name: str, classes: int):
+    """(doc_id, p_<name>): class probabilities of a base model, or its margins where it has none;
+    classes that its training rows lacked get the lowest score."""
+    pred = model.transform(rows)
+    score, least = ("probability", 0.0) if "probability" in pred.columns else ("rawPrediction", -1.0)
+    known = vector_to_array(F.col(score))
+    padded = F.concat(known, F.array_repeat(F.lit(least), F.greatest(F.lit(classes) - F.size(known), F.lit(0))))
+    return pred.select("doc_id", array_to_vector(padded).alias(f"p_{name}"))
+
+
 @register("stacking", ops=("M12b",))
 def q_stacking(spark, sf):
     """Three base models, 3-fold out-of-fold scores, logistic meta-model on them."""
@@ -502,20 +518,20 @@ def q_stacking(spark, sf):
     bases = {
         "svc": lambda: ML.linear_svc_ovr(1.0, n, featuresCol="features", labelCol="y"),
         "lr": lambda: ML.logreg(1.0, n, featuresCol="features", labelCol="y"),
-        "nb": lambda: ML.naive_bayes(featuresCol="tfidf", labelCol="y"),
+        "rf": lambda: ML.rf_classifier(100, 10, featuresCol="features", labelCol="y"),
     }
+    classes = int(tr.agg(F.max("y")).first()[0]) + 1
     oof = None
     for k in range(3):
         fit_part, hold = tr.where(F.col("fold") != k), tr.where(F.col("fold") == k)
         part = hold.select("doc_id", "y")
         for name, make in bases.items():
-            p = make().fit(fit_part).transform(hold).select("doc_id", F.col("prediction").alias(f"p_{name}"))
-            part = part.join(p, "doc_id")
+            part = part.join(base_scores(make().fit(fit_part), hold, name, classes), "doc_id")
         oof = part if oof is None else oof.unionByName(part)
     full = {name: make().fit(tr) for name, make in bases.items()}
     tpart = te.select("doc_id", "y")
     for name, m in full.items():
-        tpart = tpart.join(m.transform(te).select("doc_id", F.col("prediction").alias(f"p_{name}")), "doc_id")
+        tpart = tpart.join(base_scores(m, te, name, classes), "doc_id")
     meta_asm = VectorAssembler(inputCols=[f"p_{b}" for b in bases], outputCol="meta")
     meta = ML.logreg(1.0, n, max_iter=200, featuresCol="meta", labelCol="y").fit(meta_asm.transform(oof))
     pred = meta.transform(meta_asm.transform(tpart))

@@ -19,6 +19,26 @@ def test_published_maxima_and_grids(spark):
     assert all(e["logreg"].getMaxIter() == 500 for e in ests.values())
 
 
+def test_base_scores_are_scores_of_every_class(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(x) for x in rng.normal(i % 3, 1, 2)], float(i % 3)) for i in range(90)]
+    df = ML.vector_from_array(spark.createDataFrame(rows, "doc_id long, f array<double>, y double"), "f", "features")
+    cols = {"featuresCol": "features", "labelCol": "y"}
+    for est in (ML.rf_classifier(5, 3, **cols), ML.linear_svc_ovr(1.0, 90, 5, **cols)):
+        got = [r.p_x for r in Q.base_scores(est.fit(df), df, "x", 4).collect()]
+        assert {len(v) for v in got} == {4} and len({tuple(v) for v in got}) > 10
+
+
+def test_subword_vectors_follow_the_context(spark):
+    def vectors(texts):
+        d = spark.createDataFrame([(i, t.split()) for i, t in enumerate(texts)], "doc_id long, toks array<string>")
+        return {r.word: list(r.vector) for r in Q.subword_vectors(d.coalesce(1)).collect()}
+
+    one, two = vectors(["red car", "blue sky"] * 3), vectors(["red sky", "blue car"] * 3)
+    assert one.keys() == two.keys() == {"red", "car", "blue", "sky"}
+    assert all(len(v) == 100 and any(v) for v in one.values()) and one["red"] != two["red"]
+
+
 def test_word2vec_partitions_follow_the_tokens(spark):
     df = spark.createDataFrame([(["a"] * 7,), (["b"] * 5,), (None,)], "t array<string>")
     assert ML.token_partitions(df, "t") == 1
