@@ -32,10 +32,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """n-gram Jaccard join (6), five words and 0.8: of each group the smallest doc_id stays, once.
-    Documents without a doc_id are in no group and stay."""
-    keep = (jaccard.similarity_classes(docs, n=5, num=8, den=10).where("doc_id = component_id")
-            .select("doc_id").distinct())
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    Documents without a doc_id are in no group and stay; different texts under one doc_id are
+    documents of their own."""
+    groups = jaccard.similarity_groups(docs, n=5, num=8, den=10).where("doc_id is not null")
+    first = (groups.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+             .select("f.doc_id", "f.text_hash"))
+    keep = first.unionByName(groups.where("group is null").select("doc_id", "text_hash")).distinct()
+    named = (docs.withColumn("text_hash", F.xxhash64("text")).join(keep, ["doc_id", "text_hash"], "left_semi")
+             .dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns))
     return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 

@@ -108,23 +108,27 @@ def overlap_bound(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray)
     return np.minimum(nx - only_x, ny - only_y)
 
 
+def fingerprints(sets: list[np.ndarray]) -> list[pa.Array]:
+    """f1 and f2, the 128-bit fingerprint of every set."""
+    return [pa.array([np.uint64(int(mix(s).sum(dtype=U))).astype(np.int64).item() for s in sets], pa.int64()),
+            pa.array([np.uint64(int(mix(s * MIX1 + MIX2).sum(dtype=U))).astype(np.int64).item() for s in sets], pa.int64())]
+
+
 def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Per row: doc_id, n, the set's 128-bit fingerprint and tile keys."""
+    """Per row: doc_id, hash of the text, n, the set's 128-bit fingerprint and tile keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
         for batch in slices(batches, "text", 2 << 20):
             sets = shingle_sets(*text_buffers(batch.column("text")), n)
-            prints = [(int(mix(s).sum(dtype=U)), int(mix(s * MIX1 + MIX2).sum(dtype=U))) for s in sets]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([np.uint64(p).astype(np.int64).item() for p, _ in prints], pa.int64()),
-                pa.array([np.uint64(p).astype(np.int64).item() for _, p in prints], pa.int64()),
+                batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
+                *fingerprints(sets),
                 pa.array([tile_keys(s, bands).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets],
                          pa.list_(pa.int64()))],
-                names=["doc_id", "n", "f1", "f2", "keys"])
+                names=["doc_id", "text_hash", "n", "f1", "f2", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, n long, f1 long, f2 long, keys array<long>")
 
 
 def member_columns(sets: list[np.ndarray]) -> list[pa.Array]:
@@ -134,7 +138,7 @@ def member_columns(sets: list[np.ndarray]) -> list[pa.Array]:
             pa.array([s.tobytes() for s in sets], pa.binary())]
 
 
-def semi(df: DataFrame, ids: DataFrame, key: str, most: int = 500_000) -> DataFrame:
+def semi(df: DataFrame, ids: DataFrame, key: str | list[str], most: int = 500_000) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``ids``; ids are broadcast while there are at most ``most``
     of them (16 bytes each), else both sides are shuffled."""
     small = ids.limit(most + 1).count() <= most
@@ -343,29 +347,42 @@ def similarity_classes(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
     n-grams (ASCII letters lower-cased).  Equal sets form one class first, so copies are
     never paired; ``link_tiles`` links the classes.
     Null and empty texts have empty sets, link with nothing and are their own component;
-    repeated rows give one row each with the same component (texts under one doc_id
-    should be equal: a set is looked up by doc_id); a null doc_id
+    repeated rows give one row each with the same component; different texts under one
+    doc_id are linked each by its own set; a null doc_id
     stays alone with a null component; other columns are ignored; no rows give no rows.
     """
+    return similarity_groups(docs, n, num, den, block).select("doc_id", "n_shingles", "component_id")
+
+
+def similarity_groups(docs: DataFrame, n: int, num: int, den: int, block: int = 1024) -> DataFrame:
+    """``similarity_classes`` with the hash of the text and ``group``, which differs between components
+    that have the same smallest doc_id; it is null where ``n_shingles`` is 0 or doc_id is null."""
+    node = F.xxhash64("n", "f1", "f2").alias("rep")
     sets = stage(_sets(docs, n, num, den), "shingle-sets")
     named = sets.where("n > 0 and doc_id is not null")
-    classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    reps = classes.select(F.col("rep").alias("doc_id"))
-    held = shared_tiles(semi(named, reps, "doc_id").select(F.col("doc_id").alias("rep"), "keys"), "tiles")
+    classes = stage(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("low"))
+                    .select("n", "f1", "f2", "low", node), "jaccard-classes")
+    first = classes.select(F.col("low").alias("doc_id"), "rep")
+    held = shared_tiles(semi(named.select("doc_id", node, "keys"), first, ["doc_id", "rep"]).select("rep", "keys"), "tiles")
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *member_columns(shingle_sets(*text_buffers(batch.column("text")), n))],
-                names=["rep", "n", "bits", "set"])
+            sets = shingle_sets(*text_buffers(batch.column("text")), n)
+            yield pa.RecordBatch.from_arrays([*fingerprints(sets), *member_columns(sets)],
+                                             names=["f1", "f2", "n", "bits", "set"])
 
-    wanted = stage(held.select(F.col("rep").alias("doc_id")).distinct(), "tile-members")
+    wanted = stage(semi(first, held.select("rep").distinct(), "rep").select("doc_id").distinct(), "tile-members")
+    # other texts under a wanted doc_id come along as sets that no tile names
     members = stage(semi(docs.select("doc_id", "text"), wanted, "doc_id").mapInArrow(
-        payload, "rep long, n long, bits binary, set binary").dropDuplicates(["rep"]), "tile-sets")
+        payload, "f1 long, f2 long, n long, bits binary, set binary").select(node, "n", "bits", "set")
+        .dropDuplicates(["rep"]), "tile-sets")
     links = link_tiles(held, members, num, den, block)
     component = connected_components(links, "a", "b")
-    label = (classes.join(component.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("n", "f1", "f2", F.coalesce("component", "rep").alias("c")))
-    return (sets.select("doc_id", "n", "f1", "f2").join(label, ["n", "f1", "f2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id")))
+    linked = classes.join(component.withColumnRenamed("node", "rep"), "rep").select("rep", "component", "low")
+    lowest = linked.groupBy("component").agg(F.min("low").alias("c"))
+    label = (classes.join(linked.drop("low").join(lowest, "component"), "rep", "left")
+             .select("n", "f1", "f2", F.coalesce("c", "low").alias("c"), F.coalesce("component", "rep").alias("g")))
+    known = F.col("doc_id").isNotNull()
+    return (sets.select("doc_id", "text_hash", "n", "f1", "f2").join(label, ["n", "f1", "f2"], "left")
+            .select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(known, F.col("g")).alias("group"),
+                    F.when(known, F.coalesce("c", "doc_id")).alias("component_id")))

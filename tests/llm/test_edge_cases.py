@@ -54,6 +54,18 @@ def test_lines(docs, none):
     assert lines.dedup_lines(docs).count() == len(ROWS) and lines.dedup_lines(none).count() == 0
 
 
+def test_different_texts_under_one_id(spark):
+    import corpus_pipeline
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    near = a.replace("a59", "other")
+    df = spark.createDataFrame([(3, b), (5, a), (5, b + " more"), (5, "alone"), (9, near), (7, ""), (7, "")],
+                               "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.similarity_classes(df, n=5, num=8, den=10).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (5, 5), (7, 7), (7, 7), (9, 5)]
+    kept = corpus_pipeline.drop_near_copies(spark, df, "").collect()
+    assert sorted(map(tuple, kept)) == sorted([(3, b), (5, a), (5, "alone"), (7, "")])
+
+
 def test_fuzzy_lines(spark):
     words = [f"word{i}" for i in range(60)]
     near = " ".join(words[:30] + ["changed"] + words[31:])
