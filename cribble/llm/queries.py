@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cribble.llm import chat, decontaminate, embeddings, jaccard, langid, lines, packing, quality, suffix, urls
+from cribble.llm import (
+    bpe, chat, decontaminate, embeddings, jaccard, langid, lines, packing, periods, quality, suffix, trie, urls)
 from cribble.llm.common import read_table
 
 QUERIES: dict = {}
@@ -219,3 +220,69 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix.remove_repeats(read_table(spark, sf_dir, "documents"), width=100)
     return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# -- fixed values: start and reversed polynomial of crc32 (4294967295, 3988292384).
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS k,
+         length(coalesce(text, '')) AS c
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'k': k, 'c': c} ORDER BY turn NULLS FIRST, k) AS ts FROM t GROUP BY 1),
+h AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda x: CAST(ord(x) AS BIGINT))), lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+      lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 6 AS h FROM o),
+r AS (
+  SELECT o.conv_id, list_concat(CASE WHEN b.ts IS NULL THEN [] ELSE list_slice(b.ts, 1, h) END,
+                                list_slice(o.ts, h + 1, len(o.ts))) AS ts
+  FROM o JOIN h USING (conv_id) LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100),
+m AS (
+  SELECT conv_id, d, array_to_string(list_transform(list_slice(ts, 1, d), lambda x: x.k), '') AS k,
+         CASE WHEN d > 0 THEN ts[d].c ELSE 0 END AS c, d = len(ts) AS ends
+  FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+nodes AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n, max(c) AS c,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends) AS e FROM m GROUP BY d, k),
+kids AS (SELECT substr(k, 1, 32 * (d - 1)) AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)),
+sums AS (
+  SELECT a AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n - 1) * c) AS saved
+  FROM (SELECT *, unnest([substr(k, 1, 32 * j) for j in range(0, d + 1)]) AS a FROM full_nodes) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, s.n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(f.e, '')) AS ends_sha256
+FROM full_nodes f JOIN sums s USING (k) LEFT JOIN nodes p ON f.d > 0 AND p.k = substr(f.k, 1, 32 * (f.d - 1))
+"""
+
+
+@query("op11_conversation_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = trie.paths(read_table(spark, sf_dir, "conversations"))
+    shared = F.crc32(F.col("conv_id").cast("string")) % 6
+    return trie.prefix_trie(trie.share_openings(convs, 100, shared, 5))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document in ten gets a repeated tail first, as the contract says; runs are found in all."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(F.coalesce(h % 10 == 0, F.lit(False)), F.filter(
+        F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    told = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("w"))
+    told = told.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    told = told.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("long"))
+    tail = F.transform("w", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    told = told.select("doc_id", F.when(F.col("n") > 0, F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+    runs = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return periods.collapse(told).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(F.array_join(runs, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op13_byte_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, pattern)
+    return bpe.decode(encoded, ranks, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
