@@ -20,23 +20,18 @@ import regex
 from pyspark.sql import DataFrame
 
 from cribble.llm.common import MUL, U, ranges, slices, text_buffers
+from cribble.llm.idcache import IdCache
 
 NONE = np.int32((1 << 31) - 1)  # rank of a pair that is no token
 WIDEST = 256  # bytes of a piece that still goes into a matrix
 
 
 class PairTable:
-    """(left id, right id) -> rank of the joined bytes, in an open-addressing hash table."""
+    """(left id, right id) -> id of the merged pair, which also ranks it, in an open-addressing hash table."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        found: dict[int, int] = {}
-        for token, rank in ranks.items():
-            for i in range(1, len(token)):
-                left, right = ranks.get(token[:i]), ranks.get(token[i:])
-                if left is not None and right is not None:
-                    found[left << 32 | right] = rank
-        keys = np.fromiter(found.keys(), np.int64, len(found))
-        values = np.fromiter(found.values(), np.int32, len(found))
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        keys = np.fromiter((a << 32 | b for a, b in pairs), np.int64, len(pairs))
+        values = np.fromiter(pairs.values(), np.int32, len(pairs))
         self.shift = U(64 - max(4, (4 * max(1, len(keys))).bit_length()))
         self.mask = (1 << 64 - int(self.shift)) - 1
         self.keys = np.full(self.mask + 1, -1, np.int64)
@@ -69,23 +64,11 @@ class PairTable:
         return out
 
 
-class ByteBpe:
-    """Encoder and decoder of one rank table (every single byte must have a rank)."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 400_000):
-        self.pattern = regex.compile(pattern)
-        self.ranks, self.remember = ranks, remember
-        self.table = PairTable(ranks)
-        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.known: dict[str, bytes] = {}
-        size = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, rank in ranks.items():
-            size[rank] = len(token)
-        self.size, self.start = size, np.cumsum(size) - size
-        by_rank = sorted((rank, token) for token, rank in ranks.items())
-        self.bytes = np.frombuffer(b"".join(token for _, token in by_rank), np.uint8)
+class Merger:
+    """Merges pieces given as sequences of first ids: each round the leftmost pair of the lowest rank."""
 
-    # ---------------------------------------------------------------- merging
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        self.table = PairTable(pairs)
 
     def merge_rows(self, ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Merge every row of a matrix padded with -1 to the end: (row numbers, their ids) in turn."""
@@ -138,32 +121,62 @@ class ByteBpe:
                 rank[k] = self.table.get(ids[k], ids[k + 1])
         return ids
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids (little-endian unsigned 32-bit) of every piece."""
-        out = [b""] * len(pieces)
-        size = np.array([len(p) for p in pieces], np.int64)
-        for i, p in enumerate(pieces):
-            if p in self.ranks:
-                out[i] = int(self.ranks[p]).to_bytes(4, "little")
-                size[i] = 0
+    def merge(self, flat: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """Ids (little-endian unsigned 32-bit) of every piece; ``flat`` holds the first ids of all in a row."""
+        out = [b""] * len(size)
+        start = np.cumsum(size) - size
         for i in np.flatnonzero(size > WIDEST).tolist():
-            out[i] = self.merge_long(self.byte_id[np.frombuffer(pieces[i], np.uint8)]).astype("<u4").tobytes()
-        width = 2
+            out[i] = self.merge_long(flat[start[i]:start[i] + size[i]].copy()).astype("<u4").tobytes()
+        width = 1
         while width <= WIDEST:
             rows = np.flatnonzero((size > width // 2) & (size <= width))
-            for part in np.split(rows, np.arange(1, -(-len(rows) * width // (1 << 20)) or 1) * max(1, (1 << 20) // width)):
+            step = max(1, (1 << 20) // width)
+            for lo in range(0, len(rows), step):
+                part = rows[lo:lo + step]
                 ids = np.full((len(part), width), -1, np.int32)
-                ids[np.arange(width) < size[part][:, None]] = self.byte_id[
-                    np.frombuffer(b"".join([pieces[i] for i in part.tolist()]), np.uint8)]
+                ids[np.arange(width) < size[part][:, None]] = flat[ranges(start[part], size[part])]
                 for got, merged in self.merge_rows(ids):
                     valid = merged >= 0
-                    flat = merged[valid].astype("<u4").tobytes()
+                    body = merged[valid].astype("<u4").tobytes()
                     ends = np.cumsum(valid.sum(axis=1)) * 4
                     for i, s, e in zip(part[got].tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
-                        out[i] = flat[s:e]
+                        out[i] = body[s:e]
             width *= 2
         return out
 
+
+class ByteBpe:
+    """Encoder and decoder of one rank table (every single byte must have a rank)."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 1_500_000):
+        self.pattern = regex.compile(pattern)
+        self.ranks = ranks
+        self.cache = IdCache(lambda words: self.encode_pieces([w.encode() for w in words]), remember)
+        pairs = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    pairs[left, right] = rank
+        self.merger = Merger(pairs)
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        size = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, rank in ranks.items():
+            size[rank] = len(token)
+        self.size, self.start = size, np.cumsum(size) - size
+        by_rank = sorted((rank, token) for token, rank in ranks.items())
+        self.bytes = np.frombuffer(b"".join(token for _, token in by_rank), np.uint8)
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of every piece; a piece that is a token is that token."""
+        whole = [self.ranks.get(p) for p in pieces]
+        rest = [i for i, w in enumerate(whole) if w is None]
+        out = [b"" if w is None else int(w).to_bytes(4, "little") for w in whole]
+        flat = self.byte_id[np.frombuffer(b"".join([pieces[i] for i in rest]), np.uint8)]
+        for i, ids in zip(rest, self.merger.merge(flat, np.array([len(pieces[i]) for i in rest], np.int64))):
+            out[i] = ids
+        return out
+
     # ---------------------------------------------------------------- batches
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -175,16 +188,10 @@ class ByteBpe:
             pieces += got
         enc = pa.array(pieces, pa.large_string()).dictionary_encode()
         del pieces
-        words = enc.dictionary.to_pylist()
-        if len(self.known) > self.remember:
-            self.known.clear()
-        miss = [w for w in words if w not in self.known]
-        self.known.update(zip(miss, self.encode_pieces([w.encode() for w in miss])))
-        got = [self.known[w] for w in words]
-        sizes = np.array([len(g) // 4 for g in got], np.int64)
+        flat, starts, sizes = self.cache.look(enc.dictionary)
         code = enc.indices.to_numpy(zero_copy_only=False)
         per_piece = sizes[code]
-        ids = np.frombuffer(b"".join(got), "<u4")[ranges((np.cumsum(sizes) - sizes)[code], per_piece)]
+        ids = flat[ranges(starts[code], per_piece)]
         done = np.concatenate(([0], np.cumsum(per_piece)))
         return ids, np.diff(done[np.concatenate(([0], np.cumsum(per_row, dtype=np.int64)))])
 

@@ -115,11 +115,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(p), np.multiply.accumulate(q)
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every byte span [start, end): equal bytes give equal hashes in any task."""
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of every byte span [start, end): equal bytes give equal hashes in any task.
+
+    ``values`` (one number for each byte) makes it another hash function."""
     p, q = powers(len(raw))
     total = np.zeros(len(raw) + 1, U)
-    np.cumsum((raw.astype(U) + U(1)) * p[:-1], out=total[1:])
+    np.cumsum((raw.astype(U) + U(1) if values is None else values[raw]) * p[:-1], out=total[1:])
     return mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(U) * MIX1)
 
 

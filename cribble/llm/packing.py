@@ -7,6 +7,8 @@ crosses documents, none is padded, and pieces of equal length share a bucket.
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -17,8 +19,12 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from cribble.llm.bpe import Merger
 from cribble.llm.common import ranges, slices
+from cribble.llm.idcache import IdCache
 
+# letters whose lower case is one letter and which no normalisation joins or splits
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long, bucket int")
 
@@ -33,32 +39,54 @@ class WordTokenizer:
     """Ids of whole texts from the ids of their distinct words.
 
     Holds for vocabularies that drop white space before the merges: a text's ids are
-    then the ids of its space-separated chunks in a row.  Chunks are encoded once per
-    batch and remembered (up to ``remember`` of them) across the tasks of a worker.
+    then the ids of its space-separated chunks in a row.  Chunks are encoded once and
+    remembered across the tasks of a worker (``IdCache``).
     """
 
-    def __init__(self, spec: str, remember: int = 400_000):
+    def __init__(self, spec: str, remember: int = 1_500_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
-        self.remember = remember
-        self.known: dict[str, bytes] = {}
-        vocab = self.tok.get_vocab()
-        self.word_end = np.zeros(max(vocab.values()) + 1, bool)
-        self.word_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def _plain(self, words: list[str]) -> None:
-        """Encode words of ASCII letters as one text; each ends with an end-of-word token."""
-        ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
-        ends = np.flatnonzero(self.word_end[ids]) + 1
-        if len(ends) != len(words):
-            self._each(words)
-            return
-        for w, s, e in zip(words, np.concatenate(([0], ends[:-1])).tolist(), ends.tolist()):
-            self.known[w] = ids[s:e].tobytes()
-
-    def _each(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tok.encode_batch(words, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, np.uint32).tobytes()
+        self.cache = IdCache(self._words, remember)
+        self.merger, self.inner, self.last = self._merges(json.loads(spec)["model"])
+
+    @staticmethod
+    def _merges(model: dict) -> tuple[Merger | None, np.ndarray, np.ndarray]:
+        """Merger of the vocabulary and the first ids of the bytes inside and at the end of a word; no merger where
+        ids do not follow the order of the merges, or where bytes have no id."""
+        vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        ids = [vocab[a + b] for a, b in pairs]
+        # byte-level vocabularies write a byte as a printable character: itself, or the next one from 256 on
+        shown, other = {}, 256
+        for b in range(256):
+            if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+                shown[b] = chr(b)
+            else:
+                shown[b], other = chr(other), other + 1
+        known = all(c in vocab and c + end in vocab for c in shown.values())
+        if not known or any(x >= y for x, y in zip(ids, ids[1:])):
+            return None, np.zeros(0), np.zeros(0)
+        table = {(vocab[a], vocab[b]): i for (a, b), i in zip(pairs, ids)}
+        return (Merger(table), np.array([vocab[shown[b]] for b in range(256)], np.int32),
+                np.array([vocab[shown[b] + end] for b in range(256)], np.int32))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of every word.  Words of Latin letters alone are one piece, whose bytes are merged here."""
+        plain = [i for i, w in enumerate(words) if LATIN.fullmatch(w)] if self.merger else []
+        out = [b""] * len(words)
+        if plain:
+            lower = [words[i].lower().encode() for i in plain]
+            size = np.array([len(w) for w in lower], np.int64)
+            raw = np.frombuffer(b"".join(lower), np.uint8)
+            flat, end = self.inner[raw], np.cumsum(size) - 1
+            flat[end] = self.last[raw[end]]
+            for i, ids in zip(plain, self.merger.merge(flat, size)):
+                out[i] = ids
+        done = set(plain)
+        rest = [i for i in range(len(words)) if i not in done]
+        for i, e in zip(rest, self.tok.encode_batch([words[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, np.uint32).tobytes()
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in a row, number of ids per row)."""
@@ -67,19 +95,9 @@ class WordTokenizer:
         texts = pc.replace_substring_regex(texts, r"([A-Za-z])([,.])( |$)", r"\1 \2\3")
         lists = pc.split_pattern(texts, " ")
         enc = lists.flatten().dictionary_encode()
-        words = enc.dictionary.to_pylist()
-        keys = [w.lower() if w.isascii() and w.isalpha() else w for w in words]
-        if len(self.known) > self.remember:
-            self.known.clear()
-        miss = list({k for k in keys if k not in self.known})
-        plain = [k for k in miss if k.isascii() and k.isalpha()]
-        for i in range(0, len(plain), 500):
-            self._plain(plain[i:i + 500])
-        self._each([k for k in miss if not (k.isascii() and k.isalpha())])
-        got = [self.known[k] for k in keys]
-        flat = np.frombuffer(b"".join(got), np.uint32)
-        sizes = np.array([len(g) // 4 for g in got], np.int64)
-        starts = np.cumsum(sizes) - sizes
+        words = enc.dictionary
+        plain = pc.and_(pc.string_is_ascii(words), pc.utf8_is_alpha(words))
+        flat, starts, sizes = self.cache.look(pc.if_else(plain, pc.ascii_lower(words), words))
         code = enc.indices.to_numpy(zero_copy_only=False)
         per_word = sizes[code]
         ids = flat[ranges(starts[code], per_word)]

@@ -191,3 +191,66 @@ def test_suffix(docs, none):
     assert len(rows) == len(ROWS) and by_id[1].n_bytes == 0 and by_id[4].kept.decode() == LONG
     assert by_id[5].kept == b"" and by_id[5].spans == [(0, len(LONG))] and by_id[None].kept == b"a null id"
     assert suffix.remove_repeats(none).count() == 0
+
+
+def test_packing_query_over_the_whole_table(spark):
+    """Every column of the query against the tokenizer on every document."""
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    from cribble.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {d.doc_id: [*e.ids, 2] for d, e in zip(docs, tok.encode_batch([d.text or "" for d in docs], add_special_tokens=False))}
+    pieces, sequences = {}, set()
+    for r in QUERIES["op7_packing"](spark, sf).collect():
+        ids = np.array(want[r.doc_id][r.start:r.start + r.length], "<u4")
+        assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32 and r.doc_tokens == len(want[r.doc_id])
+        assert r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 4096 and r.sequence_id not in sequences
+        sequences.add(r.sequence_id)
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length))
+    assert pieces.keys() == want.keys()
+    for doc, p in pieces.items():
+        p.sort()
+        assert [s for s, _ in p] == np.cumsum([0, *[n for _, n in p]]).tolist()[:-1] and sum(n for _, n in p) == len(want[doc])
+
+
+def test_words_of_latin_letters_equal_the_tokenizer():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from cribble.llm.packing import WordTokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        ours = WordTokenizer(f.read())
+    theirs = Tokenizer.from_file(path)
+    rng = random.Random(2)
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100))]
+    words = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 5, 9, 40]))) for _ in range(3000)]
+    words += ["e" * 300, "Straße", "ÀÉÎ", "ÿŸ", "µª", "don't", "ab" * 400, "×", "a×b"]
+    ids, counts = ours.encode(pa.array([*words, " ".join(words), None]))
+    want = [theirs.encode(w, add_special_tokens=False).ids for w in (*words, " ".join(words))]
+    assert counts.tolist() == [len(w) for w in want] + [0] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_id_cache_starts_anew_and_keeps_words_apart():
+    import pyarrow as pa
+
+    from cribble.llm.idcache import IdCache
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [np.frombuffer(w.encode(), np.uint8).astype("<u4").tobytes() for w in words]
+
+    cache = IdCache(encode, most=50)
+    for turn in range(30):
+        words = [f"w{i}" for i in range(turn, turn + 12)] + ["", "w0"]
+        ids, start, size = cache.look(pa.array(words, pa.large_string()))
+        for w, s, n in zip(words, start.tolist(), size.tolist()):
+            assert bytes(ids[s:s + n].astype(np.uint8)) == w.encode()
+    assert len(asked) < 30 * 13
