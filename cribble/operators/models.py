@@ -15,16 +15,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
+from pyspark.ml.classification import (LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import (PCA, CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer,
                                 StandardScaler, StopWordsRemover, VectorAssembler, Word2Vec)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +37,17 @@ from cribble.operators.vectorize import Vocab
 @dataclass
 class Grids:
     """Hyper-parameter grids of the published model search."""
+    # -- fixed values: the published grids.
     logreg_c: Sequence[float] = (0.1, 1.0, 10.0)
     rf_trees: Sequence[int] = (100, 200)
-    rf_depth: Sequence[int] = (10, 20, 30)         # 30 stands for "unlimited"
+    rf_depth: Sequence[int | None] = (None, 10, 20)
     rf_min_split: Sequence[int] = (2, 5)
     gbt_iter: Sequence[int] = (100, 200)
     gbt_step: Sequence[float] = (0.05, 0.1)
     gbt_depth: Sequence[int] = (3, 5)
     svc_c: Sequence[float] = (0.1, 1.0, 10.0)
+    svc_features: int = 100                         # random Fourier features of the rbf kernel
+    reg_rf_depth: Sequence[int | None] = (None, 10)
     ridge_alpha: Sequence[float] = (0.1, 1.0, 10.0, 100.0)
     cv_folds: int = 5
     extra: dict = field(default_factory=dict)
@@ -76,11 +79,6 @@ def text_stages(text_col: str, vocab: Vocab, out: str = "text_features", weighte
     return [s1, s2, s3, s4, s5, s6, s7, drop]
 
 
-def numeric_stages(cols: Sequence[str], out: str = "num_features") -> list:
-    """Assemble numeric columns (already standardised with population std upstream, E4)."""
-    return [VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")]
-
-
 def vector_from_array(df: DataFrame, col: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
 
@@ -107,13 +105,6 @@ def rf_classifier(trees: int = 100, depth: int = 10, min_split: int = 2, seed: i
                                   seed=seed, **kw)
 
 
-def gbt_ovr(iters: int = 200, step: float = 0.1, depth: int = 5, seed: int = 42, parallelism: int = 8,
-            **kw) -> OneVsRest:
-    """Multiclass gradient boosting as one-vs-rest of binary GBTs, fitted concurrently (M4)."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=iters, stepSize=step, maxDepth=depth, seed=seed),
-                     parallelism=parallelism, **kw)
-
-
 def linear_svc_ovr(c: float = 1.0, n_rows: int = 1, max_iter: int = 2000, parallelism: int = 8,
                    **kw) -> OneVsRest:
     """Linear SVM, one-vs-rest for multiclass (M6); regParam = 1 / (C * n); the tolerance ends the fit."""
@@ -126,26 +117,6 @@ def naive_bayes(**kw) -> NaiveBayes:
     return NaiveBayes(smoothing=1.0, modelType="multinomial", **kw)
 
 
-def rff_stage(df: DataFrame, features: str, out: str, dim: int, n_features: int, gamma: float, seed: int = 42):
-    """Random Fourier features for an RBF kernel: sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma) (M5).
-
-    W and b are drawn once on the driver (D x d values, bounded by the chosen
-    dimension) and applied as array expressions, so the map stays in the JVM.
-    """
-    import numpy as np
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dim, n_features))
-    b = rng.uniform(0.0, 2.0 * np.pi, size=dim)
-    x = vector_to_array(F.col(features))
-    comps = []
-    scale = float(np.sqrt(2.0 / dim))
-    for j in range(dim):
-        wj = F.array(*[F.lit(float(v)) for v in w[j]])
-        dot = F.aggregate(F.zip_with(x, wj, lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v)
-        comps.append(F.lit(scale) * F.cos(dot + F.lit(float(b[j]))))
-    return df.withColumn(out, array_to_vector(F.array(*comps)))
-
-
 def ridge(alpha: float, n_rows: int, y_std: float, **kw) -> LinearRegression:
     """Ridge with sklearn's alpha: regParam = alpha * sigma_y / n, normal equations (M8)."""
     return LinearRegression(regParam=alpha * y_std / max(n_rows, 1), elasticNetParam=0.0, solver="normal",
@@ -168,16 +139,6 @@ def evaluate(pred: DataFrame, label: str = "label") -> dict:
     return {"accuracy": acc, "f1_weighted": f1}
 
 
-def cross_validate(pipeline: Pipeline, grid, train: DataFrame, fold_col: str, num_folds: int, metric: str = "f1",
-                   label: str = "label", parallelism: int = 2, regression: bool = False):
-    """Grid search with user folds (W2 fold ids) and refit on the whole training set (M1)."""
-    ev = (RegressionEvaluator(labelCol=label, metricName=metric) if regression
-          else MulticlassClassificationEvaluator(labelCol=label, metricName=metric))
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        numFolds=num_folds, parallelism=parallelism, seed=42)
-    return cv.fit(train)
-
-
 def confidence(pred: DataFrame, prob: str = "probability") -> DataFrame:
     """Max class probability (A24) and the class probabilities sorted ascending."""
     arr = vector_to_array(F.col(prob))
@@ -242,11 +203,8 @@ def mean_pool(df: DataFrame, id_col: str, tokens_col: str, vectors: DataFrame, d
     table grows with the vocabulary), then averaged per document.
     """
     toks = df.select(id_col, F.explode_outer(tokens_col).alias("word"))
-    vec = vectors.select("word", vector_to_array("vector").alias("v"))
-    hit = toks.join(vec, "word", "inner").select(id_col, F.posexplode("v").alias("i", "x"))
-    means = hit.groupBy(id_col, "i").agg(F.avg("x").alias("m"))
-    pooled = means.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("s"))
-    pooled = pooled.select(id_col, F.transform("s", lambda e: e["m"]).alias("pooled"))
+    pooled = (toks.join(vectors.select("word", "vector"), "word", "inner").groupBy(id_col)
+              .agg(vector_to_array(Summarizer.mean(F.col("vector"))).alias("pooled")))
     zeros = F.array_repeat(F.lit(0.0), dim)
     return (df.select(id_col).join(pooled, id_col, "left")
             .select(id_col, F.coalesce("pooled", zeros).alias("pooled")))

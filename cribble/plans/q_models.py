@@ -6,17 +6,17 @@ subword n-grams, hybrid decision) carry a DuckDB twin.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from cribble.functions import text as T
 from cribble.functions.numeric import rnd, sql_rnd
+from cribble.operators import joint, linear, prep, search, subword, trees
 from cribble.operators import models as ML
-from cribble.operators import prep
 from cribble.operators import vectorize as V
 from cribble.plans.registry import register
 from cribble.sources import catalog
@@ -61,9 +61,18 @@ def q_rf(spark, sf):
     return _fit_predict(spark, sf, ML.rf_classifier(100, 10, 2, featuresCol="features", labelCol="y"), "rf")
 
 
-@register("gbt_ovr", ops=("M4",))
+@register("gbt_ovr", ops=("M4", "A24"))
 def q_gbt(spark, sf):
-    return _fit_predict(spark, sf, ML.gbt_ovr(200, 0.1, 5, featuresCol="features", labelCol="y"), "gbt_ovr")
+    """Softmax boosting of all classes in joint rounds: 200 rounds of depth 5."""
+    d = _emb_design(emb_splits(spark, sf).withColumn("fold", F.when(F.col("split") != "test", 0)))
+    model = trees.fit_boosting(d, [trees.Boosting(200, 0.1, 5)])[0]
+    pred = joint.score(d, [0], lambda block, m: model.scores(block.x), lambda block, m: block.fold == -1)
+    return pred.select(F.col("id").alias("vec_id"), "y", "prediction", rnd(F.array_max("scores"), 6).alias("confidence"),
+                       F.lit("gbt_ovr").alias("model"))
+
+
+def _emb_design(splits):
+    return joint.design(splits, "vec_id", "features", "y", "fold")
 
 
 @register("linear_svc", ops=("M6",))
@@ -73,44 +82,91 @@ def q_linear_svc(spark, sf):
                         "linear_svc")
 
 
-@register("svc_rff", ops=("M5",))
+@register("svc_rff", ops=("M5", "A24", "L5"))
 def q_svc_rff(spark, sf):
+    """Kernel SVM (C = 10) on random Fourier features of an RBF kernel, with probabilities: sigmoids of the
+    margins are fitted on five folds' held-out rows."""
     s = emb_splits(spark, sf)
-    s = ML.rff_stage(s, "features", "rff", dim=100, n_features=64, gamma=1.0 / 64)
-    s = s.select("vec_id", "y", "split", "rff").persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = s.where(F.col("split") != "test"), s.where(F.col("split") == "test")
-    n = train.count()
-    model = ML.linear_svc_ovr(10.0, n, featuresCol="rff", labelCol="y").fit(train)
-    return model.transform(test).select("vec_id", "y", "prediction", F.lit("svc_rff").alias("model"))
+    train = prep.fold_assign(s.where(F.col("split") != "test"), "label", "vec_id", 5)
+    d = _emb_design(train.unionByName(s.where(F.col("split") == "test"), allowMissingColumns=True))
+    wave = linear.Fourier.draw(d.width, rbf_gamma(d), 100)
+    fits = linear.fit_linear(d, [linear.Linear("hinge", 10.0, f, 2000, fourier=wave) for f in (*range(5), None)])
+
+    def margins(holds):
+        return joint.score(d, range(6), lambda block, m: fits[m].scores(block.x), holds)
+
+    unseen = margins(lambda block, m: (block.fold == m) & (m < 5))
+    out = linear.calibrated(margins(lambda block, m: (block.fold == -1) & (m == 5)), linear.fit_sigmoids(class_margins(unseen)))
+    return out.select(F.col("id").alias("vec_id"), "y", "prediction", rnd(F.array_max("probability"), 6).alias("confidence"),
+                      F.array_sort(F.transform("probability", lambda p: rnd(p, 6))).alias("proba_sorted"),
+                      F.lit("svc_rff").alias("model"))
+
 
+def class_margins(scored):
+    """(class, m, hit): one row for every class of every scored row."""
+    return scored.select("y", F.posexplode("scores").alias("class", "m")).select(
+        "class", "m", (F.col("y") == F.col("class")).alias("hit"))
 
-def search_points(n: int, grids: ML.Grids | None = None) -> list:
-    """(model, parameters, estimator) of every point of the published classification grids."""
-    g, cols = grids or ML.Grids(), {"featuresCol": "features", "labelCol": "y"}
-    return ([("logreg", f"C={c}", ML.logreg(c, n, **cols)) for c in g.logreg_c]
-            + [("rf", f"trees={t},depth={d},min_split={m}", ML.rf_classifier(t, d, m, **cols))
-               for t in g.rf_trees for d in g.rf_depth for m in g.rf_min_split]
-            + [("gbt_ovr", f"rounds={i},step={s},depth={d}", ML.gbt_ovr(i, s, d, **cols))
-               for i in g.gbt_iter for s in g.gbt_step for d in g.gbt_depth]
-            + [("linear_svc", f"C={c}", ML.linear_svc_ovr(c, n, **cols)) for c in g.svc_c])
 
+def rbf_gamma(d) -> float:
+    """1 / (features x variance of all feature values), from sums of the rows that train."""
+    n, a, b = joint.sums(d, [0], joint.moments).get(0, np.zeros(3))
+    var = b / n - (a / n) ** 2 if n else 0.0
+    return 1.0 / (d.width * var) if var > 0 else 1.0
 
-@register("cv_leaderboard", ops=("M1", "W2", "L1"))
+
+def search_points(width: int, gamma: float = 1.0, grids: ML.Grids | None = None) -> dict:
+    """The points of the published classification grids by family."""
+    return search.grid_points(grids or ML.Grids(), width, gamma)
+
+
+@register("cv_leaderboard", ops=("M1", "M2", "M3", "M4", "M5", "W2", "L1"))
 def q_cv_leaderboard(spark, sf):
-    """5-fold search over the published grids (folds from the stratified fold ids), refit, test metrics."""
-    s = emb_splits(spark, sf)
-    train = prep.fold_assign(s.where(F.col("split") != "test"), "label", "vec_id", 5).persist()
-    n = train.count()
-    train = catalog.right_size(train, n)
-    test = s.where(F.col("split") == "test")
-    rows = []
-    for name, params, est in search_points(n):
-        cvm = ML.cross_validate(Pipeline(stages=[est]), ParamGridBuilder().build(), train, "fold", 5, label="y")
-        met = ML.evaluate(cvm.bestModel.transform(test), "y")
-        rows.append((name, params, float(cvm.avgMetrics[0]), met["accuracy"], met["f1_weighted"]))
-    out = spark.createDataFrame(rows, "model string, params string, cv_f1 double, test_accuracy double, "
-                                      "test_f1 double")
-    return out.orderBy(F.desc("cv_f1"), F.asc("model"), F.asc("params"))
+    """5-fold search over the published grids (32 points).  The best point of every family is fitted on the training
+    rows and scored on validation and test rows; the family that is best on validation is searched again on both
+    and that model is tested (stage final)."""
+    return model_search(emb_splits(spark, sf), "label", "vec_id")
+
+
+def model_search(splits, label: str, key: str, grids: ML.Grids | None = None, folds: int = 5):
+    """Rows (stage, model, params, cv_f1, val_accuracy, val_f1, test_accuracy, test_f1); columns that a stage does not
+    measure are null.  ``splits`` has features, y and split (train, val, test)."""
+    spark = splits.sparkSession
+    train = prep.fold_assign(splits.where("split = 'train'"), label, key, folds)
+    d = joint.design(train.unionByName(splits.where("split != 'train'"), allowMissingColumns=True), key, "features", "y", "fold",
+                     models=200)
+    points, cuts, rows, best = search_points(d.width, rbf_gamma(d), grids), joint.cut_points(d), [], {}
+    part = splits.select(F.col(key).alias("id"), "split")
+    for family, ps in points.items():
+        pred = stage_predictions(search.held_out(d, family, ps, range(folds), cuts))
+        cv = search.choose(search.metrics_by(pred, ["point", "fold"]))
+        top = min(cv, key=lambda r: (-r["cv_f1"], r["point"]))
+        rows += [("search", family, ps[r["point"]].params, r["cv_f1"], None, None, None, None) for r in cv]
+        scored = search.held_out(d, family, [ps[top["point"]]], [None], cuts).join(part, "id")
+        met = {r["split"]: r for r in search.metrics_by(scored, ["split"]).collect()}
+        best[family] = (met["val"]["f1"], top["cv_f1"], ps[top["point"]].params)
+        rows.append(("family", family, ps[top["point"]].params, top["cv_f1"], met["val"]["accuracy"], met["val"]["f1"],
+                     met["test"]["accuracy"], met["test"]["f1"]))
+    d.unpersist()
+    winner = max(best, key=lambda k: (best[k][0], best[k][1], k))
+    both = prep.fold_assign(splits.where("split != 'test'"), label, key, folds)
+    d = joint.design(both.unionByName(splits.where("split = 'test'"), allowMissingColumns=True), key, "features", "y", "fold",
+                     models=200)
+    ps, cuts = search_points(d.width, rbf_gamma(d), grids)[winner], joint.cut_points(d)
+    cv = search.choose(search.metrics_by(stage_predictions(search.held_out(d, winner, ps, range(folds), cuts)), ["point", "fold"]))
+    top = min(cv, key=lambda r: (-r["cv_f1"], r["point"]))
+    met = search.metrics_by(search.held_out(d, winner, [ps[top["point"]]], [None], cuts).withColumn("all", F.lit(1)), ["all"]).first()
+    rows.append(("final", winner, ps[top["point"]].params, top["cv_f1"], None, None, met["accuracy"], met["f1"]))
+    d.unpersist()
+    return spark.createDataFrame(rows, "stage string, model string, params string, cv_f1 double, val_accuracy double, "
+                                       "val_f1 double, test_accuracy double, test_f1 double")
+
+
+def stage_predictions(pred):
+    """The predictions of a search, written once: metrics of every grouping are counts over this table."""
+    path = scratch_path(pred.sparkSession, "predictions")
+    pred.drop("scores").write.parquet(path)
+    return pred.sparkSession.read.schema(pred.drop("scores").schema).parquet(path)
 
 
 # ---------------------------------------------------------------- regression (M8, M9)
@@ -350,21 +406,16 @@ def q_word2vec(spark, sf):
 
 @register("subword_embed", ops=("N11",))
 def q_subword_embed(spark, sf):
-    """Subword vectors (FastText re-aim): Word2Vec over the '<word>' character n-grams of
-    whole documents in order; a word's vector is the mean of its n-gram vectors, so words
-    never seen in training still get one."""
+    """Subword vectors: skip-gram over whole documents in order, a word being the mean of the vectors of
+    its '<word>' character n-grams, so words never seen in training still get one."""
     return subword_vectors(_doc_tokens(spark, sf))
 
 
 def subword_vectors(d):
     """(word, dim, vector) of every distinct word of the token lists."""
-    grams = d.select(F.flatten(F.transform("toks", lambda w: ML.char_ngrams(w))).alias("grams")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    model = ML.word2vec("grams", ML.token_partitions(grams, "grams"), "g2v").fit(grams)
     words = d.select(F.explode_outer("toks").alias("word")).where(F.col("word").isNotNull()).distinct()
-    wg = words.select(F.col("word").alias("wid"), ML.char_ngrams(F.col("word")).alias("grams"))
-    pooled = ML.mean_pool(wg, "wid", "grams", model.getVectors(), 100)
-    return pooled.select(F.col("wid").alias("word"), F.size("pooled").alias("dim"), F.col("pooled").alias("vector"))
+    out = subword.word_vectors(words, "word", subword.fit(d, "toks"))
+    return out.select("word", F.size("vector").alias("dim"), "vector")
 
 
 # ---------------------------------------------------------------- text models, fusion, stacking
@@ -387,19 +438,13 @@ def _text_vocab(train, pairs: bool = True):
     return V.fit_vocab(counts, train.count())
 
 
-def _num_scaled(train, test, cols):
-    sc = prep.fit_scale(train, cols)
-    return prep.apply_scale(train, sc), prep.apply_scale(test, sc)
-
-
-def matrix_estimators(vectorizer: str, n: int) -> dict:
+def matrix_specs(vectorizer: str) -> dict:
     """Classifiers of the text matrix; naive Bayes only on the vectors without negative values."""
-    cols = {"featuresCol": vectorizer, "labelCol": "y"}
-    ests = {"linear_svc": ML.linear_svc_ovr(1.0, n, **cols), "logreg": ML.logreg(10.0, n, **cols),
-            "rf": ML.rf_classifier(100, 10, **cols)}
+    specs = {"linear_svc": linear.Linear("hinge", 1.0, max_iter=2000), "logreg": linear.Linear("softmax", 1.0, max_iter=500),
+             "rf": trees.Forest(100)}
     if vectorizer in ("bow", "tfidf"):
-        ests["naive_bayes"] = ML.naive_bayes(**cols)
-    return ests
+        specs["naive_bayes"] = ML.naive_bayes(featuresCol=vectorizer, labelCol="y")
+    return specs
 
 
 def matrix_features(s):
@@ -408,31 +453,51 @@ def matrix_features(s):
     stages = (ML.text_stages("text", _text_vocab(train, pairs=False), "bow", weighted=False)
               + ML.text_stages("text", _text_vocab(train), "tfidf"))
     out = Pipeline(stages=stages).fit(train).transform(s)
-    d = T.with_clean_tokens(s, "text", "toks").select("doc_id", "split", "toks")
-    d = d.withColumn("grams", F.flatten(F.transform("toks", lambda w: ML.char_ngrams(w)))).persist(StorageLevel.MEMORY_AND_DISK)
+    d = T.with_clean_tokens(s, "text", "toks").select("doc_id", "split", "toks").persist(StorageLevel.MEMORY_AND_DISK)
     fit_on = d.where(F.col("split") == "train")
-    for name, col in (("word2vec", "toks"), ("subword", "grams")):
-        model = ML.word2vec(col, ML.token_partitions(fit_on, col)).fit(fit_on)
-        pooled = ML.mean_pool(d, "doc_id", col, model.getVectors(), 100)
+    model = ML.word2vec("toks", ML.token_partitions(fit_on, "toks")).fit(fit_on)
+    for name, pooled in (("word2vec", ML.mean_pool(d, "doc_id", "toks", model.getVectors(), 100)),
+                         ("subword", subword.pooled(d, "doc_id", "toks", subword.fit(fit_on, "toks")))):
         out = out.join(ML.vector_from_array(pooled, "pooled", name).drop("pooled"), "doc_id")
     return out
 
 
+def _fit_specs(d, specs: list) -> list:
+    """Models of a list of linear and forest specs, every kind in one joint fit."""
+    out = [None] * len(specs)
+    for kind, fit in ((linear.Linear, linear.fit_linear), (trees.Forest, trees.fit_forests)):
+        at = [i for i, s in enumerate(specs) if isinstance(s, kind)]
+        for i, m in zip(at, fit(d, [specs[i] for i in at]) if at else ()):
+            out[i] = m
+    return out
+
+
 @register("nlp_matrix", ops=("M10", "A11"))
 def q_nlp_matrix(spark, sf):
-    """Text vectorizers x classifiers on the labelled documents; val/test metrics."""
+    """Text vectorizers x classifiers on the labelled documents (14 fits); val/test metrics."""
     s = matrix_features(_labelled_docs(spark, sf)).select(
         "doc_id", "y", "split", "bow", "tfidf", "word2vec", "subword").persist(StorageLevel.MEMORY_AND_DISK)
-    part = {k: s.where(F.col("split") == k) for k in ("train", "val", "test")}
-    n = part["train"].count()
-    rows = []
+    s = s.withColumn("fold", F.when(F.col("split") == "train", 0))
+    part, scored = s.select(F.col("doc_id").alias("id"), "split"), None
     for vectorizer in ("bow", "tfidf", "word2vec", "subword"):
-        for name, est in matrix_estimators(vectorizer, n).items():
-            m = est.fit(part["train"])
-            mv, mt = (ML.evaluate(m.transform(part[k]), "y") for k in ("val", "test"))
-            rows.append((vectorizer, name, mv["accuracy"], mv["f1_weighted"], mt["accuracy"], mt["f1_weighted"]))
-    return spark.createDataFrame(rows, "vectorizer string, classifier string, val_accuracy double, "
-                                       "val_f1 double, test_accuracy double, test_f1 double")
+        specs = matrix_specs(vectorizer)
+        names = [n for n in specs if n != "naive_bayes"]
+        d = joint.design(s, "doc_id", vectorizer, "y", "fold", models=100)
+        fitted = _fit_specs(d, [specs[n] for n in names])
+        pred = joint.score(d, range(len(names)), lambda block, m, fitted=fitted: fitted[m].scores(block.x),
+                           lambda block, m: block.fold == -1)
+        pred = pred.select(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("model") + 1).alias("classifier"),
+                           "id", "y", "prediction")
+        if "naive_bayes" in specs:
+            nb = specs["naive_bayes"].fit(s.where("fold = 0")).transform(s.where("fold IS NULL"))
+            pred = pred.unionByName(nb.select(F.lit("naive_bayes").alias("classifier"), F.col("doc_id").alias("id"), "y", "prediction"))
+        pred = stage_predictions(pred.withColumn("vectorizer", F.lit(vectorizer)).withColumn("scores", F.lit(None)))
+        d.unpersist()
+        scored = pred if scored is None else scored.unionByName(pred)
+    met = search.metrics_by(scored.join(part, "id"), ["vectorizer", "classifier", "split"])
+    by = {k: F.max(F.when(F.col("split") == sp, F.col(m))).alias(k) for k, sp, m in (
+        ("val_accuracy", "val", "accuracy"), ("val_f1", "val", "f1"), ("test_accuracy", "test", "accuracy"), ("test_f1", "test", "f1"))}
+    return met.groupBy("vectorizer", "classifier").agg(*by.values())
 
 
 FUSION_NUM = ["n_words", "log_chars"]
@@ -496,14 +561,16 @@ def q_weighted_fusion(spark, sf):
     return spark.createDataFrame(rows, "approach string, test_accuracy double, test_f1 double")
 
 
-def base_scores(model, rows, name: str, classes: int):
-    """(doc_id, p_<name>): class probabilities of a base model, or its margins where it has none;
-    classes that its training rows lacked get the lowest score."""
-    pred = model.transform(rows)
-    score, least = ("probability", 0.0) if "probability" in pred.columns else ("rawPrediction", -1.0)
-    known = vector_to_array(F.col(score))
-    padded = F.concat(known, F.array_repeat(F.lit(least), F.greatest(F.lit(classes) - F.size(known), F.lit(0))))
-    return pred.select("doc_id", array_to_vector(padded).alias(f"p_{name}"))
+def stacked(d, bases: dict, folds: int = 3):
+    """(id, y, meta): the scores of all base models side by side, out of fold for the rows that train (each
+    scored by the fit that did not see its fold), by the fit on all of them for the others (fold -1)."""
+    names = list(bases)
+    fitted = _fit_specs(d, [search.without_fold(bases[n], f) for n in names for f in (*range(folds), None)])
+    pred = joint.score(d, range(len(fitted)), lambda block, m: fitted[m].scores(block.x),
+                       lambda block, m: block.fold == (-1 if m % (folds + 1) == folds else m % (folds + 1)))
+    each = F.struct((F.col("model") / (folds + 1)).cast("int").alias("base"), "scores")
+    return pred.groupBy("id").agg(F.max("y").alias("y"), F.array_sort(F.collect_list(each)).alias("s")).select(
+        "id", "y", F.flatten(F.col("s.scores")).alias("meta"))
 
 
 @register("stacking", ops=("M12b",))
@@ -511,32 +578,15 @@ def q_stacking(spark, sf):
     """Three base models, 3-fold out-of-fold scores, logistic meta-model on them."""
     _, tr0, te0, _ = _fused_features(spark, sf)
     asm = VectorAssembler(inputCols=FUSION_NUM + ["tfidf"], outputCol="features", handleInvalid="keep")
-    tr = prep.fold_assign(asm.transform(tr0), "quality", "doc_id", 3).persist()
-    te = asm.transform(te0).persist()
-    n = tr.count()
-    tr = catalog.right_size(tr, n)
-    bases = {
-        "svc": lambda: ML.linear_svc_ovr(1.0, n, featuresCol="features", labelCol="y"),
-        "lr": lambda: ML.logreg(1.0, n, featuresCol="features", labelCol="y"),
-        "rf": lambda: ML.rf_classifier(100, 10, featuresCol="features", labelCol="y"),
-    }
-    classes = int(tr.agg(F.max("y")).first()[0]) + 1
-    oof = None
-    for k in range(3):
-        fit_part, hold = tr.where(F.col("fold") != k), tr.where(F.col("fold") == k)
-        part = hold.select("doc_id", "y")
-        for name, make in bases.items():
-            part = part.join(base_scores(make().fit(fit_part), hold, name, classes), "doc_id")
-        oof = part if oof is None else oof.unionByName(part)
-    full = {name: make().fit(tr) for name, make in bases.items()}
-    tpart = te.select("doc_id", "y")
-    for name, m in full.items():
-        tpart = tpart.join(base_scores(m, te, name, classes), "doc_id")
-    meta_asm = VectorAssembler(inputCols=[f"p_{b}" for b in bases], outputCol="meta")
-    meta = ML.logreg(1.0, n, max_iter=200, featuresCol="meta", labelCol="y").fit(meta_asm.transform(oof))
-    pred = meta.transform(meta_asm.transform(tpart))
-    met = ML.evaluate(pred, "y")
-    return pred.select("doc_id", "y", "prediction", F.lit(met["f1_weighted"]).alias("test_f1"))
+    rows = prep.fold_assign(asm.transform(tr0), "quality", "doc_id", 3).unionByName(asm.transform(te0), allowMissingColumns=True)
+    d = joint.design(rows, "doc_id", "features", "y", "fold", models=100)
+    bases = {"svc": linear.Linear("hinge", 1.0, max_iter=2000), "lr": linear.Linear("softmax", 1.0), "rf": trees.Forest(100)}
+    meta = stacked(d, bases).join(d.rows.where("lane = 0").select("id", F.when(F.col("fold") >= 0, 0).alias("fold")), "id")
+    m = joint.design(meta, "id", "meta", "y", "fold")
+    top = linear.fit_linear(m, [linear.Linear("softmax", 1.0, max_iter=200)])[0]
+    pred = stage_predictions(joint.score(m, [0], lambda block, k: top.scores(block.x), lambda block, k: block.fold == -1))
+    met = search.metrics_by(pred, ["model"]).select("model", F.col("f1").alias("test_f1"))
+    return pred.join(F.broadcast(met), "model").select(F.col("id").alias("doc_id"), "y", "prediction", "test_f1")
 
 
 # ---------------------------------------------------------------- attribution

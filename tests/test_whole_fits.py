@@ -9,24 +9,30 @@ from cribble.plans import q_models as Q
 
 
 def test_published_maxima_and_grids(spark):
-    points = Q.search_points(100)
-    names = [p[0] for p in points]
-    assert {n: names.count(n) for n in names} == {"logreg": 3, "rf": 12, "gbt_ovr": 8, "linear_svc": 3}
-    assert max(p[2].getClassifier().getMaxIter() for p in points if p[0] == "gbt_ovr") == 200
-    assert all(p[2].getClassifier().getMaxIter() == 2000 for p in points if p[0] == "linear_svc")
-    ests = {v: Q.matrix_estimators(v, 100) for v in ("bow", "tfidf", "word2vec", "subword")}
+    points = Q.search_points(64)
+    assert {k: len(v) for k, v in points.items()} == {"logreg": 6, "rf": 12, "gbt": 8, "svc": 6}
+    assert {len({p.params for p in v}) for v in points.values()} == {6, 8, 12}
+    assert all(p.spec.rounds == 200 for p in points["gbt"]) and all(p.spec.trees == 200 for p in points["rf"])
+    assert all(p.spec.max_iter == 2000 for p in points["svc"]) and sum(p.spec.fourier is not None for p in points["svc"]) == 3
+    assert all(p.spec.max_iter == 500 for p in points["logreg"])
+    ests = {v: Q.matrix_specs(v) for v in ("bow", "tfidf", "word2vec", "subword")}
     assert sum(map(len, ests.values())) == 14
-    assert all(e["logreg"].getMaxIter() == 500 for e in ests.values())
+    assert all(e["logreg"].max_iter == 500 and e["linear_svc"].max_iter == 2000 for e in ests.values())
 
 
-def test_base_scores_are_scores_of_every_class(spark):
+def test_stacked_scores_are_scores_of_every_class(spark):
+    from cribble.operators import joint, linear, trees
     rng = np.random.default_rng(0)
-    rows = [(i, [float(x) for x in rng.normal(i % 3, 1, 2)], float(i % 3)) for i in range(90)]
-    df = ML.vector_from_array(spark.createDataFrame(rows, "doc_id long, f array<double>, y double"), "f", "features")
-    cols = {"featuresCol": "features", "labelCol": "y"}
-    for est in (ML.rf_classifier(5, 3, **cols), ML.linear_svc_ovr(1.0, 90, 5, **cols)):
-        got = [r.p_x for r in Q.base_scores(est.fit(df), df, "x", 4).collect()]
-        assert {len(v) for v in got} == {4} and len({tuple(v) for v in got}) > 10
+    rows = [(i, [float(x) for x in rng.normal(i % 3, 1, 2)], float(i % 3), i % 4 if i < 80 else None) for i in range(90)]
+    d = joint.design(spark.createDataFrame(rows, "doc_id long, f array<double>, y double, fold int"), "doc_id", "f", "y", "fold")
+    bases = {"svc": linear.Linear("hinge", 1.0), "rf": trees.Forest(5, 3)}
+    got = Q.stacked(d, bases, 4).collect()
+    assert len(got) == 90 and {len(r.meta) for r in got} == {6} and len({tuple(r.meta) for r in got}) > 50
+    # rows that train are scored by the fit without their fold, the others by the fit on all
+    own = [linear.fit_linear(d, [linear.Linear("hinge", 1.0, f)])[0] for f in (0, 1, 2, 3, None)]
+    for r in got:
+        m = own[4 if r.id >= 80 else r.id % 4]
+        assert np.allclose(r.meta[:3], m.scores(np.array([rows[r.id][1]]))[0], atol=1e-6)
 
 
 def test_subword_vectors_follow_the_context(spark):
