@@ -97,11 +97,13 @@ def _ng_frame(spark, sf, cols=("doc_id", "text")):
     return T.with_ngrams_1_2(d, "vt", "ng")
 
 
-def _counts(d, toks="ng", extra=()):
-    """(doc, term, n) counts, persisted: the vocabulary fit and the transform share them."""
-    c = (d.select("doc_id", *extra, F.explode_outer(toks).alias("term")).where(F.col("term").isNotNull())
-         .groupBy("doc_id", *extra, "term").agg(F.count(F.lit(1)).alias("n")))
-    return c.persist(StorageLevel.MEMORY_AND_DISK)
+def _counted(d, toks="ng", extra=()):
+    """Terms and counts of every document, persisted: the vocabulary fit and the transform share them."""
+    return V.count_in_rows(d, ["doc_id", *extra], toks).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _vocab_of(counted, n_docs):
+    return V.fit_vocab(V.as_counts(counted, ["doc_id"]), n_docs)
 
 
 _NG_SQL = f"""
@@ -119,8 +121,8 @@ SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df,
 FROM s, nd""")
 def q_vocab(spark, sf):
     d = _ng_frame(spark, sf)
-    vocab = V.fit_vocab(_counts(d), d.count())
-    return V.vocab_frame(spark, vocab).withColumn("idf", rnd("idf", 6))
+    counted = _counted(d)
+    return V.vocab_frame(spark, _vocab_of(counted, counted.count())).withColumn("idf", rnd("idf", 6))
 
 
 @register("tfidf", ops=("N9", "J4"), sql=f"""
@@ -130,9 +132,9 @@ w AS (SELECT c.doc_id, c.term, (1 + ln(c.n::DOUBLE)) * (ln((1 + nd.n) / (1 + s.d
 SELECT doc_id, term, {sql_rnd('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 6)} AS weight FROM w""")
 def q_tfidf(spark, sf):
     d = _ng_frame(spark, sf)
-    counts = _counts(d)
-    vocab = V.fit_vocab(counts, d.count())
-    return V.tfidf(counts, "doc_id", vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
+    counted = _counted(d)
+    vocab = _vocab_of(counted, counted.count())
+    return V.tfidf_rows(counted, "doc_id", vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
 
 
 @register("tfidf_unseen", ops=("N9",), sql=f"""
@@ -149,11 +151,10 @@ SELECT doc_id, term, {sql_rnd('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))',
 def q_tfidf_unseen(spark, sf):
     """Vocabulary fitted on English documents, applied to the others (unseen terms vanish)."""
     d = _ng_frame(spark, sf, ("doc_id", "text", "lang"))
-    counts = _counts(d, extra=("lang",))
-    n_en = d.where(F.col("lang") == "en").count()
-    vocab = V.fit_vocab(counts.where(F.col("lang") == "en"), n_en)
-    other = counts.where(F.col("lang") != "en")
-    return V.tfidf(other, "doc_id", vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
+    counted = _counted(d, extra=("lang",))
+    english = counted.where(F.col("lang") == "en")
+    vocab = _vocab_of(english, english.count())
+    return V.tfidf_rows(counted.where(F.col("lang") != "en"), "doc_id", vocab).select("doc_id", "term", rnd("weight", 6).alias("weight"))
 
 
 @register("bow", ops=("N8",), sql=f"""
@@ -164,9 +165,8 @@ v AS (SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx
 SELECT c.doc_id, c.term, v.idx, c.n FROM c JOIN v USING (term)""")
 def q_bow(spark, sf):
     d = T.with_clean_text(_docs(spark, sf), "text", "clean").withColumn("vt", T.vector_tokens("clean"))
-    counts = _counts(d, "vt")
-    vocab = V.fit_vocab(counts, d.count())
-    return V.bow(counts, vocab).select("doc_id", "term", "idx", "n")
+    counted = _counted(d, "vt")
+    return V.bow_rows(counted, "doc_id", _vocab_of(counted, counted.count())).select("doc_id", "term", "idx", "n")
 
 
 @register("token_counts", ops=("A13",), sql=f"""
