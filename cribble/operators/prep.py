@@ -81,6 +81,30 @@ def fit_mode(df: DataFrame, col: str):
     return row[0][col] if row else None
 
 
+def value_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
+    """Rows per non-null value of every category column, from one pass over the rows.
+
+    One grouping over (column, value); at most ``MAX_LABELS`` values a column reach the driver, more raise.
+    """
+    kinds = {c: df.schema[c].dataType for c in cols}
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
+    counted = (df.select(F.inline(pairs)).where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    rows = counted.limit(MAX_LABELS * len(cols) + 1).collect()
+    out: dict[str, dict] = {c: {} for c in cols}
+    for r in rows:
+        kind = kinds[r["c"]].typeName()
+        v = r["v"] if kind == "string" else int(r["v"]) if kind in ("integer", "long", "short", "byte") else float(r["v"])
+        out[r["c"]][v] = r["n"]
+    if any(len(v) > MAX_LABELS for v in out.values()) or len(rows) > MAX_LABELS * len(cols):
+        raise ValueError(f"a category column has more than {MAX_LABELS} distinct values")
+    return out
+
+
+def mode_of(counts: dict):
+    """Most frequent value; ties go to the smallest (pandas ``mode()[0]``); None without values."""
+    return min(counts, key=lambda v: (-counts[v], v)) if counts else None
+
+
 # ---------------------------------------------------------------- IQR clip
 
 @dataclass
@@ -215,15 +239,16 @@ def _count_lookup(counts: dict, label: str) -> F.Column:
 def stratified_split(df: DataFrame, label: str, key: str,
                      fractions: Sequence[float] = (0.70, 0.15, 0.15),
                      names: Sequence[str] = ("train", "val", "test"),
-                     unlabelled_to: str = "train", out: str = "split") -> DataFrame:
+                     unlabelled_to: str = "train", out: str = "split", counts: dict | None = None) -> DataFrame:
     """Repeatable stratified split with exact per-class sizes.
 
     Rows of a class are ordered by ``md5(key)``; the first ``floor(f1*n)`` go to
     the first split, and so on (integer arithmetic, the same in any engine).
     Unlabelled rows go to ``unlabelled_to``.  Positions come from
-    ``hash_positions``, so a dominant class is spread over many tasks.
+    ``hash_positions``, so a dominant class is spread over many tasks.  ``counts`` (rows per
+    class) saves a job where they are known.
     """
-    counts = _class_counts(df, label)
+    counts = _class_counts(df, label) if counts is None else counts
     n_rows = sum(counts.values())
     bp = [round(f * 10000) for f in fractions]
     cum = [sum(bp[: i + 1]) for i in range(len(bp))]
@@ -269,6 +294,8 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 @dataclass
 class Fitted:
     """Statistics of a fitted preparation, all driver-sized."""
+    imputer: str = "median"
+    chained: object = None
     medians: dict = field(default_factory=dict)
     source_mode: object = None
     bounds: dict = field(default_factory=dict)
@@ -299,11 +326,13 @@ def mask_cells(df: DataFrame, key: str, cols: Sequence[str], fraction: float = 0
                             for c in cols})
 
 
-def pooled_rmse(truth: DataFrame, imputed: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """RMSE over the masked cells of all columns together (unscaled, as published)."""
-    t = truth.select(key, *[F.col(c).alias(f"t_{c}") for c in cols])
-    j = imputed.join(t, key)
-    sq = [F.when(F.col(f"m_{c}"), (F.col(c) - F.col(f"t_{c}")) * (F.col(c) - F.col(f"t_{c}"))) for c in cols]
-    pairs = F.explode(F.array(*sq)).alias("e")
-    long = j.select(pairs).where(F.col("e").isNotNull())
-    return long.agg(F.sqrt(F.avg("e")).alias("rmse"), F.count(F.lit(1)).alias("n_masked"))
+def masked_rmse(imputed: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """RMSE over the masked cells of all columns together (unscaled, as published).
+
+    ``imputed`` holds the truth as ``t_<col>`` and the flags ``m_<col>`` beside the imputed cells: one pass, no join.
+    """
+    err = {c: F.when(F.col(f"m_{c}"), F.col(c) - F.col(f"t_{c}")) for c in cols}
+    total = sum((F.coalesce(F.sum(e * e), F.lit(0.0)) for e in err.values()), F.lit(0.0))
+    n = sum((F.count(e) for e in err.values()), F.lit(0))
+    return imputed.agg(total.alias("sse"), n.alias("n_masked")).select(
+        F.sqrt(F.col("sse") / F.nullif(F.col("n_masked"), F.lit(0))).alias("rmse"), "n_masked")

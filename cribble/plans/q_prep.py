@@ -474,12 +474,12 @@ m2 AS (SELECT {", ".join(f"median({c}) AS {c}" for c in FEATS)} FROM masked),
 err AS ({" UNION ALL ".join(f"SELECT (m2.{c} - r.{c}) * (m2.{c} - r.{c}) AS e FROM masked k JOIN ref r USING (item_id), m2 WHERE k.m_{c}" for c in FEATS)})
 SELECT 'median' AS method, {sql_rnd('sqrt(avg(e))', 4)} AS rmse, count(*) AS n_masked FROM err"""))
 def q_imputer_rmse(spark, sf):
-    df = _items(spark, sf)
-    ref = prep.apply_fill(df, prep.fit_medians(df, NUM)).select("item_id", *FEATS)
-    masked = prep.mask_cells(ref, "item_id", FEATS)
+    df = _items(spark, sf).persist()
+    ref = prep.apply_fill(df, prep.fit_medians(df, NUM)).select("item_id", *FEATS, *[F.col(c).alias(f"t_{c}") for c in FEATS])
+    masked = prep.mask_cells(ref, "item_id", FEATS).persist()
     imputed = prep.apply_fill(masked, prep.fit_medians(masked, FEATS))
-    r = prep.pooled_rmse(ref, imputed, "item_id", FEATS)
-    return r.select(F.lit("median").alias("method"), rnd("rmse", 4).alias("rmse"), "n_masked")
+    r = prep.masked_rmse(imputed, FEATS)
+    return r.select(F.lit("median").alias("method"), rnd("rmse", 4).alias("rmse"), F.col("n_masked").cast("long").alias("n_masked"))
 
 
 @register("standardize_apply", ops=("E5", "B8"), sql=with_items(f"""
@@ -515,15 +515,47 @@ def q_mice_impute(spark, sf):
 def q_compare_imputers(spark, sf):
     """Median vs iterative imputation on a 10 % cell mask of the median-filled features;
     pooled RMSE per method and the chosen (lowest-RMSE) method."""
-    df = _items(spark, sf)
-    ref = prep.apply_fill(df, prep.fit_medians(df, NUM)).select("item_id", *FEATS).persist()
-    masked = prep.mask_cells(ref, "item_id", FEATS).persist()
-    med = prep.apply_fill(masked, prep.fit_medians(masked, FEATS))
-    it, _ = IMP.mice_impute(masked, FEATS)
-    rows = []
-    for name, imputed in (("median", med), ("iterative", it)):
-        r = prep.pooled_rmse(ref, imputed, "item_id", FEATS).collect()[0]
-        rows.append((name, round(float(r["rmse"]), 4), int(r["n_masked"])))
-    best = min(rows, key=lambda t: (t[1], t[0]))[0]
-    return spark.createDataFrame([(n, v, k, n == best) for n, v, k in rows],
+    best, _, scores = IMP.compare_imputers(_items(spark, sf).persist(), "item_id", FEATS)
+    return spark.createDataFrame([(n, v, k, n == best) for n, v, k in scores],
                                  "method string, rmse double, n_masked long, chosen boolean")
+
+
+@register("imputed_items", ops=("E10", "E9"))
+def q_imputed_items(spark, sf):
+    """The items imputed by the method that won the comparison."""
+    best, out, _ = IMP.compare_imputers(_items(spark, sf).select("item_id", *FEATS).persist(), "item_id", FEATS)
+    return out.select("item_id", F.lit(best).alias("method"), *[rnd(c, 6).alias(c) for c in FEATS])
+
+
+# One round over two columns, each predicted from the other: the evidence iteration of the ridge as a recursion.
+def _ridge_ctes(name: str, src: str, x: str, y: str, mx: str, my: str) -> str:
+    return f"""
+{name}_s AS (SELECT n, syy - sy * sy / n AS yty, sxx - sx * sx / n AS xtx, sxy - sx * sy / n AS xty, sx / n AS xm, sy / n AS ym
+  FROM (SELECT CAST(count(*) AS DOUBLE) AS n, sum({x} - {mx}) AS sx, sum({y} - {my}) AS sy, sum(({x} - {mx}) * ({x} - {mx})) AS sxx,
+               sum(({x} - {mx}) * ({y} - {my})) AS sxy, sum(({y} - {my}) * ({y} - {my})) AS syy FROM {src}, mm WHERE NOT {y}_miss)),
+{name}_i(it, c, prev, alpha, lam, done) AS (
+  SELECT 0, NULL::DOUBLE, NULL::DOUBLE, 1.0 / (yty / n + 2.220446049250313e-16), 1.0::DOUBLE, false FROM {name}_s
+  UNION ALL
+  SELECT it + 1, c2, c, (n - g + 2e-6) / (greatest(yty - 2 * c2 * xty + c2 * c2 * xtx, 0) + 2e-6), (g + 2e-6) / (c2 * c2 + 2e-6),
+         it > 0 AND abs(c - c2) < 1e-3
+  FROM (SELECT r.*, s.*, xty / (xtx + lam / alpha) AS c2, alpha * xtx / (lam + alpha * xtx) AS g FROM {name}_i r, {name}_s s
+        WHERE NOT done AND it < 300)),
+{name} AS (SELECT xty / (xtx + lam / alpha) AS coef, ym - xm * xty / (xtx + lam / alpha) AS icpt
+  FROM {name}_i, {name}_s ORDER BY it DESC LIMIT 1)"""
+
+
+@register("mice_round", ops=("E9",), sql=with_items(f"""
+q AS (SELECT item_id, w, CASE WHEN item_id % 20 = 9 THEN NULL ELSE v END AS v FROM items),
+mm AS (SELECT avg(w) AS mw, avg(v) AS mv FROM q),
+f0 AS (SELECT item_id, coalesce(v, mv) AS v, coalesce(w, mw) AS w, v IS NULL AS v_miss, w IS NULL AS w_miss FROM q, mm),
+{_ridge_ctes("rv", "f0", "w", "v", "mw", "mv")},
+f1 AS (SELECT item_id, w, w_miss, v_miss, CASE WHEN v_miss THEN mv + icpt + coef * (w - mw) ELSE v END AS v FROM f0, mm, rv),
+{_ridge_ctes("rw", "f1", "v", "w", "mv", "mw")}
+SELECT item_id, {sql_rnd('v', 4)} AS v, {sql_rnd('CASE WHEN w_miss THEN mw + icpt + coef * (v - mv) ELSE w END', 4)} AS w
+FROM f1, mm, rw""").replace("WITH ", "WITH RECURSIVE ", 1))
+def q_mice_round(spark, sf):
+    """One round of chained equations on two columns (v has fewer missing cells and comes first), applied to the
+    rows as a fitted transform."""
+    df = catalog.items(spark, sf).select("item_id", "w", F.when(F.col("item_id") % 20 != 9, F.col("v")).alias("v"))
+    model, _ = IMP.fit_chained(df.persist(), ["w", "v"], max_iter=1)
+    return IMP.apply_chained(df, model).select("item_id", rnd("v", 4).alias("v"), rnd("w", 4).alias("w"))
