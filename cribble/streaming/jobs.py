@@ -20,10 +20,11 @@ from cribble.sources.io import scratch_path
 
 
 def file_stream(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType,
-                max_files: int = 1) -> DataFrame:
-    """Parquet file stream with an explicit schema (no inference on streams)."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", max_files).parquet(folder))
+                max_files: int | None = None) -> DataFrame:
+    """Parquet file stream with an explicit schema (no inference on streams).  ``max_files`` bounds a micro-batch;
+    without it a batch takes all files that are there."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(folder)
 
 
 def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], name: str) -> str:
