@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cribble.session import ensure_checkpoint_dir
@@ -35,6 +35,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(docs: DataFrame, *replaced: str) -> Column:
+    """All columns of ``docs`` but the replaced ones in one struct, so that no name of theirs meets an operator's own."""
+    gone = {c.lower() for c in replaced}
+    names = [c for c in docs.columns if c.lower() not in gone]
+    return F.struct(*[F.col(f"`{c}`") for c in names])
+
+
+def given_back(docs: DataFrame, held: str, *replaced: str) -> list[Column]:
+    """The columns that ``kept`` put into the struct ``held``."""
+    gone = {c.lower() for c in replaced}
+    return [F.col(f"{held}.`{c}`").alias(c) for c in docs.columns if c.lower() not in gone]
+
+
 # ------------------------------------------------------------ connected components
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -61,9 +74,10 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = small.checkpoint()
+        old, e = e, small.checkpoint()
         new = _mark(e)
-        if new == mark:
+        # equal marks hint at the end, equal edge sets are it
+        if new == mark and not e.join(old, ["u", "v"], "left_anti").limit(1).count():
             break
         mark = new
     return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))

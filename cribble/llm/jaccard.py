@@ -2,9 +2,9 @@
 
 Sets whose Jaccard similarity reaches t have sizes within a factor t, so sizes fall into
 bands of that ratio and only equal or adjacent bands can meet.  Within a pair of bands
-two linked sets differ in at most D elements; cutting the hash range into D + 1 segments
-therefore leaves one segment with the same elements in both.  A tile holds the sets that
-agree in one segment of one band pair.  In a tile, the counts of common bits of hashed
+two linked sets differ in at most D elements; cutting the hash range into so many segments that a
+set has elements in more than D of them therefore leaves one with the same elements in both.  A tile holds the
+sets that agree in one such segment of one band pair.  In a tile, the counts of common bits of hashed
 bitmaps bound the overlap from above, and the pairs that pass are settled by intersecting
 the sorted arrays.  No link is lost: the tiles are a necessary condition, not a sketch.
 """
@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from cribble.llm.common import (
     MIX1, MIX2, MUL, U, connected_components, lower_ascii, mix, slices, span_hashes, stage, text_buffers, word_spans)
+from cribble.llm.tiles import OUT, Tiles, bitmap, whole_tiles, words_of
 
 # -- fixed values: the contract's white space.
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
-WORDS = 8  # 64-bit words of a bitmap
 
 
 def shingle_sets(raw: np.ndarray, offs: np.ndarray, n: int) -> list[np.ndarray]:
@@ -60,6 +60,7 @@ class Bands:
     def __init__(self, num: int, den: int):
         self.t = Fraction(num, den)
         self.edges = [1]
+        self.counts: dict[int, int] = {}
 
     def _grow(self, n: int) -> None:
         while self.edges[-1] <= n:
@@ -78,36 +79,45 @@ class Bands:
         small = self.edges[band + 1] - 1
         return int((small + int(small / self.t)) * (1 - self.t) / (1 + self.t)) + 1
 
+    def pieces(self, band: int) -> int:
+        """Segments of a band pair, so many that sets of the lower band mostly have elements in more of them
+        than linked sets can differ in."""
+        if band not in self.counts:
+            most = self.segments(band) - 1
+            least, k = self.edges[band], most + 1
+            while k * (1 - (1 - 1 / k) ** least) < most + 1 + 2 * (k * 0.05) ** 0.5 and k < 4 * least:
+                k += 1 + k // 50
+            self.counts[band] = k
+        return self.counts[band]
+
 
 def tile_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the tiles a set belongs to: one for each segment of its own and the lower band pair."""
+    """Keys of the tiles a set belongs to, for its own and the lower band pair.
+
+    Linked sets differ in at most D elements, so of the segments in which one of them has elements all but
+    D are the same in both.  A set with elements in more than D segments therefore meets every
+    set it links to in one of these; a set with fewer goes on to twice as many segments as well, where
+    the same holds.  No tile is made of empty segments: unrelated sets would agree in them.
+    """
     band, keys = bands.of(len(hashes)), []
     for b in (band - 1, band):
         if b < 0:
             continue
-        k = bands.segments(b)
-        seg = ((hashes >> U(32)) * U(k)) >> U(32)  # hashes are sorted, so segments are runs
-        sums = np.zeros(k, U)
-        np.add.at(sums, seg.astype(np.int64), mix(hashes))
-        # an empty segment is a key too: it may be the one on which two sets agree
-        keys.append(mix(sums + np.arange(k, dtype=np.uint64) * MIX1 + U(b * int(MIX2) & (1 << 64) - 1) + U(1)))
+        most, k, level = bands.segments(b) - 1, bands.pieces(b), 0
+        while True:
+            seg = ((hashes >> U(32)) * U(k)) >> U(32)  # hashes are sorted, so segments are runs
+            first = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+            total = np.cumsum(mix(hashes))
+            sums = total[np.append(first[1:], len(hashes)) - 1]
+            sums[1:] -= total[first[1:] - 1]
+            seed = U((b * int(MIX2) + level * int(MUL) + 1) & (1 << 64) - 1)
+            keys.append(mix(sums + seg[first] * MIX1 + seed))
+            if len(first) > most or k > 1 << 31:
+                break
+            k, level = 2 * k, level + 1
     return np.concatenate(keys)
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(64 * WORDS, np.uint8)
-    bits[(hashes % U(64 * WORDS)).astype(np.int64)] = 1
-    return np.packbits(bits)
-
-
-def overlap_bound(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    """Upper bound of |X & Y| from bitmaps (uint64 words): every bit set in one map alone stands for
-    an element that the other set lacks."""
-    only_x = np.bitwise_count(x & ~y).sum(axis=-1).astype(np.int64)
-    only_y = np.bitwise_count(y & ~x).sum(axis=-1).astype(np.int64)
-    return np.minimum(nx - only_x, ny - only_y)
-
-
 def fingerprints(sets: list[np.ndarray]) -> list[pa.Array]:
     """f1 and f2, the 128-bit fingerprint of every set."""
     return [pa.array([np.uint64(int(mix(s).sum(dtype=U))).astype(np.int64).item() for s in sets], pa.int64()),
@@ -134,7 +144,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 def member_columns(sets: list[np.ndarray]) -> list[pa.Array]:
     """n, bits (bitmap) and set (sorted hashes) of every set, the payload of ``link_tiles``."""
     return [pa.array([len(s) for s in sets], pa.int64()),
-            pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
+            pa.array([bitmap(s, words_of(len(s))).tobytes() for s in sets], pa.binary()),
             pa.array([s.tobytes() for s in sets], pa.binary())]
 
 
@@ -217,127 +227,100 @@ def sorted_hashes(col: pa.Array) -> list[np.ndarray]:
     return [raw[i:j].view(U) for i, j in zip(offs[:-1].tolist(), offs[1:].tolist())]
 
 
-def runs_by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows that come sorted by (key, i, j), cut where no tile is split."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        names = ("key", "i", "j")
-        cols = [batch.column(c).to_numpy() for c in names]
-        edges = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
-        if held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in names):
-            edges = np.concatenate(([0], edges))
-        if len(edges):
-            yield pa.concat_batches([*held, batch.slice(0, int(edges[-1]))])
-            held = []
-            batch = batch.slice(int(edges[-1]))
-        held.append(batch)
-    if held:
-        yield pa.concat_batches(held)
-
-
 def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int = 1024,
-               decode: Callable[[pa.Array], list[np.ndarray]] = sorted_hashes, draws: int = 0) -> DataFrame:
+               decode: Callable[[pa.Array], list[np.ndarray]] = sorted_hashes, draws: int = 0,
+               carry: bool = False) -> DataFrame:
     """Links (a, b) that connect the same components as all links between members of a tile.
 
     ``held`` (key, rep) lists the members of tiles, ``sets`` (rep, n, bits, set) their sets;
-    ``decode`` turns a column of ``set`` into sorted arrays of hashes.
-    In each tile the member found in the most crowded tiles is compared with all others,
-    which settles groups of near copies in proportion to their size.  With ``draws``, tiles of
-    more than eight times as many members go on by rounds: about that many members, drawn by
-    hash, are compared with all members of other components, as long as a round at least
-    halves the pairs of members in different components.  Tiles that then
-    still hold several components are compared in blocks: bitmaps bound the overlap,
-    and the pairs that may link are settled by their arrays.
+    ``decode`` turns a column of ``set`` into sorted arrays of hashes.  With ``carry`` (small sets) the sets travel with
+    the members and are compared in the tile; else only the bitmaps do, and the pairs that pass, fewer than
+    the members, are joined with their sets; tiles with a pair that failed are compared again.
+
+    Tiles of more than ``block`` members are compared by blocks; the smallest member and about ``draws`` drawn ones
+    go to every block, which ties blocks of near copies together.  What then is still in several
+    components is compared across blocks: the members outside the largest component with all of them.
     """
-    members = held.groupBy("key").agg(F.count("*").alias("members"))
-    ranked = held.join(members, "key")
-    crowd = ranked.groupBy("rep").agg(F.sum("members").alias("crowd"))
-    leaders = (held.join(crowd, "rep").groupBy("key")
-               .agg(F.max(F.struct("crowd", "rep")).getField("rep").alias("lead")))
-    star = (held.join(leaders, "key").where("rep != lead")
-            .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
+    payload = sets if carry else sets.drop("set")
+    size = held.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"))
+    tiles = held.join(size, "key").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+    big = tiles.where("blocks > 1")
+    drawn = (F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(1 << 30)) * F.col("m") < draws << 30) | (F.col("rep") == F.col("low"))
+    hubs = big.where(drawn).select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "rep")
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    rows = tiles.select("key", own.alias("i"), "rep")
+    many = big.limit(1).count() > 0
+    if many:
+        rows = rows.unionByName(hubs).distinct()
+    rows = rows.withColumn("j", F.col("i")).join(payload, "rep")
+    links = settle(rows, sets, num, den, decode, carry)
+    if not many:
+        return links
+    component = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
+    placed = stage(big.select("key", "blocks", "rep").join(component, "rep", "left")
+                   .withColumn("comp", F.coalesce("component", "rep")), "tile-places")
+    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    left = (parts.groupBy("key").agg(F.max_by("comp", "c").alias("main"), (F.sum("c") - F.max("c")).alias("outside"))
+            .where("outside > 0").withColumn("groups", F.ceil(F.col("outside") / block).cast("int")))
+    still = placed.join(left, "key")
+    each = still.select("key", own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("j"),
+                        F.lit(0).alias("side"), "comp", "rep")
+    outside = still.where("comp != main").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"),
+        F.pmod(F.xxhash64("rep", F.lit(2)), F.col("groups")).cast("int").alias("j"), F.lit(1).alias("side"), "comp", "rep")
+    across = each.unionByName(outside).join(payload, "rep")
+    return links.unionByName(settle(across, sets, num, den, decode, carry))
+
+
+def settle(rows: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[pa.Array], list[np.ndarray]],
+           carry: bool) -> DataFrame:
+    """Links of the members of every tile (key, i, j), enough to connect what they connect."""
+    def compare(df: DataFrame, turn: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for g in whole_tiles(batches):
+                yield Tiles(g, num, den, turn, decode if carry else None).compare()
+
+        return (df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep").mapInArrow(run, OUT))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Bitmap bound first, then the exact intersection of the sorted arrays."""
-        both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("p"),
-                                         F.col("set").alias("x")), "a")
-                .join(sets.select(F.col("rep").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("q"),
-                                   F.col("set").alias("y")), "b"))
+        """(a, b, ok) by the intersection of the sorted arrays."""
+        both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("x")), "a")
+                .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("y")), "b"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for g in slices(slices(batches, "x", 4 << 20), "y", 4 << 20):
-                if not g.num_rows:
-                    continue
-                nx, ny = g.column("nx").to_numpy(), g.column("ny").to_numpy()
-                p, q = (text_buffers(g.column(c))[0].view(U).reshape(-1, WORDS) for c in "pq")
-                most = overlap_bound(p, q, nx, ny)
-                g = g.filter(pa.array(den * most >= num * (nx + ny - most)))
                 keep = []
                 for x, y in zip(decode(g.column("x")), decode(g.column("y"))):
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(common > 0 and den * common >= num * (len(x) + len(y) - common))
-                yield g.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-        return both.mapInArrow(run, "a long, b long")
-
-    linked = stage(verify(star), "star-links")
-
-    def place(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Members with their components; the tiles of several components with the pairs still open."""
-        component = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
-        at = held.join(component, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        tiles = (at.groupBy("key", "comp").agg(F.count("*").cast("double").alias("c")).groupBy("key")
-                 .agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("settled"))
-                 .where("settled < m * m and m > 2"))  # of two members one was the leader
-        return at, stage(tiles.select("key", "m", (F.col("m") * F.col("m") - F.col("settled")).alias("open")), "open-tiles")
-
-    placed, mixed = place(linked)
-    before, turn = None, 0
-    while draws:
-        big = mixed.where(F.col("m") > 8 * draws)
-        left = big.agg(F.sum("open")).first()[0]
-        if not left or (before is not None and left > before / 2):
-            break
-        before, turn = left, turn + 1
-        draw = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1 << 30)) * F.col("m") < draws << 30
-        chosen = placed.join(big.select("key", "m"), "key").where(draw).select(
-            "key", F.col("rep").alias("lead"), F.col("comp").alias("of"))
-        pairs = (placed.join(chosen, "key").where("comp != of")
-                 .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
-        linked = linked.unionByName(stage(verify(pairs), "star-links"))
-        placed, mixed = place(linked)
-    mixed = mixed.select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    # tile (i, j), i <= j, compares block i with block j; a row goes to the tiles of its block
-    rest = (placed.join(mixed, "key").join(sets.select("rep", "n", "bits"), "rep")
-            .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in runs_by_tile(batches):
-            key, i, j, mine, comp, rep, size = (g.column(c).to_numpy()
-                                                for c in ("key", "i", "j", "mine", "comp", "rep", "n"))
-            bits = text_buffers(g.column("bits"))[0].view(U).reshape(-1, WORDS)
-            edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(key)]):
-                within = i[lo] == j[lo]
-                left = lo + np.flatnonzero(mine[lo:hi] == i[lo])
-                right = lo + np.flatnonzero(mine[lo:hi] == j[lo])
-                for x in left.tolist():
-                    y = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) | (not within))]
-                    if not len(y):
-                        continue
-                    most = overlap_bound(bits[x], bits[y], size[x], size[y])
-                    y = y[den * most >= num * (size[x] + size[y] - most)]
-                    out_a.append(np.minimum(rep[x], rep[y]))
-                    out_b.append(np.maximum(rep[x], rep[y]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
-                                             names=["a", "b"])
-
-    more = (rest.select("key", "i", "j", "mine", "comp", "rep", "n", "bits").repartition("key", "i", "j")
-            .sortWithinPartitions("key", "i", "j").mapInArrow(compare, "a long, b long").distinct())
-    return linked.unionByName(stage(verify(stage(more, "tile-candidates")), "tile-links"))
+                yield pa.RecordBatch.from_arrays([g.column("a"), g.column("b"), pa.array(keep, pa.bool_())],
+                                                 names=["a", "b", "ok"])
+
+        return both.mapInArrow(run, "a long, b long, ok boolean")
+
+    if carry:
+        return stage(compare(rows, 0).select("a", "b").distinct(), "tile-links")
+    rows = stage(rows, "tile-rows")
+    links, turn, todo, verdicts, told = None, 0, rows, None, None
+    while True:
+        sent = stage(compare(todo, turn), "tile-candidates")
+        fresh = sent.select("a", "b").distinct()
+        if told is not None:
+            fresh = fresh.join(told, ["a", "b"], "left_anti")
+        new = stage(verify(fresh), "tile-verdicts")
+        told = new if told is None else told.unionByName(new)
+        good = new.where("ok").select("a", "b")
+        links = good if links is None else links.unionByName(good)
+        judged = sent.join(told, ["a", "b"])
+        verdicts = judged if verdicts is None else verdicts.unionByName(judged)
+        open_ = stage(judged.where("not ok").select("key", "i", "j").distinct(), "tile-open")
+        if not open_.limit(1).count():
+            return links
+        # the tiles of failed pairs again, with all verdicts on their pairs as rows of their own
+        turn += 1
+        todo = rows.join(open_, ["key", "i", "j"], "left_semi").unionByName(
+            verdicts.join(open_, ["key", "i", "j"], "left_semi").select(
+                "key", "i", "j", F.col("a").alias("rep"), F.col("b").alias("other"), "ok"), allowMissingColumns=True)
 
 
 def similarity_classes(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, block: int = 1024) -> DataFrame:

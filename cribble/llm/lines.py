@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cribble.llm.common import MIX1, MUL, U, connected_components, mix, ranges, slices, stage, text_buffers
+from cribble.llm.common import MIX1, MUL, U, connected_components, kept, mix, ranges, slices, stage, text_buffers
 from cribble.llm.jaccard import link_tiles, member_columns, semi, shared_tiles
 
 
@@ -94,7 +94,7 @@ def line_components(docs: DataFrame, shingle: int = 8, num: int = 8, den: int =
     wanted = stage(held.select(F.col("rep").alias("lid")).distinct(), "line-members")
     sets = stage(semi(lines.select("lid", "line"), wanted, "lid").dropDuplicates(["lid"])
                  .mapInArrow(payload, "rep long, n long, bits binary, set binary"), "line-sets")
-    links = link_tiles(held, sets, num, den, decode=decode, draws=16)
+    links = link_tiles(held, sets, num, den, decode=decode, draws=16, carry=True)
     return connected_components(links, "a", "b").select(F.col("node").alias("lid"), "component")
 
 
@@ -123,13 +123,16 @@ def dedup_lines(docs: DataFrame, shingle: int = 8, similarity: tuple[int, int] =
     doomed = firsts.join(keepers.drop("all"), "c").select("lid", "keep")
     gone = (seen.join(doomed, "lid").where(~here.eqNullSafe(F.col("keep")))
             .groupBy("doc_id", "text_key").agg(F.collect_set("no").alias("gone"))
-            .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), F.array_sort("gone").alias("_gone")))
-    base = docs.drop("n_lines", "removed").withColumn("_k", F.xxhash64("text"))
-    joined = base.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_t")), "left")
+            .select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.array_sort("gone").alias("gone")))
+    results = ("n_lines", "removed")
+    base = docs.select(kept(docs, "text", *results).alias("row"), F.col("doc_id").alias("id"), "text",
+                       F.xxhash64("text").alias("key"))
+    joined = base.join(gone, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("t")), "left")
     parts = F.split("text", "\n")
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
+    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
     count = F.size(F.filter(parts, lambda x: F.btrim(x, F.lit(" \t\r\f\x0b")) != ""))
-    return (joined.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), count), F.lit(0)))
-            .withColumn("removed", F.coalesce("_gone", F.array().cast("array<int>")))
-            .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
-            .drop("_k", "_d", "_t", "_gone"))
+    told = joined.select("row", F.coalesce(F.when(F.col("text").isNotNull(), count), F.lit(0)).alias("n_lines"),
+                         F.coalesce("gone", F.array().cast("array<int>")).alias("removed"),
+                         F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))
+    names = [c for c in docs.columns if c.lower() not in results]
+    return told.select(*[F.col("text").alias(c) if c.lower() == "text" else F.col(f"row.`{c}`").alias(c) for c in names], *results)

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pyarrow as pa
 import pytest
 
+from cribble.llm.common import U
 from cribble.llm.jaccard import _meet, _meet_in_batch
 
 ROW = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("salt", pa.int64())])
@@ -66,3 +67,93 @@ def test_rounds_of_drawn_members_keep_the_components(spark):
         got = {r.node: r.component for r in connected_components(
             link_tiles(held, members, 8, 10, draws=draws), "a", "b").collect()}
         assert got == want
+
+
+def near_sets(rng, num, den, rounds):
+    """Pairs of sets whose similarity is at the threshold or just above it."""
+    import numpy as np
+    for _ in range(rounds):
+        n = int(rng.integers(1, 400)) if rng.random() < 0.7 else int(rng.integers(1, 30))
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        lost = int(rng.integers(0, n + 1))
+        while lost and den * (len(base) - lost) < num * len(base):
+            lost -= 1
+        a, b, extra = base, base[lost:], 0
+        # elements of b that a lacks, while the pair still links
+        while den * len(b) >= num * (len(a) + extra + 1) and rng.random() < 0.95:
+            extra += 1
+        b = np.unique(np.concatenate((b, rng.integers(0, 1 << 63, extra, dtype=np.uint64))))
+        common = len(np.intersect1d(a, b))
+        if common and den * common >= num * (len(a) + len(b) - common):
+            yield a, b
+
+
+@pytest.mark.parametrize("num,den", [(8, 10), (90, 100), (5, 10)])
+def test_linked_sets_share_a_tile(num, den):
+    import numpy as np
+
+    from cribble.llm.jaccard import Bands, tile_keys
+    rng, seen = np.random.default_rng(num), 0
+    bands = Bands(num, den)
+    for a, b in near_sets(rng, num, den, 4000):
+        seen += 1
+        assert len(np.intersect1d(tile_keys(a, bands), tile_keys(b, bands)))
+    assert seen > 3000
+
+
+def test_unrelated_sets_share_no_tile():
+    import numpy as np
+
+    from cribble.llm.jaccard import Bands, tile_keys
+    rng, bands = np.random.default_rng(1), Bands(8, 10)
+    keys = np.concatenate([tile_keys(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)), bands)
+                           for n in rng.integers(40, 60, 400)])
+    assert len(np.unique(keys)) == len(keys)
+
+
+def test_hashes_in_the_same_segments():
+    """Sets whose hashes crowd in few segments go on to finer ones."""
+    import numpy as np
+
+    from cribble.llm.jaccard import Bands, tile_keys
+    bands = Bands(8, 10)
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 40, 60, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[6:], rng.integers(0, 1 << 40, 3, dtype=np.uint64))))
+        assert len(np.intersect1d(tile_keys(a, bands), tile_keys(b, bands)))
+
+
+@pytest.mark.parametrize("carry", [False, True])
+@pytest.mark.parametrize("block", [8, 1024])
+def test_links_connect_what_all_links_connect(spark, block, carry):
+    """Groups of near copies, chains, and pairs that pass the bitmaps but do not link; wide and narrow bitmaps."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from cribble.llm.common import connected_components
+    from cribble.llm.jaccard import link_tiles, member_columns
+    rng = np.random.default_rng(block)
+    sets = []
+    for g in range(6):
+        base = rng.integers(0, 1 << 62, 600 if g == 0 else 45, dtype=np.uint64)
+        sets += [np.unique(np.concatenate((base[rng.random(len(base)) < 0.93], rng.integers(0, 1 << 62, 2, dtype=np.uint64))))
+                 for _ in range(12)]
+    # the same bits in 512, other elements: only the sorted arrays tell them apart
+    bits = rng.integers(0, 512, 60, dtype=np.uint64)
+    sets += [np.unique(bits + U(512) * rng.integers(1, 1 << 40, 60, dtype=np.uint64)) for _ in range(10)]
+    n, maps, body = member_columns(sets)
+    members = spark.createDataFrame(list(zip(range(len(sets)), n.to_pylist(), maps.to_pylist(), body.to_pylist())),
+                                    "rep long, n long, bits binary, set binary")
+    tile = [(1, i) for i in range(len(sets))] + [(2, i) for i in range(0, len(sets), 3)] + [(3, i) for i in range(5)]
+    held = spark.createDataFrame(tile, "key long, rep long")
+    links = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+             if 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))]
+    comp = list(range(len(sets)))
+    for i, j in links:
+        a, b = comp[i], comp[j]
+        comp = [min(a, b) if c in (a, b) else c for c in comp]
+    got = link_tiles(held, members, 8, 10, block, carry=carry).collect()
+    assert {(r.a, r.b) for r in got} <= set(links)
+    found = connected_components(spark.createDataFrame(got, "a long, b long"), "a", "b").collect()
+    assert {r.node: r.component for r in found} == {i: c for i, c in enumerate(comp) if comp.count(c) > 1}
