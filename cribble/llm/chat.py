@@ -208,11 +208,20 @@ def running_total(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def render(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """Per conversation, read back from the tree: conv_id and its nodes' segments in order, each
-    (text, loss_start, loss_end)."""
-    steps = paths.select("conv_id", F.posexplode("path").alias("i", "node_id"))
+    """Per conversation, read back from the emitted stream: conv_id and its segments in order, each
+    (i, text, loss_start, loss_end).
+
+    Only the last node of a conversation is looked up by its id; what stands before it are the token intervals it
+    attends to, so the conversation is what a model would see through the ancestor mask.
+    """
+    last = paths.select("conv_id", F.element_at("path", -1).alias("node_id"))
+    own = F.struct(F.col("token_start").alias("start"), F.col("token_end").alias("end"))
+    spans = (last.join(nodes.select("node_id", F.concat("ancestors", F.array(own)).alias("seen")), "node_id")
+             .select("conv_id", F.posexplode("seen").alias("i", "span"))
+             .select("conv_id", "i", F.col("span.start").alias("token_start"), F.col("span.end").alias("token_end")))
+    stream = nodes.select("token_start", "token_end", "text", "loss_start", "loss_end")
     seg = F.struct("i", "text", "loss_start", "loss_end")
-    return (steps.join(nodes.select("node_id", "text", "loss_start", "loss_end"), "node_id")
+    return (spans.join(stream, ["token_start", "token_end"])
             .groupBy("conv_id").agg(F.array_sort(F.collect_list(seg)).alias("segments")))
 
 

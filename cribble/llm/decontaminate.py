@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cribble.llm.common import stage
+from cribble.llm.common import given_back, kept, stage
 
 # -- fixed values: the contract's word pattern and the letters that are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -119,14 +119,14 @@ def judge(docs: DataFrame, items: DataFrame, window: int = 13, parts: int = 20)
              .select("doc_id", "text_key", F.explode("item_ids").alias("item_id")).distinct()
              .groupBy("doc_id", "text_key").agg(F.collect_set("item_id").alias("found_items")))
     per = (covered.join(named, covered.doc_id.eqNullSafe(named.doc_id) & (covered.text_key == named.text_key))
-           .select(covered.doc_id.alias("_d"), covered.text_key.alias("_t"), "hit_words", "found_items"))
-    base = docs.drop("n_words", "n_hit", "items", "contaminated").withColumn(
-        "_key", F.xxhash64("text")).withColumn(
-        "n_words", F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower()),
-                                  F.lit(WORD)).cast("long"))
+           .select(covered.doc_id.alias("d"), covered.text_key.alias("t"), "hit_words", "found_items"))
+    results = ("n_words", "n_hit", "items", "contaminated")
+    base = docs.select(kept(docs, *results).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"),
+                       F.regexp_count(F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower()),
+                                      F.lit(WORD)).cast("long").alias("n_words"))
     n_hit = F.coalesce("hit_words", F.lit(0)).cast("long")
-    return (base.join(per, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t")), "left")
-            .withColumn("n_hit", n_hit)
-            .withColumn("items", F.coalesce("found_items", F.array().cast("array<long>")))
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words")))
-            .drop("_key", "_d", "_t", "hit_words", "found_items"))
+    judged = (base.join(per, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("t")), "left")
+              .withColumn("n_hit", n_hit)
+              .withColumn("items", F.coalesce("found_items", F.array().cast("array<long>")))
+              .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * parts >= F.col("n_words"))))
+    return judged.select(*given_back(docs, "row", *results), *results)

@@ -127,13 +127,14 @@ def predict(docs: DataFrame, model: Model, undetermined: str = "und", sharpness:
     """
     base = docs.drop("lang_pred", "score")
     names = base.columns
+    told, lettered = "_text" + "_" * len(max(names, key=len)), "_letter" + "_" * len(max(names, key=len))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = sent.value
-        for batch in slices(batches, "_t", 1 << 20):
-            letter = batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
-            raw, offs = text_buffers(batch.column("_t"))
+        for batch in slices(batches, told, 1 << 20):
+            letter = batch.column(lettered).to_numpy(zero_copy_only=False).astype(bool)
+            raw, offs = text_buffers(batch.column(told))
             n = batch.num_rows
             best, score = np.zeros(n, np.int64), np.zeros(n)
             for lo in range(0, n, 512) if m.langs else ():
@@ -151,8 +152,7 @@ def predict(docs: DataFrame, model: Model, undetermined: str = "und", sharpness:
                 [batch.column(i) for i in range(len(names))] + [pred, pa.array(np.where(known, score, 0.0))],
                 names=[*names, "lang_pred", "score"])
 
-    fed = base.select(*names, normal(F.col("text")).alias("_t"),
-                      has_letter(F.col("text")).alias("_letter"))
+    fed = base.select(*names, normal(F.col("text")).alias(told), has_letter(F.col("text")).alias(lettered))
     out = base.schema.add("lang_pred", "string").add("score", "double")
     return fed.mapInArrow(run, out)
 

@@ -15,7 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cribble.llm.common import stage
+from cribble.llm.common import given_back, kept, stage
 
 STATS = ["log_chars", "upper", "symbol", "digit", "space", "mean_word", "distinct_words", "symbol_words",
          "short_words", "stops", "mean_line", "marks"]
@@ -42,41 +42,41 @@ class RuleModel:
 
 
 def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus the statistics of the whole text as one struct column ``_stats``.
+    """(row, stats): the columns of ``docs`` as one struct and the statistics of the whole text as another.
 
-    A null text counts as empty; an empty text has zero for every statistic.
+    A null text counts as empty; an empty text has zero for every statistic.  The statistics come out of a generator:
+    filters on what is computed from them are not pushed below it, so each pattern runs once a text.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-
     def count(pattern: str) -> Column:
-        return F.regexp_count(F.col("_t"), F.lit(pattern)).cast("double")
+        return F.regexp_count(F.col("t"), F.lit(pattern)).cast("double")
 
-    staged = docs.withColumn("_t", t).withColumn("_raw", F.struct(
-        F.length("_t").cast("double").alias("chars"), count(r"\p{Lu}").alias("upper"),
+    raw = F.struct(
+        F.length("t").cast("double").alias("chars"), count(r"\p{Lu}").alias("upper"),
         count(r"[^\p{L}\p{N}\s]").alias("symbol"), count(r"\p{N}").alias("digit"), count(r"\s").alias("space"),
         count(r"\S+").alias("words"), count(r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)").alias("symbol_words"),
         count(r"(?<![\p{L}\p{N}])\p{L}{1,3}(?![\p{L}\p{N}])").alias("short_words"),
         count(r"[.?!]").alias("stops"), count(r"\n").alias("breaks"), count(r"[#$%&*|]").alias("marks"),
-        F.size(F.array_distinct(F.split("_t", r"\s+"))).cast("double").alias("distinct")))
-    r = {k: F.col(f"_raw.{k}") for k in ("chars", "upper", "symbol", "digit", "space", "words", "symbol_words",
-                                         "short_words", "stops", "breaks", "marks", "distinct")}
+        F.size(F.array_distinct(F.split("t", r"\s+"))).cast("double").alias("distinct"))
+    rows = (docs.select(kept(docs).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+            .select("row", F.inline(F.array(raw))))
     one = F.lit(1.0)
-    chars, word = F.greatest(r["chars"], one), F.greatest(r["words"], one)
-    return staged.withColumn("_stats", F.struct(
-        F.log1p(r["chars"]).alias("log_chars"), (r["upper"] / chars).alias("upper"),
-        (r["symbol"] / chars).alias("symbol"), (r["digit"] / chars).alias("digit"),
-        (r["space"] / chars).alias("space"), ((r["chars"] - r["space"]) / word).alias("mean_word"),
-        (F.least(r["distinct"], r["words"]) / word).alias("distinct_words"),
-        (r["symbol_words"] / word).alias("symbol_words"),
-        (r["short_words"] / word).alias("short_words"), (r["stops"] / word).alias("stops"),
-        F.log1p(r["chars"] / (r["breaks"] + 1)).alias("mean_line"),
-        (r["marks"] / chars).alias("marks"))).drop("_t", "_raw")
+    chars, word = F.greatest(F.col("chars"), one), F.greatest(F.col("words"), one)
+    stats = F.struct(
+        F.log1p(F.col("chars")).alias("log_chars"), (F.col("upper") / chars).alias("upper"),
+        (F.col("symbol") / chars).alias("symbol"), (F.col("digit") / chars).alias("digit"),
+        (F.col("space") / chars).alias("space"), ((F.col("chars") - F.col("space")) / word).alias("mean_word"),
+        (F.least("distinct", "words") / word).alias("distinct_words"),
+        (F.col("symbol_words") / word).alias("symbol_words"),
+        (F.col("short_words") / word).alias("short_words"), (F.col("stops") / word).alias("stops"),
+        F.log1p(F.col("chars") / (F.col("breaks") + 1)).alias("mean_line"),
+        (F.col("marks") / chars).alias("marks"))
+    return rows.select("row", F.explode(F.array(stats)).alias("stats"))
 
 
 def fires(rule: Rule) -> Column:
     out = F.lit(True)
     for i, below, threshold in rule.conditions:
-        c = F.col(f"_stats.{STATS[i]}")
+        c = F.col(f"stats.{STATS[i]}")
         out = out & (c <= threshold if below else c > threshold)
     return out
 
@@ -116,11 +116,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, max_rows: int
     picked = known.where(slot < min(1.0, max_rows / max(n, 1)) * float(1 << 30))
     rows = docs.select(F.col(key).alias("_k"), "text").join(picked, "_k").dropDuplicates()
     # a bounded number of small rows: few partitions, or every pass is only task starts
-    sample = stage(with_stats(rows).select("_stats", "label"), "quality-sample").coalesce(4)
+    sample = stage(with_stats(rows).select("stats", "row.label"), "quality-sample").coalesce(4)
     seen = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(seen) < 2:
         return RuleModel({0.0: -4.0, 1.0: 4.0}[next(iter(seen))] if seen else 0.0)
-    stats = array_to_vector(F.array(*[F.col(f"_stats.{s}") for s in STATS]))
+    stats = array_to_vector(F.array(*[F.col(f"stats.{s}") for s in STATS]))
     grown = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt",
                                    maxBins=64).fit(sample.select(stats.alias("features"), "label"))
     rules = tree_rules(grown)
@@ -141,6 +141,6 @@ def score(docs: DataFrame, model: RuleModel, threshold: float = 0.7) -> DataFram
     scores; columns named score or predicted are replaced, all others pass through;
     no rows give no rows.
     """
-    base = docs.drop("score", "predicted", "_stats")
-    return (with_stats(base).withColumn("score", model.score()).drop("_stats")
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+    names = ("score", "predicted")
+    scored = with_stats(docs).select("row", model.score().alias("score"))
+    return scored.select(*given_back(docs, "row", *names), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -104,32 +104,81 @@ CASE WHEN (h = 'example.org' OR h LIKE '%.example.org') AND starts_with(p, '/en/
      WHEN (h = 'org' OR h LIKE '%.org') AND starts_with(p, '/') THEN 'org/' END
 """
 
-# Edges come from absolute links in the html, which is what the tables can hold.
-OP3_SQL = r"""
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _links_sql() -> str:
+    """The operator's edges: all canonical links and refreshes, entities decoded, resolved, dot segments carried out."""
+    def value(tag: str, pattern: str) -> str:
+        return "concat(" + ", ".join(f"regexp_extract({tag}, {_sql_text(pattern)}, {i})" for i in (1, 2, 3)) + ")"
+
+    link = "l"
+    for entity, char in urls.ENTITIES:
+        link = f"replace({link}, {_sql_text(entity)}, {_sql_text(char)})"
+    return rf"""
+tags AS (
+  SELECT url, {value('t', urls.HREF)} AS l FROM (
+    SELECT url, unnest(regexp_extract_all(html, {_sql_text(urls.LINK_TAG)})) AS t FROM pages WHERE url IS NOT NULL)
+  WHERE regexp_matches(t, {_sql_text(urls.IS_CANONICAL)})
+  UNION ALL
+  SELECT url, regexp_extract({value('t', urls.CONTENT)}, {_sql_text(urls.TARGET)}, 1) FROM (
+    SELECT url, unnest(regexp_extract_all(html, {_sql_text(urls.META_TAG)})) AS t FROM pages WHERE url IS NOT NULL)
+  WHERE regexp_matches(t, {_sql_text(urls.IS_REFRESH)})),
+plain AS (SELECT url, trim({link}) AS l FROM tags),
+based AS (
+  SELECT url, l, regexp_extract(url, '^([\s\S]*?)://', 1) AS scheme,
+         regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1) AS site, regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM plain WHERE l <> '' AND NOT starts_with(l, '#')
+    AND (NOT regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') OR regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://'))),
+resolved AS (
+  SELECT url, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN starts_with(l, '//') THEN scheme || ':' || l
+    WHEN starts_with(l, '/') THEN scheme || '://' || site || l WHEN starts_with(l, '?') THEN scheme || '://' || site || path || l
+    ELSE scheme || '://' || site || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END || l
+    END AS target FROM based),
+links AS (SELECT a.node AS a, b.node AS b FROM resolved r JOIN nodes a ON a.u = r.url JOIN nodes b ON b.u = r.target
+          WHERE a.node IS NOT NULL AND b.node IS NOT NULL AND a.node <> b.node)"""
+
+
+def _nodes_sql(source: str) -> str:
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    kept = ("list_reduce(list_concat([CAST([] AS VARCHAR[])], list_transform(string_split(regexp_replace(p, '^/', ''), '/'), lambda s: [s])), "
+            "lambda acc, s: CASE WHEN s[1] = '..' THEN list_slice(acc, 1, greatest(len(acc) - 1, 0)) WHEN s[1] = '.' THEN acc "
+            "ELSE list_concat(acc, s) END)")
+    return rf"""
+  SELECT u, CASE WHEN contains(u, '://') THEN lower(regexp_extract(u, '^([\s\S]*?)://', 1)) || '://' ||
+    translate(regexp_extract(u, '^[\s\S]*?://([^/?#]*)', 1), {lower}) || '/' || array_to_string(segs, '/') ||
+    CASE WHEN len(segs) > 0 AND regexp_matches(p, '(^|/)[.][.]?$') THEN '/' ELSE '' END ||
+    regexp_extract(u, '^[\s\S]*?://[^/?#]*[^?#]*(\?[^#]*)', 1) END AS node
+  FROM (SELECT *, {kept} AS segs FROM (
+    SELECT u, regexp_extract(u, '^[\s\S]*?://[^/?#]*([^?#]*)', 1) AS p FROM ({source})))"""
+
+
+OP3_SQL = rf"""
 WITH RECURSIVE u AS (
   SELECT page_id, url, html,
     translate(regexp_extract(coalesce(url, ''), '^[\s\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
               'abcdefghijklmnopqrstuvwxyz') AS h,
     regexp_extract(coalesce(url, ''), '^[\s\S]*?://[^/?#]*([^?#]*)', 1) AS p FROM pages),
-own AS (SELECT *, RULE AS rule FROM u),
 verdicts AS (SELECT *, CASE WHEN rule IS NULL THEN NULL WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
-             ELSE 'block' END AS verdict_own FROM own),
-links AS (
-  SELECT regexp_replace(url, '#.*$', '') AS a, regexp_replace(t, '#.*$', '') AS b FROM (
-    SELECT url, regexp_extract(html, '(?i)<link[^>]*rel="canonical"[^>]*href="([^"]+)"', 1) AS t FROM pages
-    UNION ALL
-    SELECT url, regexp_extract(html, '(?i)<meta[^>]*http-equiv="refresh"[^>]*url=([^"]+)"', 1) FROM pages)
-  WHERE t <> ''),
+             ELSE 'block' END AS verdict_own FROM (SELECT *, RULE AS rule FROM u)),
+{_links_sql().replace("links AS (", "nodes AS (NODES)," + chr(10) + "links AS (", 1).strip()},
 both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+judged AS (
+  SELECT node, RULE AS rule FROM (SELECT DISTINCT node, regexp_extract(node, '^[\s\S]*?://([^/?#]*)', 1) AS h,
+    regexp_extract(node, '^[\s\S]*?://[^/?#]*([^?#]*)', 1) AS p FROM nodes WHERE node IS NOT NULL)),
 aliases AS (
-  SELECT r.a, bool_or(v.verdict_own = 'allow') AS allow, bool_or(v.verdict_own = 'block') AS block
-  FROM reach r JOIN verdicts v ON regexp_replace(v.url, '#.*$', '') = r.b GROUP BY 1)
+  SELECT r.a, bool_or(j.rule IN ('org/', 'com/fr/')) AS allow, bool_or(j.rule NOT IN ('org/', 'com/fr/')) AS block
+  FROM reach r JOIN judged j ON j.node = r.b WHERE j.rule IS NOT NULL GROUP BY 1)
 SELECT page_id, h AS host, p AS path, rule,
   coalesce(verdict_own, CASE WHEN allow THEN 'allow' WHEN block THEN 'block' END, 'allow') AS verdict,
   CASE WHEN verdict_own IS NOT NULL THEN 'rule' WHEN allow OR block THEN 'alias' ELSE 'default' END AS reason
-FROM verdicts LEFT JOIN aliases ON regexp_replace(url, '#.*$', '') = aliases.a
-""".replace("RULE", _RULE_SQL, 1)
+FROM verdicts v LEFT JOIN (SELECT DISTINCT u, node FROM nodes) n ON n.u = v.url LEFT JOIN aliases ON n.node = aliases.a
+""".replace("RULE", _RULE_SQL).replace("NODES", _nodes_sql(
+    "SELECT url AS u FROM pages WHERE url IS NOT NULL UNION SELECT target FROM resolved"))
 
 
 @query("op3_url_filter", OP3_SQL)
