@@ -12,22 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cribble.llm import decontaminate, jaccard, lines, packing, quality
-from cribble.llm.common import read_table, stage
+from cribble.llm.common import given_back, kept, read_table, stage
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all columns in one struct, so that an operator's results replace none of them."""
+    return docs.select("doc_id", "text", kept(docs).alias("document"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier (2): documents scored under 0.7 go."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = quality.fit(docs.where(~held_out), read_table(spark, sf_dir, "labels"), "doc_id", "quality")
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality.score(_apart(docs), model).where("predicted = 1").select(*given_back(docs, "document"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup (1): later near copies of a line leave the text; every document stays."""
-    out = lines.dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    """Line dedup (1): later near copies of a line leave the text; every document stays.  n_chars follows the text."""
+    out = lines.dedup_lines(_apart(docs))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"document.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,16 +42,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = (groups.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
              .select("f.doc_id", "f.text_hash"))
     keep = first.unionByName(groups.where("group is null").select("doc_id", "text_hash")).distinct()
-    named = (docs.withColumn("text_hash", F.xxhash64("text")).join(keep, ["doc_id", "text_hash"], "left_semi")
-             .dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns))
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    named = (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), kept(docs).alias("document"))
+             .join(keep, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+             .select(*given_back(docs, "document")))
+    return named.unionByName(docs.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (10): documents with five in a hundred words or more inside benchmark
     windows go."""
-    return (decontaminate.judge(docs, read_table(spark, sf_dir, "benchmark"))
-            .where(~F.col("contaminated")).select(*docs.columns))
+    return (decontaminate.judge(_apart(docs), read_table(spark, sf_dir, "benchmark"))
+            .where(~F.col("contaminated")).select(*given_back(docs, "document")))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
