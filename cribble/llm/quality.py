@@ -8,6 +8,7 @@ Spark column expression, so scoring is a projection without shuffle or Python.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -107,7 +108,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, max_rows: int
     The bound is on the fitting sample only and picks rows by a hash of key and text, the
     same ones every run; labels other than 0 and 1 are ignored, a key labelled
     both ways teaches both, a null key joins nothing.  With no label, or one label
-    alone, the model is a constant (0.5, or that label's side).
+    alone, the model is a constant (0.5, or that label's side); so it is, with the share of the
+    labels, where no statistic tells them apart.
     """
     known = labels.where(F.col(label).isin(0, 1)).select(
         F.col(key).alias("_k"), F.col(label).cast("double").alias("label")).distinct()
@@ -124,6 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, label: str, max_rows: int
     grown = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt",
                                    maxBins=64).fit(sample.select(stats.alias("features"), "label"))
     rules = tree_rules(grown)
+    if not rules:  # no statistic tells the labels apart
+        return RuleModel(math.log(seen[1.0] / seen[0.0]))
     fired = array_to_vector(F.array(*[fires(r).cast("double") for r in rules]))
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=penalty, maxIter=100, standardization=False,
                                aggregationDepth=2)
