@@ -9,30 +9,35 @@ import pytest
 from cribble.llm.common import U
 from cribble.llm.jaccard import _meet, _meet_in_batch
 
-ROW = pa.schema([("key", pa.int64()), ("rep", pa.int64()), ("salt", pa.int64())])
+ROW = pa.schema([("bucket", pa.int64()), ("body", pa.binary())])
 
 
 @pytest.mark.parametrize("seed", range(100))
 def test_members_of_shared_keys(seed):
     r = random.Random(seed)
+    buckets = r.choice([1, 3, 50])
     want, rows = defaultdict(set), []
     for _ in range(r.randint(1, 5)):
-        reps = [r.randint(-6, 6) for _ in range(r.randint(0, 12))]
-        keys = [[r.randint(-9, 9) for _ in range(r.randint(0, 3))] for _ in reps]
-        for rep, ks in zip(reps, keys):
-            for k in ks:
-                want[k].add(rep)
-        batch = pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                                           names=["rep", "keys"])
-        for out in _meet_in_batch(iter([batch]), r.choice([1, 4, 1 << 19])):
+        batches = []
+        for _ in range(r.randint(1, 3)):
+            reps = [r.randint(-6, 6) for _ in range(r.randint(0, 12))]
+            keys = [[r.randint(-9, 9) for _ in range(r.randint(0, 3))] for _ in reps]
+            for rep, ks in zip(reps, keys):
+                for k in ks:
+                    want[k].add(rep)
+            whole = pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                                               names=["rep", "keys"])
+            cut = r.randint(0, len(reps))
+            batches += [whole.slice(0, cut), whole.slice(cut)]
+        for out in _meet_in_batch(iter(batches), buckets, r.choice([1, 4, 1 << 19])):
             rows += out.to_pylist()
     r.shuffle(rows)
     tasks = defaultdict(list)
     for row in rows:
-        tasks[hash((row["key"], row["salt"])) % 3].append(row)
+        tasks[row["bucket"] % 3].append(row)
     got = defaultdict(set)
     for task in tasks.values():
-        task.sort(key=lambda x: x["key"])
+        task.sort(key=lambda x: x["bucket"])
         n = r.randint(1, 7)
         for out in _meet(pa.RecordBatch.from_pylist(task[i:i + n], schema=ROW) for i in range(0, len(task), n)):
             for row in out.to_pylist():
