@@ -157,3 +157,22 @@ def perf_alert(acc: DataFrame, col: str = "accuracy", minimum: float = 0.70) ->
     """Performance alert when accuracy falls below the gate (D3)."""
     return acc.select(F.col(col).alias("current_accuracy"), (F.col(col) < F.lit(minimum)).alias("alert"),
                       F.lit(minimum).alias("threshold"))
+
+
+def report_document(ks: DataFrame, text: DataFrame, accuracy: DataFrame, minimum: float = 0.70) -> DataFrame:
+    """One nested row: numeric_drift (a struct a feature, by name), numeric_drift_summary, text_drift and
+    performance_alert (D4).
+
+    ``text`` and ``accuracy`` are the one-row results of ``js_text_drift`` and of a measurement (column accuracy); the rows of ``ks``
+    are as many as there are features.
+    """
+    row = F.struct("feature", "ks_statistic", "p_value", "drift_detected", "n_ref", "n_cur")
+    numeric = ks.agg(F.array_sort(F.collect_list(row)).alias("numeric_drift")).withColumn("numeric_drift_summary", F.struct(
+        F.size(F.filter("numeric_drift", lambda x: x["drift_detected"])).cast("long").alias("n_features_drifted"),
+        F.transform(F.filter("numeric_drift", lambda x: x["drift_detected"]), lambda x: x["feature"]).alias("drifted_features")))
+    sections = [numeric, text.select(F.struct(*text.columns).alias("text_drift")),
+                perf_alert(accuracy, minimum=minimum).select(F.struct("current_accuracy", "alert", "threshold").alias("performance_alert"))]
+    out = sections[0].withColumn("one", F.lit(1))
+    for part in sections[1:]:  # one row each
+        out = out.join(part.withColumn("one", F.lit(1)), "one")
+    return out.drop("one")

@@ -9,6 +9,8 @@ from cribble.functions.numeric import rnd, sql_rnd
 from cribble.operators import drift as D
 from cribble.plans.registry import register
 from cribble.sources import catalog
+from cribble.sources import publish as P
+from cribble.sources.io import scratch_path
 
 LI_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CUTOFF = "1998-01-01"
@@ -125,6 +127,37 @@ def q_drift_report(spark, sf):
                   "drift_detected"))
 
 
+_ACC = "0.65"  # accuracy handed to the report, below the alert threshold
+
+
+@register("drift_document", ops=("D4", "D3", "A26", "S12"), sql=f"""
+WITH k AS ({_ks_sql(_LI_SRC, LI_FEATS)}),
+j AS ({_js_sql("lang = 'en'", "lang <> 'en'")})
+SELECT (SELECT string_agg(feature || ':' || CAST(ks_statistic AS DECIMAL(10, 4)) || ':' || drift_detected, ',' ORDER BY feature) FROM k) AS numeric_drift,
+       (SELECT count(*) FILTER (WHERE drift_detected) FROM k) AS n_features_drifted,
+       (SELECT coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE drift_detected), '') FROM k) AS drifted_features,
+       js_distance, drift_detected AS text_drift_detected, vocab_size, {_ACC}::DOUBLE AS current_accuracy, 0.70::DOUBLE AS threshold,
+       {_ACC} < 0.70 AS alert_triggered FROM j""")
+def q_drift_document(spark, sf):
+    """The whole drift report as one nested row, written once under a name of its inputs and read back: numeric
+    sections, their summary, text section and performance alert."""
+    d = catalog.spread(catalog.table(spark, sf, "documents"))
+    doc = D.report_document(
+        D.ks_two_sample(_lineitem_sides(spark, sf), "side", "ref", LI_FEATS),
+        D.js_text_drift(d.where(F.col("lang") == "en"), d.where(F.col("lang") != "en"), "text"),
+        spark.createDataFrame([(float(_ACC),)], "accuracy double"))
+    path = f"{scratch_path(spark, 'reports')}/{P.content_name(sf, CUTOFF, _ACC)}"
+    for _ in range(2):  # a repeated report finds its document and leaves it
+        P.write_gated(doc, path, {"n_documents": F.count(F.lit(1))}, lambda m: m["n_documents"] == 1, mode="keep")
+    r = spark.read.parquet(path)
+    line = F.transform("numeric_drift", lambda x: F.concat_ws(":", x["feature"], x["ks_statistic"].cast("decimal(10,4)"), x["drift_detected"]))
+    return r.select(F.array_join(line, ",").alias("numeric_drift"), "numeric_drift_summary.n_features_drifted",
+                    F.array_join("numeric_drift_summary.drifted_features", ",").alias("drifted_features"), "text_drift.js_distance",
+                    F.col("text_drift.drift_detected").alias("text_drift_detected"), "text_drift.vocab_size",
+                    "performance_alert.current_accuracy", "performance_alert.threshold",
+                    F.col("performance_alert.alert").alias("alert_triggered"))
+
+
 @register("windowed_event_counts", ops=("R2",), sql="""
 SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
        count(*) AS n, """ + sql_rnd("sum(value)", 4) + """ AS total_value

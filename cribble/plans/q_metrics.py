@@ -16,7 +16,8 @@ from cribble.operators import cluster as C
 from cribble.operators import metrics as M
 from cribble.operators import prep
 from cribble.plans.registry import register
-from cribble.sources import catalog
+from cribble.sources import catalog, publish
+from cribble.sources.io import scratch_path
 
 
 def scored(spark, sf, metric="l2"):
@@ -212,6 +213,21 @@ def q_perf_alert(spark, sf):
     return perf_alert(M.accuracy(scored(spark, sf), "label", "cluster"))
 
 
+@register("gated_accuracy", ops=("M18", "S5", "A15"), sql=f"""
+WITH {SCORED}
+SELECT count(*) AS n_rows, {sql_rnd('avg(CASE WHEN label = cluster THEN 1.0 ELSE 0.0 END)::DOUBLE', 6)} AS accuracy FROM scored""")
+def q_gated_accuracy(spark, sf):
+    """Predictions published behind an accuracy gate (0.10, the chance of ten classes): the accuracy is measured
+    while they are written, and a gate that is not met publishes nothing."""
+    rows = scored(spark, sf)
+    hit = F.avg(F.when(F.col("label") == F.col("cluster"), 1.0).otherwise(0.0))
+    path = scratch_path(spark, "published")
+    got = publish.write_gated(rows, path, {"n_rows": F.count(F.lit(1)), "accuracy": hit}, lambda m: (m["accuracy"] or 0) >= 0.10)
+    n = spark.read.parquet(path).count()
+    return spark.createDataFrame([(n, got["accuracy"])], "n_rows long, accuracy double").select(
+        "n_rows", rnd("accuracy", 6).alias("accuracy"))
+
+
 # ---------------------------------------------------------------- pivot, dashboard rows
 
 @register("pivot_mean", ops=("A11",), sql="""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cribble.functions import text as T
 from cribble.functions.numeric import rnd, sql_rnd
+from cribble.operators import lookup as LK
 from cribble.operators import vectorize as V
 from cribble.plans.registry import register
 from cribble.sources import catalog
@@ -183,6 +184,29 @@ def q_top_tokens(spark, sf):
     return V.top_terms(V.corpus_counts(_docs(spark, sf), T.whitespace_words(F.lower("text"))), 1000)
 
 
+_WORDS_SQL = f"SELECT doc_id, {T.sql_clean_tokens('text')} AS toks FROM documents"
+
+
+@register("lemma_lookup", ops=("N1e",), sql=f"""
+WITH d AS ({_WORDS_SQL}), w AS (SELECT DISTINCT unnest(toks) AS w FROM d),
+m AS (SELECT a.w AS word, b.w AS lemma FROM w a JOIN w b ON a.w = b.w || 's'),
+t AS (SELECT doc_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS i FROM d),
+j AS (SELECT doc_id, string_agg(coalesce(lemma, tok), ' ' ORDER BY i) AS lemmas, count(lemma) AS n_replaced
+      FROM t LEFT JOIN m ON t.tok = m.word GROUP BY 1)
+SELECT doc_id, coalesce(lemmas, '') AS lemmas, coalesce(n_replaced, 0) AS n_replaced FROM d LEFT JOIN j USING (doc_id)""")
+def q_lemma_lookup(spark, sf):
+    """Tokens looked up in a lemma table made from the texts: a word whose form without the last s is a word too
+    becomes that one."""
+    d = T.with_clean_tokens(_docs(spark, sf), "text", "toks").select("doc_id", "toks").persist(StorageLevel.MEMORY_AND_DISK)
+    words = d.select(F.explode_outer("toks").alias("w")).where(F.col("w").isNotNull()).distinct()
+    table = (words.select(F.col("w").alias("word"), F.regexp_extract("w", "^(.+)s$", 1).alias("lemma"))
+             .join(words.select(F.col("w").alias("lemma")), "lemma").select("word", "lemma"))
+    out = LK.lookup(d, "doc_id", "toks", table).join(d, "doc_id")
+    changed = F.size(F.filter(F.zip_with("toks", "lemmas", lambda a, b: a != b), lambda x: x)).cast("long")
+    return out.select("doc_id", F.coalesce(F.array_join("lemmas", " "), F.lit("")).alias("lemmas"),
+                      F.when(F.col("toks").isNull(), F.lit(0)).otherwise(changed).alias("n_replaced"))
+
+
 @register("distinct_texts", ops=("U5", "N5"), sql=f"""
 SELECT text, {T.sql_clean_text('text')} AS text_clean, count(*) AS n_docs FROM documents GROUP BY text""")
 def q_distinct_texts(spark, sf):
