@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cribble.llm.common import MUL, U, slices, text_buffers
+from cribble.llm.common import MUL, U, slices, stage, text_buffers
 
 
 @dataclass
@@ -71,21 +71,22 @@ def has_letter(text: Column) -> Column:
 
 
 def fit(docs: DataFrame, label: str, kernel: Kernel | None = None, per_label: int = 400,
-        landmarks: int = 256, ridge: float = 1e-2, seed: int = 7) -> Model:
-    """Fit on about ``per_label`` rows of each label (a hash of the text and label picks them).
+        landmarks: int = 256, ridge: float = 1e-2, seed: int = 7, parts: int = 16) -> Model:
+    """Fit on about ``per_label`` distinct texts of each label (a hash of the text and label picks them).
 
-    Labels are counted over all rows; the sample is the documented bound: what reaches
-    the driver is one packed presence row (``width`` / 8 bytes) per sampled text, never a
-    text.  Rows with a null label or null text teach nothing.
+    Distinct texts are counted over all rows, so a label made of copies of few texts teaches all of them; no label is
+    left out.  The sample is the documented bound.  The landmarks (``landmarks`` packed presence rows of the sample) come to
+    the driver; the Gram sums are made in tasks, and at most ``parts`` of them, each of the landmarks' size, are added
+    up there.  Rows with a null label or null text teach nothing.
     """
     kernel = kernel or Kernel()
     rows = docs.select(F.col(label).alias("lang"), normal(F.col("text")).alias("text")).where(
         F.col("lang").isNotNull() & has_letter(F.col("text")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    pick = F.pmod(F.xxhash64("text", "lang", F.lit(seed)), F.lit(1 << 30))
-    chosen = (rows.join(F.broadcast(counts.orderBy(F.desc("n"), "lang").limit(10_000)), "lang")
-              .where(pick < F.least(F.lit(1.0), F.lit(float(per_label)) / F.col("n")) * float(1 << 30))
-              .select("lang", "text").dropDuplicates())  # copies of one text teach once
+    keyed = rows.withColumn("h", F.xxhash64("text", "lang", F.lit(seed)))
+    counts = keyed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    chosen = (keyed.join(counts, "lang")
+              .where(F.pmod("h", F.lit(1 << 30)) < F.least(F.lit(1.0), F.lit(float(per_label)) / F.col("n")) * float(1 << 30))
+              .select("lang", "text", "h").dropDuplicates(["lang", "text"]))  # copies of one text teach once
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
@@ -94,26 +95,42 @@ def fit(docs: DataFrame, label: str, kernel: Kernel | None = None, per_label: in
             for lo in range(0, batch.num_rows, 512):
                 o = offs[lo:lo + 513]
                 bits += [x.tobytes() for x in np.packbits(presence(kernel, raw[o[0]:o[-1]], o - o[0]), axis=1)]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(bits, pa.binary())],
-                                             names=["lang", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(bits, pa.binary())],
+                                             names=["lang", "h", "bits"])
 
-    got = sorted(map(tuple, chosen.mapInArrow(features, "lang string, bits binary").collect()))
-    langs = sorted({g[0] for g in got})
+    def rows_of(bits: list[bytes]) -> np.ndarray:
+        x = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1)[:, :kernel.width]
+        return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True, dtype=np.float64), 1))
+
+    sample = stage(chosen.mapInArrow(features, "lang string, h long, bits binary"), "langid-sample")
+    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     if not langs:
         return Model(kernel, [], np.zeros((kernel.width, 0), np.float32), np.zeros(0))
-    x = np.unpackbits(np.frombuffer(b"".join(g[1] for g in got), np.uint8).reshape(len(got), -1), axis=1)
-    x = x[:, :kernel.width].astype(np.float64)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    y = np.array([[1.0 if g[0] == w else -1.0 for w in langs] for g in got])
-    order = np.random.default_rng(seed).permutation(len(got))[:landmarks]
-    z = x[order]
+    z = rows_of([r["bits"] for r in sample.orderBy(F.xxhash64("h", F.lit(seed)), "lang").limit(landmarks).select("bits").collect()])
     values, vectors = np.linalg.eigh(z @ z.T)
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # K_mm^-1/2 on its range
-    phi = x @ z.T @ root
-    mean_phi, mean_y = phi.mean(axis=0), y.mean(axis=0)
-    c = phi - mean_phi
-    beta = np.linalg.solve(c.T @ c + ridge * len(got) * np.eye(c.shape[1]), c.T @ (y - mean_y))
+    sent, d, place = docs.sparkSession.sparkContext.broadcast(z.T @ root), root.shape[1], {w: i for i, w in enumerate(langs)}
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of phi phi', phi y', phi, y and 1 over the rows of the task, as one packed matrix."""
+        total = np.zeros((d + 1, d + 1 + len(langs)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                phi = rows_of(part.column("bits").to_pylist()) @ sent.value
+                phi = np.concatenate((phi, np.ones((len(phi), 1))), axis=1)
+                y = np.full((len(phi), len(langs)), -1.0)
+                y[np.arange(len(phi)), [place[w] for w in part.column("lang").to_pylist()]] = 1.0
+                total += phi.T @ np.concatenate((phi, y), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    total = sum(np.frombuffer(r["sums"], np.float64).reshape(d + 1, -1)
+                for r in sample.coalesce(parts).mapInArrow(gram, "sums binary").collect())
+    n = total[d, d]
+    mean_phi, mean_y = total[d, :d] / n, total[d, d + 1:] / n
+    spread = total[:d, :d] - n * np.outer(mean_phi, mean_phi)
+    beta = np.linalg.solve(spread + ridge * n * np.eye(d), total[:d, d + 1:] - n * np.outer(mean_phi, mean_y))
     return Model(kernel, langs, (z.T @ root @ beta).astype(np.float32), mean_y - mean_phi @ beta)
 
 

@@ -202,3 +202,27 @@ def test_each_pattern_stands_once_under_a_filter(spark):
     model = quality.RuleModel(0.1, [quality.Rule(((1, True, 0.2), (2, False, 0.01)), 1.0), quality.Rule(((1, False, 0.1),), -1.0)])
     plan = quality.score(docs, model).where("predicted = 1")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(r"\p{Lu}") == 1 and plan.count("Generate") == 2
+
+
+# ------------------------------------------------------------ language model: every label, folded weights
+
+def test_labels_of_copies_and_many_labels_all_teach(spark):
+    rng = np.random.default_rng(5)
+    alphabets = {f"l{i}": [chr(c) for c in rng.choice(np.arange(0x61, 0x17F), 14, replace=False)] for i in range(12)}
+
+    def text(lang):
+        return " ".join("".join(rng.choice(alphabets[lang], 5)) for _ in range(30))
+
+    few = [text("l0"), text("l0")]
+    rows = [(few[i % 2], "l0") for i in range(3000)] + [(text(w), w) for w in alphabets for _ in range(15) if w != "l0"]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), "lang", per_label=50)
+    assert model.langs == sorted(alphabets)
+    held = spark.createDataFrame([(w, text(w)) for w in alphabets for _ in range(5)], "want string, text string")
+    got = langid.predict(held, model).collect()
+    assert np.mean([r.lang_pred == r.want for r in got]) > 0.9
+    # folded weights against the kernel itself, on texts of any length
+    x = ["abc", "a" * 5000, text("l3") * 40]
+    p = [langid.presence(model.kernel, np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for t in x]
+    direct = [(v.astype(float) / np.sqrt(max(v.sum(), 1))) @ model.weights + model.bias for v in p]
+    scored = {r.text: r for r in langid.predict(spark.createDataFrame([(t,) for t in x], "text string"), model).collect()}
+    assert all(scored[t].lang_pred == model.langs[int(np.argmax(o))] for t, o in zip(x, direct))
