@@ -155,87 +155,69 @@ def semi(df: DataFrame, ids: DataFrame, key: str | list[str], most: int = 500_00
     return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
 
 
-def _meet_in_batch(batches: Iterator[pa.RecordBatch], buckets: int, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
-    """(bucket, body) from (rep, keys): keys, members and salts of about ``most`` keys at a time, packed by bucket.
-
-    One member of every key goes on under salt 0; where a key has several members here, its tile is known to
-    be shared and each of them goes to a salt.  A bucket is a hash of key and salt, so a row holds hundreds of keys."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
+def _meet_in_batch(batches: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """(key, rep, salt) from (rep, keys): one member of every key of a batch goes on under salt 0; where a
+    key has several members in the batch, its tile is known to be shared and each of them goes to a salt."""
     for batch in batches:
-        keys = batch.column("keys")
-        flat = keys.flatten().to_numpy()
-        rep = np.repeat(batch.column("rep").to_numpy(), keys.value_lengths().to_numpy())
-        for lo in range(0, len(flat), most):
-            held.append((flat[lo:lo + most], rep[lo:lo + most]))
-            size += len(held[-1][0])
-            if size >= most:
-                yield _packed(held, buckets)
-                held, size = [], 0
-    if size:
-        yield _packed(held, buckets)
-
-
-def _packed(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> pa.RecordBatch:
-    key, rep = (np.concatenate(c) for c in zip(*held))
-    order = np.lexsort((rep, key))
-    key, rep = key[order], rep[order]
-    new = np.concatenate(([True], (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])))
-    key, rep = key[new], rep[new]
-    same = np.concatenate(([False], key[1:] == key[:-1], [False]))
-    sure, first = same[:-1] | same[1:], ~same[:-1]
-    rows = np.stack((np.concatenate((key[first], key[sure])), np.concatenate((rep[first], rep[sure])),
-                     np.concatenate((np.zeros(int(first.sum()), np.int64), 1 + (rep[sure] & 1023)))), axis=1)
-    bucket = (mix(rows[:, 0].view(U) + rows[:, 2].view(U) * MIX1) % U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    bucket, rows = bucket[order], np.ascontiguousarray(rows[order])
-    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-    offsets = np.append(starts, len(rows)) * 24
-    body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)),
-                                                                             pa.py_buffer(rows)]).cast(pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), body], names=["bucket", "body"])
+        offs = batch.column("keys").offsets.to_numpy()
+        flat = batch.column("keys").values.to_numpy()
+        start = 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(offs, offs[start] + most, side="right")) - 1)
+            key = flat[offs[start]:offs[end]]
+            rep = np.repeat(batch.column("rep").to_numpy()[start:end], np.diff(offs[start:end + 1]))
+            order = np.lexsort((rep, key))
+            key, rep = key[order], rep[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])))[:len(key)]
+            key, rep = key[new], rep[new]
+            same = np.concatenate(([False], key[1:] == key[:-1], [False]))[:len(key) + 1]
+            sure = same[:-1] | same[1:]
+            first = ~same[:-1]
+            out = (np.concatenate((key[first], key[sure])), np.concatenate((rep[first], rep[sure])),
+                   np.concatenate((np.zeros(int(first.sum()), np.int64), 1 + (rep[sure] & 1023))))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["key", "rep", "salt"])
+            start = end
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, rep) of keys with two or more members, from the packed rows sorted by bucket."""
-    at, held = None, []
+    """(key, rep) of keys with two or more members, from rows sorted by key; of the last key of a
+    batch one row is held back, with whether another member has been seen."""
+    last_key, last_rep, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), False
     for batch in batches:
-        for bucket, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if bucket != at and held:
-                yield _shared(held)
-                held = []
-            at = bucket
-            held.append(body)
-    if held:
-        yield _shared(held)
-
-
-def _shared(held: list[bytes]) -> pa.RecordBatch:
-    rows = np.frombuffer(b"".join(held), np.int64).reshape(-1, 3)
-    known = rows[:, 2] > 0
-    key, rep = rows[~known, 0], rows[~known, 1]
-    order = np.lexsort((rep, key))
-    key, rep = key[order], rep[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])
-    key, rep = key[new], rep[new]
-    same = np.zeros(len(key) + 1, bool)
-    same[1:-1] = key[1:] == key[:-1]
-    met = same[:-1] | same[1:]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate((rows[known, 0], key[met]))),
-                                       pa.array(np.concatenate((rows[known, 1], rep[met])))], names=["key", "rep"])
-
-
-def shared_tiles(signed: DataFrame, name: str, least_buckets: int = 512) -> DataFrame:
+        key, rep, salt = (batch.column(c).to_numpy() for c in ("key", "rep", "salt"))
+        known = salt > 0
+        out_key, out_rep = key[known], rep[known]
+        key, rep = np.concatenate((last_key, key[~known])), np.concatenate((last_rep, rep[~known]))
+        if len(key):
+            order = np.lexsort((rep, key))
+            key, rep = key[order], rep[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (rep[1:] != rep[:-1])))
+            key, rep = key[new], rep[new]
+            same = np.concatenate(([False], key[1:] == key[:-1], [False]))
+            met = same[:-1] | same[1:]
+            if seen:
+                met |= key == last_key[0]
+            # rows come sorted by key, so only the largest key can go on in the next batch
+            out_key, out_rep = (np.concatenate((out_key, key[:-1][met[:-1]])),
+                                np.concatenate((out_rep, rep[:-1][met[:-1]])))
+            last_key, last_rep, seen = key[-1:], rep[-1:], bool(met[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(out_key), pa.array(out_rep)], names=["key", "rep"])
+    if seen:
+        yield pa.RecordBatch.from_arrays([pa.array(last_key), pa.array(last_rep)], names=["key", "rep"])
+
+
+def shared_tiles(signed: DataFrame, name: str, sign: Callable | None = None) -> DataFrame:
     """(key, rep) of the tiles with two or more members, each member once; of tiles with the same
-    members one stands for all.  ``signed`` (rep, keys) lists the tiles of every set.
-
-    Keys are shuffled once, packed by bucket: a key has at most one entry for each half million keys of a task in the bucket where
-    they meet, however many members it has; the others, known to be shared, are dealt out by salt.  There are at least
-    four buckets for each partition of the input, so that a bucket holds about as much as a quarter of one."""
-    buckets = max(least_buckets, 4 * signed.rdd.getNumPartitions())
-    met = (signed.mapInArrow(lambda batches: _meet_in_batch(batches, buckets), "bucket long, body binary")
-           .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "key long, rep long"))
+    members one stands for all.  ``signed`` (rep, keys) lists the tiles of every set; with ``sign`` it is what that makes of
+    the batches of ``signed``, in the same task.
+
+    Rows are shuffled once: a key has at most one row for each batch in the task where its batches
+    meet, however many members it has; the others, known to be shared, are dealt out by salt."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _meet_in_batch(sign(batches) if sign else batches)
+
+    met = (signed.mapInArrow(meet, "key long, rep long, salt long").repartition("key", "salt")
+           .sortWithinPartitions("key").mapInArrow(_meet, "key long, rep long"))
     members = stage(met.distinct(), name)
     groups = members.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"),
                                         F.sum(F.xxhash64("rep") % (1 << 40)).alias("who"))

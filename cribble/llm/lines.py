@@ -89,8 +89,7 @@ def line_components(docs: DataFrame, shingle: int = 8, num: int = 8, den: int =
                                              names=["rep", "n", "bits", "set"])
 
     lines = line_rows(docs)
-    signed = lines.select("lid", "line").mapInArrow(sign, "rep long, keys array<long>")
-    held = shared_tiles(signed, "line-tiles")  # copies of a line are no second member
+    held = shared_tiles(lines.select("lid", "line"), "line-tiles", sign)  # copies of a line are no second member
     wanted = stage(held.select(F.col("rep").alias("lid")).distinct(), "line-members")
     sets = stage(semi(lines.select("lid", "line"), wanted, "lid").dropDuplicates(["lid"])
                  .mapInArrow(payload, "rep long, n long, bits binary, set binary"), "line-sets")

@@ -43,7 +43,7 @@ class WordTokenizer:
     remembered across the tasks of a worker (``IdCache``).
     """
 
-    def __init__(self, spec: str, remember: int = 1_500_000):
+    def __init__(self, spec: str, remember: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
         self.cache = IdCache(self._words, remember)
@@ -133,7 +133,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = word_tokenizer(spec.value)
         next_id = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             ids, counts = tok.encode(batch.column("text"))
             n = counts + 1
             flat = np.full(int(n.sum()), end_id, np.uint32)
