@@ -146,3 +146,10 @@ def test_iterative_imputer_far_from_zero(spark):
         d = [r.y - offset - y[r.i] for r in got.collect() if r.i % 7 == 0]
         err.append(float(np.sqrt(np.mean(np.square(d)))))
     assert err[0] < 0.15 and abs(err[1] - err[0]) < 0.01
+
+
+def test_split_bounds_of_a_large_class_are_no_int(spark):
+    """A class of more rows than an int holds basis points of (rows x 8500) splits without overflow."""
+    rows = spark.createDataFrame([(i, 4) for i in range(20)], "k long, y int")
+    got = prep.stratified_split(rows, "y", "k", counts={4: 1_000_000}).groupBy("split").count().collect()
+    assert [tuple(r) for r in got] == [("train", 20)]
