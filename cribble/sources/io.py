@@ -51,11 +51,21 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
     return raw.select(*cols)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _on_fs(spark: SparkSession, path: str) -> tuple:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    return p.getFileSystem(conf), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _on_fs(spark, path)
+    return fs.exists(p)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _on_fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
 def read_optional(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,

@@ -16,15 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cribble.sources.io import scratch_path
+from cribble.sources.io import is_folder, scratch_path
 
 
 def file_stream(spark: SparkSession, folder: str, file_glob: str, schema: T.StructType,
                 max_files: int | None = None) -> DataFrame:
     """Parquet file stream with an explicit schema (no inference on streams).  ``max_files`` bounds a micro-batch;
-    without it a batch takes all files that are there."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).parquet(folder)
+    without it a batch takes all files that are there.  Where ``file_glob`` names a folder (a table that Spark wrote),
+    the files in it are streamed."""
+    reader = spark.readStream.schema(schema)
+    reader = reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+    inner = f"{folder.rstrip('/')}/{file_glob}"
+    if is_folder(spark, inner):
+        return reader.parquet(inner)
+    return reader.option("pathGlobFilter", file_glob).parquet(folder)
 
 
 def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], name: str) -> str:

@@ -30,6 +30,16 @@ def test_stream_score_equal_batch(spark, sf):
     assert _rows(s, ["vec_id", "cluster"]) == _rows(b, ["vec_id", "cluster"])
 
 
+def test_stream_of_a_folder_table_reads_its_files(spark, tmp_path):
+    """A table that Spark wrote is a folder of files; a stream of it takes them all, one of a file that file."""
+    from cribble.sources import catalog
+    rows = [(i, [float(i % 3), 1.0], i % 3) for i in range(30)]
+    e = spark.createDataFrame(rows, catalog.SCHEMAS["embeddings"])
+    e.repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = load_all()["stream_score"].fn(spark, str(tmp_path))
+    assert _rows(out, ["vec_id", "cluster", "valid"]) == [(i, i % 3, True) for i in range(30)]
+
+
 def test_dedupe_log_keeps_every_event_once(spark, sf):
     reg = load_all()
     out = reg["stream_dedupe_log"].fn(spark, sf)
