@@ -46,20 +46,24 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, stats): the columns of ``docs`` as one struct and the statistics of the whole text as another.
 
     A null text counts as empty; an empty text has zero for every statistic.  The statistics come out of a generator:
-    filters on what is computed from them are not pushed below it, so each pattern runs once a text.
+    filters on what is computed from them are not pushed below it, so each pattern runs once a text.  They are taken
+    in a function of array elements, which Spark does not compile: all patterns in one compiled method cost the
+    compiler more memory than the rows take.
     """
-    def count(pattern: str) -> Column:
-        return F.regexp_count(F.col("t"), F.lit(pattern)).cast("double")
-
-    raw = F.struct(
-        F.length("t").cast("double").alias("chars"), count(r"\p{Lu}").alias("upper"),
-        count(r"[^\p{L}\p{N}\s]").alias("symbol"), count(r"\p{N}").alias("digit"), count(r"\s").alias("space"),
-        count(r"\S+").alias("words"), count(r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)").alias("symbol_words"),
-        count(r"(?<![\p{L}\p{N}])\p{L}{1,3}(?![\p{L}\p{N}])").alias("short_words"),
-        count(r"[.?!]").alias("stops"), count(r"\n").alias("breaks"), count(r"[#$%&*|]").alias("marks"),
-        F.size(F.array_distinct(F.split("t", r"\s+"))).cast("double").alias("distinct"))
+    def raw(t: Column) -> Column:
+        def count(pattern: str) -> Column:
+            return F.regexp_count(t, F.lit(pattern)).cast("double")
+
+        return F.struct(
+            F.length(t).cast("double").alias("chars"), count(r"\p{Lu}").alias("upper"),
+            count(r"[^\p{L}\p{N}\s]").alias("symbol"), count(r"\p{N}").alias("digit"), count(r"\s").alias("space"),
+            count(r"\S+").alias("words"), count(r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)").alias("symbol_words"),
+            count(r"(?<![\p{L}\p{N}])\p{L}{1,3}(?![\p{L}\p{N}])").alias("short_words"),
+            count(r"[.?!]").alias("stops"), count(r"\n").alias("breaks"), count(r"[#$%&*|]").alias("marks"),
+            F.size(F.array_distinct(F.split(t, r"\s+"))).cast("double").alias("distinct"))
+
     rows = (docs.select(kept(docs).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
-            .select("row", F.inline(F.array(raw))))
+            .select("row", F.inline(F.transform(F.array("t"), raw))))
     one = F.lit(1.0)
     chars, word = F.greatest(F.col("chars"), one), F.greatest(F.col("words"), one)
     stats = F.struct(

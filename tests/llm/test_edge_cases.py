@@ -254,3 +254,13 @@ def test_id_cache_starts_anew_and_keeps_words_apart():
         for w, s, n in zip(words, start.tolist(), size.tolist()):
             assert bytes(ids[s:s + n].astype(np.uint8)) == w.encode()
     assert len(asked) < 30 * 13
+
+
+def test_quality_patterns_stay_out_of_compiled_methods(spark):
+    """All patterns of the statistics in one compiled method took the compiler over a gigabyte."""
+    from cribble.llm import quality
+    df = quality.with_stats(spark.createDataFrame([(1, "One two. Three")], "doc_id long, text string"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    patterns = [line for line in plan.splitlines() if "Generate inline" in line]
+    assert patterns and not any("*(" in line for line in patterns)
+    assert df.first()["stats"]["stops"] == 1 / 3
