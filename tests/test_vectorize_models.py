@@ -73,3 +73,14 @@ def test_char_ngrams(spark):
     df = spark.createDataFrame([("abc",)], "w string")
     out = df.select(ML.char_ngrams(F.col("w"))).first()[0]
     assert out[:3] == ["<ab", "abc", "bc>"] and "<abc>" in out
+
+
+def test_batches_are_cut_by_tokens():
+    """Rows of any length, null ones too, come once and in turn; a slice holds few tokens unless one row has more."""
+    import pyarrow as pa
+    from cribble.operators import vectorize as V
+    lists = [["a"] * 3, None, [], ["b"] * 9, ["c"] * 2, ["d"] * 2]
+    b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(lists, pa.list_(pa.string()))], names=["k", "t"])
+    got = [s.to_pydict() for s in V._row_slices(iter([b]), 1, 4)]
+    assert [s["k"] for s in got] == [[0, 1, 2], [3], [4, 5]]
+    assert [t for s in got for t in s["t"]] == lists
