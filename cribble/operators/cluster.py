@@ -19,8 +19,8 @@ def as_double_array(c: Column | str) -> Column:
 
 
 def class_means(df: DataFrame, vec: str, label: str) -> dict:
-    """Per-class mean vector: posexplode + groupBy(label, pos) (partial aggregation)."""
-    long = df.select(F.col(label).alias("k"), F.posexplode(as_double_array(vec)).alias("pos", "x"))
+    """Per-class mean vector: posexplode + groupBy(label, pos) (partial aggregation); a row without a label is of no class."""
+    long = df.where(F.col(label).isNotNull()).select(F.col(label).alias("k"), F.posexplode(as_double_array(vec)).alias("pos", "x"))
     means = long.groupBy("k", "pos").agg(F.avg("x").alias("m"))
     n = means.count()
     if n > MAX_CENTRE_VALUES:

@@ -40,6 +40,15 @@ def test_stream_of_a_folder_table_reads_its_files(spark, tmp_path):
     assert _rows(out, ["vec_id", "cluster", "valid"]) == [(i, i % 3, True) for i in range(30)]
 
 
+def test_stream_score_with_rows_without_a_label(spark, tmp_path):
+    """A row without a label makes no centre and is scored, one without a vector is quarantined."""
+    from cribble.sources import catalog
+    rows = [(i, [float(i % 3), 1.0], i % 3) for i in range(6)] + [(6, [2.0, 1.0], None), (7, None, 1)]
+    spark.createDataFrame(rows, catalog.SCHEMAS["embeddings"]).coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = load_all()["stream_score"].fn(spark, str(tmp_path))
+    assert _rows(out, ["vec_id", "cluster", "valid"]) == [(i, i % 3, True) for i in range(6)] + [(6, 2, True), (7, None, False)]
+
+
 def test_dedupe_log_keeps_every_event_once(spark, sf):
     reg = load_all()
     out = reg["stream_dedupe_log"].fn(spark, sf)
