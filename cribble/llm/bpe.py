@@ -177,6 +177,10 @@ class ByteBpe:
             out[i] = ids
         return out
 
+    def merge_long(self, ids: np.ndarray) -> np.ndarray:
+        """Ids of one long piece from its first ids."""
+        return self.merger.merge_long(ids)
+
     # ---------------------------------------------------------------- batches
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
