@@ -257,7 +257,7 @@ def test_id_cache_starts_anew_and_keeps_words_apart():
 
 
 def test_quality_patterns_stay_out_of_compiled_methods(spark):
-    """All patterns of the statistics in one compiled method took the compiler over a gigabyte."""
+    """With all patterns of the statistics in one compiled method executors passed their memory limit."""
     from cribble.llm import quality
     df = quality.with_stats(spark.createDataFrame([(1, "One two. Three")], "doc_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
