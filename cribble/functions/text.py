@@ -9,6 +9,8 @@ Unicode classes that Java and RE2 read the same way.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,18 +155,25 @@ def whitespace_words(text: Column | str) -> Column:
 def lexical_category(toks: Column) -> Column:
     """Keyword score per category (+1 per token/keyword with keyword inside token);
     highest score wins, ties in category order; no hit -> NULL (N13, J6)."""
-    def score(kws) -> Column:
-        arr = F.array(*[F.lit(k) for k in kws])
-        return F.aggregate(toks, F.lit(0),
-                           lambda acc, t: acc + F.size(F.filter(arr, lambda k: F.instr(t, k) > 0)))
+    # a keyword is looked for in the joined tokens first; tokens are counted one by one only where it occurs
+    def hits(words: Column, joined: Column, k: str) -> Column:
+        return F.when(F.contains(joined, F.lit(k)), F.size(F.filter(words, lambda t: F.instr(t, F.lit(k)) > 0))).otherwise(F.lit(0))
 
-    scores = [(cat, score(kws)) for cat, kws in fixed.KEYWORDS]
-    best = F.greatest(*[s for _, s in scores])
-    expr = None
-    for cat, s in scores:
-        cond = (s == best) & (best > 0)
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    return expr
+    def named(scores: Column) -> Column:
+        best, expr = F.array_max(scores), None
+        for i, (cat, _) in enumerate(fixed.KEYWORDS):
+            cond = (scores[i] == best) & (best > 0)
+            expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
+        return expr
+
+    return _let(toks, lambda words: _let(F.array_join(words, " "), lambda joined: _let(
+        F.array(*[sum((hits(words, joined, k) for k in kws[1:]), hits(words, joined, kws[0])) for _, kws in fixed.KEYWORDS]),
+        named)))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
 
 
 def reduction_pct(raw_words: Column, clean_words: Column) -> Column:

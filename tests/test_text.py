@@ -82,3 +82,13 @@ def test_ngram_forms_agree(spark):
     a = [r[0] for r in df.select(T.ngrams_1_2(F.col("t"))).collect()]
     b = [r["ng"] for r in T.with_ngrams_1_2(df, "t", "ng").collect()]
     assert a == b
+
+
+def test_lexical_category_counts_tokens_with_a_keyword_inside(spark):
+    """A keyword that only appears across two tokens counts nothing; a token counts once for each keyword inside it."""
+    cases = [(["fer", "ferraille", "verre"], "Métal"), (["verre", "papier"], "Verre"), (["fe", "r"], None), (["a", None], None),
+             ([], None), (None, None), (["cartonné", "pet", "pet"], "Plastique"), (["cartonné", "pet"], "Papier"), (["pe t"], None)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, toks array<string>")
+    got = {r.i: r.c for r in df.select("i", T.lexical_category(F.col("toks")).alias("c")).collect()}
+    assert [got[i] for i in range(len(cases))] == [c for _, c in cases]
+    assert "aggregate(" not in df.select(T.lexical_category(F.col("toks")))._jdf.queryExecution().toString()
