@@ -20,9 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cribble.llm.common import (
-    MIX1, MIX2, MUL, U, connected_components, lower_ascii, mix, slices, span_hashes, stage, text_buffers, word_spans)
+    MIX1, MIX2, MUL, U, common_count, connected_components, lower_ascii, mix, slices, sorted_set, span_hashes, stage, text_buffers,
+    word_spans)
 from cribble.llm.tiles import OUT, Tiles, bitmap, whole_tiles, words_of
 
+TEXT = 1 << 19  # bytes of text a task hashes at once: the hash arrays hold some 80 bytes for each
 # -- fixed values: the contract's white space.
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -42,7 +44,7 @@ def shingle_sets(raw: np.ndarray, offs: np.ndarray, n: int) -> list[np.ndarray]:
     out = []
     for f, c in zip(first.tolist(), count.tolist()):
         if c >= n:
-            out.append(np.unique(grams[f:f + c - n + 1]))
+            out.append(sorted_set(grams[f:f + c - n + 1]))
         elif c:
             v = U(c)
             with np.errstate(over="ignore"):
@@ -128,7 +130,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Per row: doc_id, hash of the text, n, the set's 128-bit fingerprint and tile keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", TEXT):
             sets = shingle_sets(*text_buffers(batch.column("text")), n)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
@@ -291,7 +293,7 @@ def settle(rows: DataFrame, sets: DataFrame, num: int, den: int, decode: Callabl
             for g in slices(slices(batches, "x", 4 << 20), "y", 4 << 20):
                 keep = []
                 for x, y in zip(decode(g.column("x")), decode(g.column("y"))):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    common = common_count(x, y)
                     keep.append(common > 0 and den * common >= num * (len(x) + len(y) - common))
                 yield pa.RecordBatch.from_arrays([g.column("a"), g.column("b"), pa.array(keep, pa.bool_())],
                                                  names=["a", "b", "ok"])
@@ -349,7 +351,7 @@ def similarity_groups(docs: DataFrame, n: int, num: int, den: int, block: int =
     held = shared_tiles(semi(named.select("doc_id", node, "keys"), first, ["doc_id", "rep"]).select("rep", "keys"), "tiles")
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", TEXT):
             sets = shingle_sets(*text_buffers(batch.column("text")), n)
             yield pa.RecordBatch.from_arrays([*fingerprints(sets), *member_columns(sets)],
                                              names=["f1", "f2", "n", "bits", "set"])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cribble.llm.common import MIX1, MUL, U, connected_components, kept, mix, ranges, slices, stage, text_buffers
+from cribble.llm.common import MIX1, MUL, U, connected_components, kept, mix, ranges, slices, sorted_set, stage, text_buffers
 from cribble.llm.jaccard import link_tiles, member_columns, semi, shared_tiles
 
 
@@ -79,7 +79,7 @@ def line_components(docs: DataFrame, shingle: int = 8, num: int = 8, den: int =
     def decode(column: pa.Array) -> list[np.ndarray]:
         hashes, count = char_shingles(*text_buffers(column), shingle)
         ends = np.cumsum(count)
-        return [np.unique(hashes[e - c:e]) for e, c in zip(ends.tolist(), count.tolist())]
+        return [sorted_set(hashes[e - c:e]) for e, c in zip(ends.tolist(), count.tolist())]
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "line", 1 << 18):

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from cribble.llm.common import U, text_buffers
+from cribble.llm.common import U, common_count, text_buffers
 
 SMALL = 16  # members up to which all pairs of many tiles are bounded at once
 OUT = "key long, i int, j int, a long, b long"
@@ -101,7 +101,7 @@ class Tiles:
     def linked(self, x: int, y: int) -> bool:
         """Whether two rows link, by their sorted arrays."""
         a, b = self.sets[x], self.sets[y]
-        common = len(np.intersect1d(a, b, assume_unique=True))
+        common = common_count(a, b)
         return common > 0 and self.den * common >= self.num * (len(a) + len(b) - common)
 
     # -- tiles

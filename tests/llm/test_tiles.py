@@ -157,3 +157,13 @@ def test_links_connect_what_all_links_connect(spark, block, carry):
     assert {(r.a, r.b) for r in got} <= set(links)
     found = connected_components(spark.createDataFrame(got, "a long, b long"), "a", "b").collect()
     assert {r.node: r.component for r in found} == {i: c for i, c in enumerate(comp) if comp.count(c) > 1}
+
+
+def test_sorted_sets_and_common_counts():
+    import numpy as np
+    from cribble.llm.common import common_count, sorted_set
+    rng = np.random.default_rng(1)
+    for n, m in ((0, 0), (0, 3), (1, 1), (5, 40), (300, 200)):
+        a, b = (rng.integers(0, 60, k).astype(np.uint64) * np.uint64(1 << 58) for k in (n, m))
+        x, y = sorted_set(a), sorted_set(b)
+        assert np.array_equal(x, np.unique(a)) and common_count(x, y) == common_count(y, x) == len(np.intersect1d(a, b))
