@@ -25,6 +25,7 @@ from cribble.llm.common import (
 from cribble.llm.tiles import OUT, Tiles, bitmap, whole_tiles, words_of
 
 TEXT = 1 << 19  # bytes of text a task hashes at once: the hash arrays hold some 80 bytes for each
+ROOM = 16 << 20  # bytes of sets that a block of a tile holds
 # -- fixed values: the contract's white space.
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -235,43 +236,51 @@ def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int
     """Links (a, b) that connect the same components as all links between members of a tile.
 
     ``held`` (key, rep) lists the members of tiles, ``sets`` (rep, n, bits, set) their sets;
-    ``decode`` turns a column of ``set`` into sorted arrays of hashes.  With ``carry`` (small sets) the sets travel with
-    the members and are compared in the tile; else only the bitmaps do, and the pairs that pass, fewer than
-    the members, are joined with their sets; tiles with a pair that failed are compared again.
-
-    Tiles of more than ``block`` members are compared by blocks; the smallest member and about ``draws`` drawn ones
-    go to every block, which ties blocks of near copies together.  What then is still in several
-    components is compared across blocks: the members outside the largest component with all of them.
+    ``decode`` turns a column of ``set`` into sorted arrays of hashes.  First every set is compared in one tile only,
+    the largest that holds it: near copies share many tiles, and one of them connects most of a group.  Then the tiles
+    whose members still are in several components are compared, members of different components only and none that met in the
+    first round.  So a group
+    gives about as many links as it has members, not as many for each of its tiles.  In the second round small sets
+    (``carry``) travel with the members; of large ones only the bitmaps do, and the pairs that pass are joined with their
+    sets; tiles with a pair that failed are compared again.
+
+    Tiles of more than ``block`` members are compared by blocks; in the first round the smallest member and about
+    ``draws`` drawn ones go to every block, which ties blocks of near copies together, in the second the members outside
+    the largest component meet all blocks.  Unless the sets are small (``carry``), a block also holds no more of them
+    than ``ROOM`` bytes.
     """
-    payload = sets if carry else sets.drop("set")
-    size = held.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"))
-    tiles = held.join(size, "key").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
-    big = tiles.where("blocks > 1")
+    most = F.lit(block) if carry else F.greatest(F.lit(2), F.least(F.lit(block), F.floor(F.lit(ROOM) / (8 * F.col("n")))))
+    size = held.groupBy("key").agg(F.count("*").alias("m"))
+    first = stage(held.join(size, "key").groupBy("rep").agg(F.max(F.struct("m", "key")).alias("tile"))
+                  .select("rep", F.col("tile.key").alias("key")).join(sets.select("rep", "n"), "rep"), "tile-first")
+    groups = first.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"), F.max("n").alias("n")).where("m > 1")
+    cut = groups.select("key", "m", "low", F.ceil(F.col("m") / most).cast("int").alias("blocks"))
+    tiles = first.join(cut, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     drawn = (F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(1 << 30)) * F.col("m") < draws << 30) | (F.col("rep") == F.col("low"))
-    hubs = big.where(drawn).select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "rep")
+    hubs = tiles.where((F.col("blocks") > 1) & drawn).select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = tiles.select("key", own.alias("i"), "rep")
-    many = big.limit(1).count() > 0
-    if many:
-        rows = rows.unionByName(hubs).distinct()
-    rows = rows.withColumn("j", F.col("i")).join(payload, "rep")
-    links = settle(rows, sets, num, den, decode, carry)
-    if not many:
-        return links
+    rows = tiles.where("m > 1").select("key", own.alias("i"), "rep").unionByName(hubs).distinct().withColumn("j", F.col("i"))
+    links = settle(rows.join(sets, "rep"), sets, num, den, decode, True)
     component = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
-    placed = stage(big.select("key", "blocks", "rep").join(component, "rep", "left")
-                   .withColumn("comp", F.coalesce("component", "rep")), "tile-places")
-    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    left = (parts.groupBy("key").agg(F.max_by("comp", "c").alias("main"), (F.sum("c") - F.max("c")).alias("outside"))
-            .where("outside > 0").withColumn("groups", F.ceil(F.col("outside") / block).cast("int")))
-    still = placed.join(left, "key")
-    each = still.select("key", own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("j"),
-                        F.lit(0).alias("side"), "comp", "rep")
-    outside = still.where("comp != main").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"),
-        F.pmod(F.xxhash64("rep", F.lit(2)), F.col("groups")).cast("int").alias("j"), F.lit(1).alias("side"), "comp", "rep")
-    across = each.unionByName(outside).join(payload, "rep")
-    return links.unionByName(settle(across, sets, num, den, decode, carry))
+    place = (tiles.select("rep", "n", F.xxhash64("key", own).alias("cell")).join(component, "rep", "left")
+             .select("rep", "n", "cell", F.coalesce("component", "rep").alias("comp")))
+    placed = stage(held.join(place, "rep"), "tile-places")
+    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    left = (parts.groupBy("key").agg(F.max_by("comp", "c").alias("main"), F.sum("c").alias("m"), F.max("n").alias("n"),
+                                     (F.sum("c") - F.max("c")).alias("outside"))
+            .where("outside > 0").select("key", "main", F.ceil(F.col("m") / most).cast("int").alias("blocks"),
+                                         F.ceil(F.col("outside") / most).cast("int").alias("groups")))
+    still = placed.drop("n").join(left, "key")
+    zero, many = F.lit(0), still.where("blocks > 1")
+    whole = still.where("blocks = 1").select("key", zero.alias("i"), zero.alias("j"), F.lit(2).alias("side"), "comp", "cell", "rep")
+    each = many.select("key", own.alias("i"), F.explode(F.sequence(zero, F.col("groups") - 1)).alias("j"),
+                       zero.alias("side"), "comp", "cell", "rep")
+    outside = many.where("comp != main").select(
+        "key", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("i"),
+        F.pmod(F.xxhash64("rep", F.lit(2)), F.col("groups")).cast("int").alias("j"), F.lit(1).alias("side"), "comp", "cell", "rep")
+    cells = whole.unionByName(each).unionByName(outside)
+    return links.unionByName(settle(cells.join(sets if carry else sets.drop("set"), "rep"), sets, num, den, decode, carry))
 
 
 def settle(rows: DataFrame, sets: DataFrame, num: int, den: int, decode: Callable[[pa.Array], list[np.ndarray]],

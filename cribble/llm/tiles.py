@@ -67,7 +67,11 @@ def whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Tiles:
-    """The tiles of a batch: compares members and collects the pairs that go out."""
+    """The tiles of a batch: compares members and collects the pairs that go out.
+
+    Where members have a component (``comp``), only members of different ones are compared, and of these not two from one
+    ``cell``, where they have been compared before; in a part of a larger tile those on side 1 are compared with those on
+    side 0, else (side 2, or no side) all with all."""
 
     def __init__(self, batch: pa.RecordBatch, num: int, den: int, turn: int,
                  decode: Callable[[pa.Array], list[np.ndarray]] | None):
@@ -78,8 +82,8 @@ class Tiles:
         raw, offs = text_buffers(batch.column("bits"))
         self.words = np.frombuffer(raw.tobytes(), U)
         self.offs = offs // 8
-        self.side, self.comp = ((batch.column(c).fill_null(0).to_numpy() if c in names else None)
-                                for c in ("side", "comp"))
+        self.side, self.comp, self.cell = ((batch.column(c).fill_null(0).to_numpy() if c in names else None)
+                                           for c in ("side", "comp", "cell"))
         self.other, self.ok = ((batch.column(c) if c in names else None) for c in ("other", "ok"))
         self.decode, self.sets = decode, {}
         self.column = batch.column("set") if decode else None
@@ -118,11 +122,14 @@ class Tiles:
                 size = self.n[here]
                 fit = np.stack([self.fits(overlap_bound(bits[:, a], bits[:, b], size[:, a], size[:, b]),
                                           size[:, a], size[:, b]) for a, b in zip(x.tolist(), y.tolist())], axis=1)
+                if self.comp is not None:
+                    comp, cell = self.comp[here], self.cell[here]
+                    fit &= (comp[:, x] != comp[:, y]) & (cell[:, x] != cell[:, y])
                 some = np.flatnonzero(fit.any(axis=1))
                 if self.decode:
                     self.load(here[some].reshape(-1))
                 for t in some.tolist():
-                    first, label = int(here[t, 0]), list(range(m))
+                    first, label = int(here[t, 0]), list(range(m)) if self.comp is None else comp[t].tolist()
                     for p in np.flatnonzero(fit[t]).tolist():
                         a, b = int(x[p]), int(y[p])
                         if label[a] != label[b] and (not self.decode or self.linked(first + a, first + b)):
@@ -149,14 +156,15 @@ class Tiles:
         maps = self.maps(rows)
         bits = folded(maps, min((len(m) for m in maps), default=1)) if maps else np.zeros((0, 1), U)
         size, rep = self.n[rows], self.rep[rows]
-        one_way = self.side is not None
+        cell = self.cell[rows] if self.cell is not None else np.arange(len(rows))
+        one_way = self.side is not None and not (self.side[rows] == 2).any()
         side = self.side[rows] if one_way else None
         outer = np.flatnonzero(side == 1) if one_way else np.arange(len(rows))
         # in later turns more pairs go out before their verdicts are taken for granted
         budget, sent = len(rows) * (4 ** self.turn - 1), 0
         for x in outer.tolist():
-            y = np.flatnonzero((label != label[x]) & (side == 0)) if one_way else (
-                x + 1 + np.flatnonzero(label[x + 1:] != label[x]))
+            y = np.flatnonzero((label != label[x]) & (cell != cell[x]) & (side == 0)) if one_way else (
+                x + 1 + np.flatnonzero((label[x + 1:] != label[x]) & (cell[x + 1:] != cell[x])))
             if not len(y):
                 continue
             y = y[self.fits(overlap_bound(bits[x], bits[y], size[x], size[y]), size[x], size[y])]
@@ -177,7 +185,9 @@ class Tiles:
         new = (self.key[1:] != self.key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
         starts = np.concatenate(([0], np.flatnonzero(new) + 1))
         sizes = np.diff(np.append(starts, len(self.key)))
-        plain = (sizes <= SMALL) & (sizes > 1) & (self.comp is None and self.other is None)
+        plain = (sizes <= SMALL) & (sizes > 1) & (self.other is None)
+        if self.side is not None:
+            plain &= self.side[starts] == 2
         for m in np.unique(sizes[plain]).tolist():
             self.small(starts[plain & (sizes == m)], m)
         for s, m in zip(starts[~plain].tolist(), sizes[~plain].tolist()):

@@ -167,3 +167,29 @@ def test_sorted_sets_and_common_counts():
         a, b = (rng.integers(0, 60, k).astype(np.uint64) * np.uint64(1 << 58) for k in (n, m))
         x, y = sorted_set(a), sorted_set(b)
         assert np.array_equal(x, np.unique(a)) and common_count(x, y) == common_count(y, x) == len(np.intersect1d(a, b))
+
+
+def test_near_copies_are_paired_once_not_for_every_tile(spark, monkeypatch):
+    """Twenty near copies in thirty tiles: one tile links them, the others send no pairs."""
+    import numpy as np
+
+    from cribble.llm import jaccard
+    rng = np.random.default_rng(5)
+    base = np.sort(rng.integers(0, 1 << 62, 300, dtype=np.uint64))
+    n, bits, body = jaccard.member_columns([np.delete(base, i) for i in range(20)])
+    members = spark.createDataFrame(list(zip(range(20), n.to_pylist(), bits.to_pylist(), body.to_pylist())),
+                                    "rep long, n long, bits binary, set binary")
+    held = spark.createDataFrame([(t, r) for t in range(30) for r in range(20) if r != t % 20], "key long, rep long")
+    made, plain = [], jaccard.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name in ("tile-candidates", "tile-links"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    got = jaccard.link_tiles(held, members, 8, 10).collect()
+    assert sum(made) < 60
+    found = jaccard.connected_components(spark.createDataFrame(got, "a long, b long"), "a", "b").collect()
+    assert {r.node: r.component for r in found} == {i: 0 for i in range(20)}
