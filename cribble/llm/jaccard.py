@@ -1,11 +1,11 @@
-"""Exact n-gram Jaccard join over size-banded tiles with bitmap signatures.
+"""Exact n-gram Jaccard join over size-banded tiles with parity maps.
 
 Sets whose Jaccard similarity reaches t have sizes within a factor t, so sizes fall into
 bands of that ratio and only equal or adjacent bands can meet.  Within a pair of bands
 two linked sets differ in at most D elements; cutting the hash range into so many segments that a
 set has elements in more than D of them therefore leaves one with the same elements in both.  A tile holds the
-sets that agree in one such segment of one band pair.  In a tile, the counts of common bits of hashed
-bitmaps bound the overlap from above, and the pairs that pass are settled by intersecting
+sets that agree in one such segment of one band pair.  In a tile, the differing bits of hashed
+parity maps bound the overlap from above, and the pairs that pass are settled by intersecting
 the sorted arrays.  No link is lost: the tiles are a necessary condition, not a sketch.
 """
 
@@ -145,7 +145,7 @@ def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
 
 def member_columns(sets: list[np.ndarray]) -> list[pa.Array]:
-    """n, bits (bitmap) and set (sorted hashes) of every set, the payload of ``link_tiles``."""
+    """n, bits (parity map) and set (sorted hashes) of every set, the payload of ``link_tiles``."""
     return [pa.array([len(s) for s in sets], pa.int64()),
             pa.array([bitmap(s, words_of(len(s))).tobytes() for s in sets], pa.binary()),
             pa.array([s.tobytes() for s in sets], pa.binary())]
@@ -241,7 +241,7 @@ def link_tiles(held: DataFrame, sets: DataFrame, num: int, den: int, block: int
     whose members still are in several components are compared, members of different components only and none that met in the
     first round.  So a group
     gives about as many links as it has members, not as many for each of its tiles.  In the second round small sets
-    (``carry``) travel with the members; of large ones only the bitmaps do, and the pairs that pass are joined with their
+    (``carry``) travel with the members; of large ones only the parity maps do, and the pairs that pass are joined with their
     sets; tiles with a pair that failed are compared again.
 
     Tiles of more than ``block`` members are compared by blocks; in the first round the smallest member and about

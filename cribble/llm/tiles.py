@@ -1,6 +1,6 @@
 """Comparison of the members of a tile inside a task.
 
-Rows come sorted by tile.  Bit counts of hashed bitmaps bound the overlap of two sets
+Rows come sorted by tile.  Parities of hashed elements bound the overlap of two sets
 from above; the pairs that pass are united at once, so a tile gives at most one pair less than it has
 members.  With the sets at hand a pair is settled by its sorted arrays before it is united;
 without them the pairs go out to be settled elsewhere, and tiles with a pair that failed come again
@@ -21,27 +21,25 @@ OUT = "key long, i int, j int, a long, b long"
 
 
 def overlap_bound(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
-    """Upper bound of |X & Y| from bitmaps (uint64 words): every bit set in one map alone stands for
-    an element that the other set lacks."""
-    only_x = np.bitwise_count(x & ~y).sum(axis=-1).astype(np.int64)
-    only_y = np.bitwise_count(y & ~x).sum(axis=-1).astype(np.int64)
-    return np.minimum(nx - only_x, ny - only_y)
+    """Upper bound of |X & Y| from parity maps (uint64 words): common elements cancel out, so every bit
+    that differs stands for an element that one set lacks, whatever the size of the sets."""
+    differ = np.bitwise_count(x ^ y).sum(axis=-1).astype(np.int64)
+    return np.minimum(np.minimum(nx, ny), (nx + ny - differ) // 2)
 
 
 def words_of(n: int, least: int = 8, most: int = 64) -> int:
-    """64-bit words of the bitmap of a set: a power of two with about two bits an element, within bounds."""
+    """64-bit words of the parity map of a set: a power of two with about two bits an element, within bounds."""
     return min(most, max(least, 1 << max(0, (n - 1) // 32).bit_length()))
 
 
 def bitmap(hashes: np.ndarray, words: int) -> np.ndarray:
-    bits = np.zeros(64 * words, np.uint8)
-    bits[(hashes % U(64 * words)).astype(np.int64)] = 1
-    return np.packbits(bits)
+    """Parity map: a bit is set where an odd number of elements falls."""
+    return np.packbits(np.bincount((hashes % U(64 * words)).astype(np.int64), minlength=64 * words).astype(np.uint8) & 1)
 
 
 def folded(maps: list[np.ndarray], width: int) -> np.ndarray:
-    """Bitmaps of several power-of-two widths brought to one: the parts of a wider one are united."""
-    return np.stack([m if len(m) == width else np.bitwise_or.reduce(m.reshape(-1, width), axis=0) for m in maps])
+    """Parity maps of several power-of-two widths brought to one: the parts of a wider one add up."""
+    return np.stack([m if len(m) == width else np.bitwise_xor.reduce(m.reshape(-1, width), axis=0) for m in maps])
 
 
 def whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

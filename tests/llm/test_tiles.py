@@ -193,3 +193,25 @@ def test_near_copies_are_paired_once_not_for_every_tile(spark, monkeypatch):
     assert sum(made) < 60
     found = jaccard.connected_components(spark.createDataFrame(got, "a long, b long"), "a", "b").collect()
     assert {r.node: r.component for r in found} == {i: 0 for i in range(20)}
+
+
+def test_parity_maps_bound_the_overlap_closely():
+    """Never below the overlap, whatever the widths; sets well below the threshold are told apart without their elements."""
+    import numpy as np
+
+    from cribble.llm.tiles import bitmap, folded, overlap_bound, words_of
+
+    rng, passed = np.random.default_rng(11), 0
+    for trial in range(400):
+        n = int(rng.choice([20, 300, 600, 3000]))
+        body = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
+        rng.shuffle(body)
+        cut = int(rng.integers(0, n + 1)) if trial % 2 else n * 7 // 100
+        x, y = body[:n], np.concatenate((body[cut:n], body[n:n + cut]))  # similarity 0.87 in the even trials
+        maps = [np.frombuffer(bitmap(s, w).tobytes(), np.uint64) for s, w in ((x, words_of(n)), (y, 2 * words_of(n)))]
+        bits = folded(maps, words_of(n))
+        size = np.array([len(x), len(y)])
+        bound = int(overlap_bound(bits[0], bits[1], size[0], size[1]))
+        assert bound >= len(np.intersect1d(x, y))
+        passed += trial % 2 == 0 and n > 20 and 100 * bound >= 90 * (2 * n - bound)
+    assert passed < 10
