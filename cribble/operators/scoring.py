@@ -71,7 +71,9 @@ def fit_heads(df: DataFrame, columns: Sequence[str], label: str, price: str, sou
 
     Codes are places in the sorted values; more than ``max_codes`` sources or labels raise.
     """
-    rows = df.where(" AND ".join(f"{c} IS NOT NULL" for c in (*columns, label, price)))
+    # held before the codes are looked up; the classifier keeps its own blocks of the features
+    rows = df.where(" AND ".join(f"{c} IS NOT NULL" for c in (*columns, label, price))).select(
+        *dict.fromkeys((*columns, source, label, price))).persist()
 
     def values(c: str) -> list[str]:
         got = sorted(r[0] for r in rows.where(F.col(c).isNotNull()).select(c).distinct().limit(max_codes + 1).collect())
@@ -86,7 +88,7 @@ def fit_heads(df: DataFrame, columns: Sequence[str], label: str, price: str, sou
         raise ValueError("no row has a label, a price and all columns")
     known = pipeline(empty).stages[0].transform(rows).withColumn(
         "y", F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label)).cast("double") - 1)
-    x = VectorAssembler(inputCols=empty.features, outputCol="x").transform(known).persist()
+    x = VectorAssembler(inputCols=empty.features, outputCol="x").transform(known)
     if len(labels) > 1:
         m = LogisticRegression(featuresCol="x", labelCol="y", maxIter=500, family="multinomial").fit(x)
         empty.class_weights = [list(map(float, r)) for r in m.coefficientMatrix.toArray()]
@@ -98,5 +100,14 @@ def fit_heads(df: DataFrame, columns: Sequence[str], label: str, price: str, sou
     r = LinearRegression(featuresCol="z", labelCol=price, solver="normal").fit(
         VectorAssembler(inputCols=[*empty.features, "k"], outputCol="z").transform(scored))
     empty.price_weights, empty.price_bias = list(map(float, r.coefficients.toArray())), float(r.intercept)
-    x.unpersist()
+    rows.unpersist()
     return empty
+
+
+def respond(batch: DataFrame, scorer: PipelineModel, columns: Sequence[str], key: str = "item_id") -> DataFrame:
+    """key, response and valid of every request, in one pass over the batch; incomplete requests are not valid and
+    have no response."""
+    ok = F.expr(" AND ".join(f"{c} IS NOT NULL" for c in columns))
+    # a request is scored whole or not at all
+    asked = batch.withColumn("valid", ok).withColumns({c: F.when(F.col("valid"), F.col(c)) for c in columns})
+    return scorer.transform(asked).select(key, *[F.when(F.col("valid"), F.col(c)).alias(c) for c in RESPONSE], "valid")

@@ -196,10 +196,7 @@ def q_stream_two_heads(spark, sf):
     def score(batch):
         if not loaded:
             loaded.append(ML.load(path))
-        ok = " AND ".join(f"{c} IS NOT NULL" for c in REQUEST_COLS)
-        good = loaded[0].transform(batch.where(ok)).select("item_id", *SC.RESPONSE).withColumn("valid", F.lit(True))
-        bad = batch.where(f"NOT ({ok})").select("item_id").withColumn("valid", F.lit(False))
-        return good.unionByName(bad, allowMissingColumns=True)
+        return SC.respond(batch, loaded[0], REQUEST_COLS)
 
     orders = jobs.file_stream(spark, sf, "orders.parquet", catalog.SCHEMAS["orders"])
     jobs.run_batches(requests(orders, lines), jobs.batch_writer(out, score), "stream-two-heads")

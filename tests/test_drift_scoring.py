@@ -115,6 +115,25 @@ def test_unknown_source_scores_as_code_zero_and_one_label(spark):
         SC.fit_heads(df.where("false"), COLS, "label", "price")
 
 
+def test_requests_are_read_once_to_fit_and_once_to_respond(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(v):
+        reads.add(1)
+        return v
+
+    df = requests(spark, 90).withColumn("volume", F.expr("if(item_id % 10 = 4, null, volume)"))
+    once = df.withColumn("poids", F.udf(counted, "double").asNondeterministic()("poids"))
+    heads = SC.fit_heads(once, COLS, "label", "price")
+    assert reads.value == 90
+    out = SC.respond(once, SC.pipeline(heads), COLS).collect()
+    assert reads.value == 180
+    want = {r.item_id: tuple(r[c] for c in SC.RESPONSE)
+            for r in SC.pipeline(heads).transform(df.where("volume is not null")).collect()}
+    assert len(out) == 90 and {r.item_id: tuple(r[c] for c in SC.RESPONSE) for r in out if r.valid} == want
+    assert all(r.item_id % 10 == 4 and all(r[c] is None for c in SC.RESPONSE) for r in out if not r.valid)
+
+
 def test_stream_equals_batch(spark, sf):
     from cribble.plans import q_stream as Q
     from cribble.sources import catalog
